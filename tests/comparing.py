@@ -1,0 +1,49 @@
+"""Run a registered query and its SQL twin and compare all their values."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+from pyspark.sql import SparkSession
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def differences(spark: SparkSession, con, sf_dir: str, query, sql: str) -> list[str]:
+    """Empty when both sides agree on columns, types, row count and every value."""
+    df = query(spark, sf_dir)
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    if sorted(names) != sorted(df.columns):
+        return [f"columns differ: {sorted(set(names) ^ set(df.columns))}"]
+    order = sorted(names)
+    places = [names.index(n) for n in order]
+    expected = Counter(tuple(row[i] for i in places) for row in result.fetchall())
+    found = Counter(tuple(row[n] for n in order) for row in df.collect())
+    problems = []
+    if sum(expected.values()) != sum(found.values()):
+        problems.append(f"{sum(found.values())} rows, expected {sum(expected.values())}")
+    kinds = {
+        n: {type(row[i]) for side in (expected, found) for row in side} - {type(None)}
+        for i, n in enumerate(order)
+    }
+    problems += [f"types of {n}: {k}" for n, k in kinds.items() if len(k) > 1]
+    only_found, only_expected = found - expected, expected - found
+    if only_found or only_expected:
+        problems.append(f"{len(only_found)} unexpected and {len(only_expected)} missing rows")
+        for left, right in zip(sorted(only_found, key=str)[:3], sorted(only_expected, key=str)):
+            problems.append(
+                str({n: (x, y) for n, x, y in zip(order, left, right) if x != y or x is not y})
+            )
+    return problems
