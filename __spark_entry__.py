@@ -178,7 +178,7 @@ def _first_load(run: Lineage) -> Lineage:
     calendar = run.sources.calendar.filter(F.col("date") <= F.lit(FIRST_LOAD_END)).withColumn(
         "reservation_id", F.when(known, F.col("reservation_id"))
     )
-    return Lineage(type(run.sources)(**{**dict(run.sources.items()), "calendar": calendar}))
+    return Lineage(run.sources.replacing(calendar=calendar))
 
 
 def _without_amenity(run: Lineage, name: str) -> Lineage:
@@ -186,9 +186,7 @@ def _without_amenity(run: Lineage, name: str) -> Lineage:
     changelog = run.sources.amenities_changelog.withColumn(
         "amenities", F.to_json(F.array_remove(names, name))
     )
-    return Lineage(
-        type(run.sources)(**{**dict(run.sources.items()), "amenities_changelog": changelog})
-    )
+    return Lineage(run.sources.replacing(amenities_changelog=changelog))
 
 
 def fct_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

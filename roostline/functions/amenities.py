@@ -24,13 +24,17 @@ def parse_amenities(text: str | Column, mode: str = "failfast") -> Column:
     """
     column = F.col(text) if isinstance(text, str) else text
     raw = F.from_json(column, "array<string>", {"mode": mode.upper()})
-    names = F.filter(F.transform(raw, F.trim), lambda name: name.isNotNull())
-    return F.when(F.size(raw) > 0, F.sort_array(F.array_distinct(names)))
+    # nullif keeps one evaluation of the JSON text, a size test would need a second one.
+    listed = F.nullif(raw, F.array().cast("array<string>"))
+    names = F.filter(F.transform(listed, F.trim), lambda name: name.isNotNull())
+    return F.sort_array(F.array_distinct(names))
 
 
 def vocabulary_frame(df: DataFrame, column: str = "amenities") -> DataFrame:
     """Distinct amenity names of an array column, one row per name."""
-    return df.select(F.explode(column).alias("amenity_name")).distinct()
+    # The outer explode keeps a parsed column evaluated once, see stg_amenities_changelog.
+    names = df.select(F.explode_outer(column).alias("amenity_name")).distinct()
+    return names.filter(F.col("amenity_name").isNotNull())
 
 
 def vocabulary(df: DataFrame, column: str = "amenities") -> list[str]:

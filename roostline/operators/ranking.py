@@ -7,22 +7,38 @@ from pyspark.sql import functions as F
 
 
 def dense_rank_by_value(
-    df: DataFrame, value: str, rank: str, within: str | None = None
+    df: DataFrame, value: str, overall: str, within: tuple[str, str] | None = None
 ) -> DataFrame:
-    """Add ``dense_rank() over ([partition by within] order by value desc)``.
+    """Add ``dense_rank() over (order by value desc)`` as the column ``overall``.
 
-    A dense rank depends on the distinct values only. Those are ranked (a night count has
-    as many values as the calendar has days) and joined back, so neither the whole table
-    nor a partition that holds most of it is sorted in one task. NULL values and NULL
-    partitions keep their place: NULL ranks first, as in the source dialect.
+    ``within=(group, name)`` also adds the rank inside each group. ``value`` must have few
+    distinct values, as a count of nights has: no more than the calendar has days.
+
+    A dense rank depends on the distinct values only. Those are ranked and joined back, so
+    neither the table nor a group that holds most of it is sorted in one task. A NULL value
+    ranks first, as in the source dialect, and NULL is a group of its own.
     """
-    keys = [value] if within is None else [within, value]
-    distinct = df.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    frame = Window.partitionBy(*[f"__{k}" for k in keys[:-1]]).orderBy(
-        F.col(f"__{value}").desc_nulls_first()
-    )
-    ranks = distinct.withColumn(rank, F.dense_rank().over(frame).cast("long"))
+    keys = [value] if within is None else [within[0], value]
+    inner = {k: f"__{k}" for k in keys}
+    ranks = df.select(*[F.col(k).alias(a) for k, a in inner.items()]).distinct()
+    descending = F.col(inner[value]).desc_nulls_first()
+
+    def ranked(rows: DataFrame, name: str, *group: str) -> DataFrame:
+        frame = Window.partitionBy(*group).orderBy(descending)
+        return rows.withColumn(name, F.dense_rank().over(frame).cast("long"))
+
+    if within is None:
+        # As few rows as there are distinct values.
+        ranks = F.broadcast(ranked(ranks, overall))
+    else:
+        values = ranked(ranks.select(F.col(inner[value])).distinct(), overall)
+        values = values.withColumnRenamed(inner[value], "__ranked")
+        ranks = (
+            ranked(ranks, within[1], inner[within[0]])
+            .join(F.broadcast(values), F.col(inner[value]).eqNullSafe(F.col("__ranked")))
+            .drop("__ranked")
+        )
     same = F.lit(True)
-    for k in keys:
-        same = same & df[k].eqNullSafe(ranks[f"__{k}"])
-    return df.join(ranks, same, "left").drop(*[f"__{k}" for k in keys])
+    for k, alias in inner.items():
+        same = same & df[k].eqNullSafe(ranks[alias])
+    return df.join(ranks, same, "left").drop(*inner.values())

@@ -263,9 +263,11 @@ def max_stay(spans: DataFrame, dim_listings: DataFrame, dim_date: DataFrame) ->
         dim_date,
         {"season": "best_span_season", "is_peak_season": "best_span_in_peak_season"},
     )
-    ranked = dense_rank_by_value(stays, "max_possible_stay_nights", "overall_stay_rank")
     ranked = dense_rank_by_value(
-        ranked, "max_possible_stay_nights", "neighborhood_stay_rank", within="__neighborhood"
+        stays,
+        "max_possible_stay_nights",
+        "overall_stay_rank",
+        within=("__neighborhood", "neighborhood_stay_rank"),
     )
     return ranked.select(
         "listing_id",

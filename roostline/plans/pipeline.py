@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,25 +30,31 @@ NEIGHBORHOOD_MONTHS = "fct_monthly_neighborhood_summary"
 
 @dataclass
 class Lineage:
-    """Staging and history of one set of sources, all lazy."""
+    """Staging and history of one set of sources, all lazy and built on first use."""
 
     sources: RawSources
     json_mode: str = "failfast"
     unique_days: bool = False
-    listings: DataFrame = field(init=False)
-    calendar: DataFrame = field(init=False)
-    reviews: DataFrame = field(init=False)
-    changelog: DataFrame = field(init=False)
-    scd: DataFrame = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.listings = staging.stg_listings(self.sources.listings, self.json_mode)
-        self.calendar = staging.stg_calendar(self.sources.calendar)
-        self.reviews = staging.stg_reviews(self.sources.generated_reviews)
-        self.changelog = staging.stg_amenities_changelog(
-            self.sources.amenities_changelog, self.json_mode
-        )
-        self.scd = intermediate.listing_amenities_scd(self.changelog)
+
+    @cached_property
+    def listings(self) -> DataFrame:
+        return staging.stg_listings(self.sources.listings, self.json_mode)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return staging.stg_calendar(self.sources.calendar)
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        return staging.stg_reviews(self.sources.generated_reviews)
+
+    @cached_property
+    def changelog(self) -> DataFrame:
+        return staging.stg_amenities_changelog(self.sources.amenities_changelog, self.json_mode)
+
+    @cached_property
+    def scd(self) -> DataFrame:
+        return intermediate.listing_amenities_scd(self.changelog)
 
     def events(self) -> DataFrame:
         return staging.parsed_changelog(self.sources.amenities_changelog, self.json_mode)

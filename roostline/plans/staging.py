@@ -110,16 +110,16 @@ def stg_amenities_changelog(
     running. ``keep_empty=True`` records it as "all removed" instead. The sets are built
     name by name: a day with any number of events needs the space of its distinct names.
     """
-    events = parsed_changelog(changelog, json_mode)
-    if keep_empty:
-        events = events.withColumn(
-            "amenities", F.coalesce("amenities", F.array().cast("array<string>"))
-        )
-        names = F.explode_outer("amenities")
-    else:
-        names = F.explode("amenities")
-    return (
-        events.select("listing_id", "change_at", names.alias("amenity_name"))
+    # The outer explode keeps the text parsed once: an inner one adds a filter on the parsed
+    # list below itself, and so a second parse. Empty events go after the merge instead.
+    merged = (
+        parsed_changelog(changelog, json_mode)
+        .withColumn("listed", F.col("amenities").isNotNull())
+        .select("listing_id", "change_at", "listed", F.explode_outer("amenities").alias("name"))
         .groupBy("listing_id", "change_at")
-        .agg(F.sort_array(F.collect_set("amenity_name")).alias("amenities"))
+        .agg(
+            F.sort_array(F.collect_set("name")).alias("amenities"),
+            F.bool_or("listed").alias("listed"),
+        )
     )
+    return (merged if keep_empty else merged.filter("listed")).drop("listed")

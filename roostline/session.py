@@ -33,6 +33,8 @@ def local_session(cores: str = "*", app: str = "roostline", **extra: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # Recording the call site of every Column expression dominates plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**ADAPTIVE_SETTINGS, **extra}.items():
         builder = builder.config(key, value)

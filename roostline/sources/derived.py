@@ -6,7 +6,10 @@ and the parts of large lines name amenities. Every source grows with the order t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.sources.raw import RawSources
@@ -17,164 +20,121 @@ FIRST_NIGHT, LAST_NIGHT = "2021-07-01", "2022-07-31"
 # The moment the sources are looked at.
 AS_OF = "2022-08-01 06:00:00"
 
-AMENITY_OF_TYPE = {
-    "ECONOMY": "Air conditioning",
-    "SMALL": "Lockbox",
-    "MEDIUM": "First aid kit",
-    "PROMO": "Wifi",
-    "STANDARD": "Kitchen",
-}
-OTHER_AMENITY = "Pool"
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _ship_day() -> Column:
-    return F.date_add(F.col("l_shipdate").cast("date"), SHIFT_DAYS)
-
-
-def _amenity() -> Column:
-    result = F.lit(OTHER_AMENITY)
-    for part_type, name in AMENITY_OF_TYPE.items():
-        result = F.when(F.col("p_type") == part_type, name).otherwise(result)
-    return result
+AMENITY = """CASE p_type WHEN 'ECONOMY' THEN 'Air conditioning' WHEN 'SMALL' THEN 'Lockbox'
+    WHEN 'MEDIUM' THEN 'First aid kit' WHEN 'PROMO' THEN 'Wifi' WHEN 'STANDARD' THEN 'Kitchen'
+    ELSE 'Pool' END"""
+AMENITY_LIST = f"to_json(sort_array(collect_set({AMENITY})))"
+SHIP_DAY = f"date_add(CAST(l_shipdate AS DATE), {SHIFT_DAYS})"
 
+# Opens one of the given tables.
+Tables = Callable[[str], DataFrame]
 
-def _json_set(values: Column) -> Column:
-    return F.to_json(F.sort_array(F.collect_set(values)))
 
+def _lines_with_parts(tables: Tables, condition: str) -> DataFrame:
+    lines = tables("lineitem").filter(condition)
+    return lines.join(tables("part"), lines["l_partkey"] == tables("part")["p_partkey"])
 
-def _pick(key: Column, *labels: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), (key % len(labels) + 1).cast("int"))
 
-
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").filter("l_quantity = 50 AND l_linenumber <= 3")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
+def listings(tables: Tables) -> DataFrame:
     owned = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        _lines_with_parts(tables, "l_quantity = 50 AND l_linenumber <= 3")
         .groupBy("l_suppkey")
-        .agg(_json_set(_amenity()).alias("owned"))
-    )
-    suppliers = _table(spark, sf_dir, "supplier").join(
-        _table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+        .agg(F.expr(AMENITY_LIST).alias("owned"))
     )
-    k = F.col("s_suppkey")
-    host = k % 40
-    digit = (k % 9 + 1).cast("string")
-    as_of = F.lit(AS_OF).cast("timestamp")
-    return suppliers.join(owned, k == F.col("l_suppkey"), "left").select(
-        k.alias("id"),
-        F.col("s_name").alias("name"),
-        F.col("n_name").alias("neighborhood"),
-        _pick(k, "Condo", "Apartment", "House", "Loft").alias("property_type"),
-        _pick(k, "Entire home/apt", "Private room", "Shared room").alias("room_type"),
-        (k % 8 + 1).cast("int").alias("accommodates"),
-        (k % 4 + 1).cast("int").alias("bedrooms"),
-        (k % 5 + 1).cast("int").alias("beds"),
-        F.when(k % 7 == 0, "Half-bath")
-        .otherwise(F.concat((k % 3 + 1).cast("string"), F.lit(".5 baths")))
-        .alias("bathrooms_text"),
-        host.alias("host_id"),
-        F.concat(F.lit("Host "), host.cast("string")).alias("host_name"),
-        F.col("n_name").alias("host_location"),
-        F.when(host == 3, "unknown")
-        .otherwise(
-            F.concat((k % 16 + 2010).cast("string"), F.lit("-0"), digit, F.lit("-15"))
+    return (
+        tables("supplier")
+        .withColumnRenamed("s_suppkey", "k")
+        .join(tables("nation"), F.expr("s_nationkey = n_nationkey"))
+        .join(owned, F.expr("k = l_suppkey"), "left")
+        .selectExpr(
+            "k AS id",
+            "s_name AS name",
+            "n_name AS neighborhood",
+            "elt(int(k % 4) + 1, 'Condo', 'Apartment', 'House', 'Loft') AS property_type",
+            "elt(int(k % 3) + 1, 'Entire home/apt', 'Private room', 'Shared room') AS room_type",
+            "int(k % 8 + 1) AS accommodates",
+            "int(k % 4 + 1) AS bedrooms",
+            "int(k % 5 + 1) AS beds",
+            "if(k % 7 = 0, 'Half-bath', concat(k % 3 + 1, '.5 baths')) AS bathrooms_text",
+            "k % 40 AS host_id",
+            "concat('Host ', k % 40) AS host_name",
+            "n_name AS host_location",
+            "if(k % 40 = 3, 'unknown', concat(2010 + k % 16, '-0', k % 9 + 1, '-15'))"
+            " AS host_since",
+            """'["email", "phone"]' AS host_verifications""",
+            "if(s_acctbal >= 0, concat('$', format_number(floor(s_acctbal), 0), '.50'), NULL)"
+            " AS price",
+            "int(k % 50) AS number_of_reviews",
+            "if(k % 11 = 0, NULL, concat('2021-0', k % 9 + 1, '-01')) AS first_review",
+            "'2022-06-15' AS last_review",
+            "if(k % 13 = 0, NULL, 2.5D + (k % 26) / 10.0D) AS review_scores_rating",
+            "if(k % 17 = 0, '[]', coalesce(owned, '[]')) AS amenities",
+            f"TIMESTAMP '{AS_OF}' - make_dt_interval(int(k % 5 + 1)) AS _loaded_at",
         )
-        .alias("host_since"),
-        F.lit('["email", "phone"]').alias("host_verifications"),
-        F.when(
-            F.col("s_acctbal") >= 0,
-            F.concat(F.lit("$"), F.format_number(F.floor("s_acctbal"), 0), F.lit(".50")),
-        ).alias("price"),
-        (k % 50).cast("int").alias("number_of_reviews"),
-        F.when(k % 11 != 0, F.concat(F.lit("2021-0"), digit, F.lit("-01"))).alias("first_review"),
-        F.lit("2022-06-15").alias("last_review"),
-        F.when(k % 13 != 0, F.lit(2.5) + (k % 26) / F.lit(10.0)).alias("review_scores_rating"),
-        F.when(k % 17 == 0, "[]").otherwise(F.coalesce("owned", F.lit("[]"))).alias("amenities"),
-        (as_of - F.make_dt_interval(days=(k % 5 + 1).cast("int"))).alias("_loaded_at"),
     )
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar(tables: Tables) -> DataFrame:
     reserved = (
-        _table(spark, sf_dir, "lineitem")
+        tables("lineitem")
         .filter("l_returnflag <> 'R'")
-        .select(F.col("l_suppkey").alias("s_suppkey"), _ship_day().alias("date"), "l_orderkey")
-        .filter(F.col("date").between(F.lit(FIRST_NIGHT), F.lit(LAST_NIGHT)))
-        .groupBy("s_suppkey", "date")
+        .selectExpr("l_suppkey AS k", f"{SHIP_DAY} AS day", "l_orderkey")
+        .filter(f"day BETWEEN DATE '{FIRST_NIGHT}' AND DATE '{LAST_NIGHT}'")
+        .groupBy("k", "day")
         .agg(F.min("l_orderkey").alias("reservation_id"))
     )
-    spine = F.sequence(F.lit(FIRST_NIGHT).cast("date"), F.lit(LAST_NIGHT).cast("date"))
-    nights = _table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(spine).alias("date"))
-    k, day = F.col("s_suppkey"), F.col("date")
-    free = F.col("reservation_id").isNull() & ((k * 7 + F.dayofyear(day)) % 11 != 0)
-    # Some nights were loaded again shortly before the sources are looked at.
-    reloaded = (k * 31 + F.dayofyear(day)) % 97 == 0
-    return nights.join(reserved, ["s_suppkey", "date"], "left").select(
-        k.alias("listing_id"),
-        "date",
-        F.when(free, "t").otherwise("f").alias("available"),
+    nights = tables("supplier").selectExpr(
+        "s_suppkey AS k",
+        f"explode(sequence(DATE '{FIRST_NIGHT}', DATE '{LAST_NIGHT}')) AS day",
+    )
+    return nights.join(reserved, ["k", "day"], "left").selectExpr(
+        "k AS listing_id",
+        "day AS date",
+        "if(reservation_id IS NULL AND (k * 7 + dayofyear(day)) % 11 <> 0, 't', 'f')"
+        " AS available",
         "reservation_id",
-        ((k * 13) % 400 + F.month(day) * 3 + 50).cast("decimal(10,2)").alias("price"),
-        (k % 5 + 1).cast("int").alias("minimum_nights"),
-        F.when(k % 9 == 0, 0).otherwise(k % 30 + 3).cast("int").alias("maximum_nights"),
-        F.when(
-            reloaded,
-            F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(hours=F.lit(5)),
-        )
-        .otherwise(
-            day.cast("timestamp") + F.make_dt_interval(days=F.lit(1), hours=F.lit(1))
-        )
-        .alias("_loaded_at"),
+        "CAST((k * 13) % 400 + month(day) * 3 + 50 AS DECIMAL(10,2)) AS price",
+        "int(k % 5 + 1) AS minimum_nights",
+        "int(if(k % 9 = 0, 0, k % 30 + 3)) AS maximum_nights",
+        # Some nights were loaded again shortly before the sources are looked at.
+        f"if((k * 31 + dayofyear(day)) % 97 = 0, TIMESTAMP '{AS_OF}' - INTERVAL 5 HOURS,"
+        " CAST(day AS TIMESTAMP) + INTERVAL 25 HOURS) AS _loaded_at",
     )
 
 
-def generated_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = _ship_day()
+def generated_reviews(tables: Tables) -> DataFrame:
     return (
-        _table(spark, sf_dir, "lineitem")
+        tables("lineitem")
         .filter("l_returnflag = 'R'")
-        .select(
-            F.when(
-                F.col("l_orderkey") % 997 != 0, F.col("l_orderkey") * 8 + F.col("l_linenumber")
-            ).alias("id"),
-            F.col("l_suppkey").alias("listing_id"),
-            day.alias("review_date"),
-            (F.col("l_linenumber") % 5 + 1).cast("double").alias("review_score"),
-            F.least(
-                day.cast("timestamp"),
-                F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=F.lit(9)),
-            ).alias("_loaded_at"),
+        .selectExpr(
+            "if(l_orderkey % 997 = 0, NULL, l_orderkey * 8 + l_linenumber) AS id",
+            "l_suppkey AS listing_id",
+            f"{SHIP_DAY} AS review_date",
+            "double(l_linenumber % 5 + 1) AS review_score",
+            f"least(CAST({SHIP_DAY} AS TIMESTAMP), TIMESTAMP '{AS_OF}' - INTERVAL 9 DAYS)"
+            " AS _loaded_at",
         )
     )
 
 
-def amenities_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    quarter = F.trunc(_ship_day(), "quarter").cast("timestamp")
+def amenities_changelog(tables: Tables) -> DataFrame:
     return (
-        _table(spark, sf_dir, "lineitem")
-        .filter("l_quantity > 45")
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("l_suppkey").alias("listing_id"), quarter.alias("change_at"))
-        .agg(_json_set(_amenity()).alias("amenities"))
+        _lines_with_parts(tables, "l_quantity > 45")
+        .withColumn("change_at", F.expr(f"CAST(trunc({SHIP_DAY}, 'quarter') AS TIMESTAMP)"))
+        .groupBy(F.col("l_suppkey").alias("listing_id"), "change_at")
+        .agg(F.expr(AMENITY_LIST).alias("amenities"))
         .withColumn(
-            "_loaded_at",
-            F.least(
-                "change_at", F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(days=F.lit(3))
-            ),
+            "_loaded_at", F.expr(f"least(change_at, TIMESTAMP '{AS_OF}' - INTERVAL 3 DAYS)")
         )
     )
 
 
 def derived_sources(spark: SparkSession, sf_dir: str) -> RawSources:
-    return RawSources(
-        listings=listings(spark, sf_dir),
-        calendar=calendar(spark, sf_dir),
-        generated_reviews=generated_reviews(spark, sf_dir),
-        amenities_changelog=amenities_changelog(spark, sf_dir),
-    )
+    tables: Tables = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    makers = {
+        "listings": listings,
+        "calendar": calendar,
+        "generated_reviews": generated_reviews,
+        "amenities_changelog": amenities_changelog,
+    }
+    return RawSources(lambda name: makers[name](tables))

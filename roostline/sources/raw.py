@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,15 +33,38 @@ SCHEMAS = {
 }
 
 
-@dataclass(frozen=True)
 class RawSources:
-    listings: DataFrame
-    calendar: DataFrame
-    generated_reviews: DataFrame
-    amenities_changelog: DataFrame
+    """The four raw tables; each is opened on first use and then kept."""
+
+    def __init__(self, open_table: Callable[[str], DataFrame]) -> None:
+        self._open = cache(open_table)
+
+    @classmethod
+    def of(cls, **tables: DataFrame) -> RawSources:
+        return cls(tables.__getitem__)
+
+    def replacing(self, **tables: DataFrame) -> RawSources:
+        """The same sources with some tables exchanged."""
+        return RawSources(lambda name: tables[name] if name in tables else self._open(name))
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(name, getattr(self, name)) for name in SCHEMAS]
+        return [(name, self._open(name)) for name in SCHEMAS]
+
+    @property
+    def listings(self) -> DataFrame:
+        return self._open("listings")
+
+    @property
+    def calendar(self) -> DataFrame:
+        return self._open("calendar")
+
+    @property
+    def generated_reviews(self) -> DataFrame:
+        return self._open("generated_reviews")
+
+    @property
+    def amenities_changelog(self) -> DataFrame:
+        return self._open("amenities_changelog")
 
 
 def read_table(
@@ -61,8 +85,5 @@ def read_sources(
     """All raw tables below one folder, or in one catalog namespace (``source='table'``)."""
     joiner = "." if source == "table" else "/"
     return RawSources(
-        **{
-            name: read_table(spark, name, f"{root}{joiner}{name}", source, **options)
-            for name in SCHEMAS
-        }
+        lambda name: read_table(spark, name, f"{root}{joiner}{name}", source, **options)
     )
