@@ -26,7 +26,8 @@ def parse_amenities(text: str | Column, mode: str = "failfast") -> Column:
     raw = F.from_json(column, "array<string>", {"mode": mode.upper()})
     # nullif keeps one evaluation of the JSON text, a size test would need a second one.
     listed = F.nullif(raw, F.array().cast("array<string>"))
-    names = F.filter(F.transform(listed, F.trim), lambda name: name.isNotNull())
+    trimmed = F.transform(listed, lambda name: F.trim(name))
+    names = F.filter(trimmed, lambda name: name.isNotNull())
     return F.sort_array(F.array_distinct(names))
 
 

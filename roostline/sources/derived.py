@@ -20,9 +20,10 @@ FIRST_NIGHT, LAST_NIGHT = "2021-07-01", "2022-07-31"
 # The moment the sources are looked at.
 AS_OF = "2022-08-01 06:00:00"
 
+# One name carries a blank that staging has to trim.
 AMENITY = """CASE p_type WHEN 'ECONOMY' THEN 'Air conditioning' WHEN 'SMALL' THEN 'Lockbox'
     WHEN 'MEDIUM' THEN 'First aid kit' WHEN 'PROMO' THEN 'Wifi' WHEN 'STANDARD' THEN 'Kitchen'
-    ELSE 'Pool' END"""
+    ELSE ' Pool' END"""
 AMENITY_LIST = f"to_json(sort_array(collect_set({AMENITY})))"
 SHIP_DAY = f"date_add(CAST(l_shipdate AS DATE), {SHIFT_DAYS})"
 
