@@ -55,6 +55,10 @@ def continuous_periods(
     NULL. Before the first known change, and for entities without history, the entity's own
     value holds. A fact table then needs one inner join instead of an inner join to the
     entities plus a left range join to the history.
+
+    The key travels inside the exploded period, so the result is not known to be partitioned
+    by the key. A later join shuffles these few rows once more, and with an exchange directly
+    below both of its sides adaptive execution can split an entity that holds many rows.
     """
     earlier = F.lag("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
     known = history.select(
@@ -66,7 +70,9 @@ def continuous_periods(
     )
 
     def period(start: Column, end: Column, content: Column) -> Column:
-        return F.struct(start.alias("valid_from"), end.alias("valid_to"), content.alias(value))
+        return F.struct(
+            F.col(key), start.alias("valid_from"), end.alias("valid_to"), content.alias(value)
+        )
 
     beginning, open_end = F.lit(BEGINNING).cast("date"), F.lit(OPEN_END).cast("date")
     own = F.col(value)
@@ -77,7 +83,7 @@ def continuous_periods(
         .when(F.col("__first") & (F.col("__from") > beginning), F.array(before, current))
         .otherwise(F.array(current))
     )
-    others = [c for c in entities.columns if c != value]
+    others = [c for c in entities.columns if c not in (key, value)]
     return (
         entities.join(known, entities[key] == known["__key"], "left")
         .select(*others, F.explode(periods).alias("__period"))

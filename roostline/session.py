@@ -15,9 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot listing even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM never compiles a method above 8000 bytes of code. A wide projection fused into
-    # one such method ran four times slower than the same operators unfused.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

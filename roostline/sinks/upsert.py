@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roostline.functions.amenities import quoted
 from roostline.session import remove_scratch, scratch_dir
 from roostline.sinks.tables import MONTH, stamped
 
@@ -22,25 +23,27 @@ def upsert_months(
 ) -> None:
     """Update rows with a known key, insert the others, delete nothing.
 
-    ``rows`` hold no date before ``since`` and one row per key. Only months from ``since``
-    on are read and rewritten; older months keep their files and their audit time. The
-    merged months are first written to the shared scratch folder and then replace the old
-    ones, so a job that fails while computing leaves the target as it was.
+    ``rows`` hold no date before ``since`` and one row per key. They are written once to the
+    shared scratch folder, since both the anti join and the merge need them. Only months
+    from ``since`` on are read and rewritten; older months keep their files and their audit
+    time. Spark swaps the rewritten months in when the whole write has succeeded, so a job
+    that fails while computing leaves the target as it was.
 
     The rewritten months have the columns of ``rows``: a new column is NULL in kept rows, a
     column that ``rows`` no longer have is dropped. Read the table with ``read_months``.
     """
-    fresh = stamped(rows, run_ts)
+    staged = scratch_dir(spark, "upsert")
+    stamped(rows, run_ts).write.parquet(staged)
+    fresh = spark.read.parquet(staged)
     kept = (
         spark.read.schema(fresh.schema)
         .parquet(path)
         .filter(F.col(MONTH) >= F.lit(since.replace(day=1)))
         .join(fresh.select(*keys), list(keys), "left_anti")
+        .select(*[quoted(c) for c in fresh.columns])
     )
-    staged = scratch_dir(spark, "upsert")
-    kept.unionByName(fresh).write.partitionBy(MONTH).parquet(staged)
     # Tasks per month are sized at run time: small months meet, a large one is split.
-    merged = spark.read.schema(fresh.schema).parquet(staged).hint("rebalance", MONTH)
+    merged = kept.unionByName(fresh).hint("rebalance", MONTH)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
