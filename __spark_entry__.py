@@ -7,14 +7,19 @@ Every query derives the four lodging sources from the given tables, see
 from __future__ import annotations
 
 import datetime
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The packages lie beside this file, wherever it is loaded from.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from oracles import ORACLES
-from roostline.functions import surrogate_key, vocabulary, vocabulary_frame, widen
+from roostline.functions import surrogate_key, vocabulary_frame, widen
 from roostline.functions.amenities import quoted
 from roostline.plans import analyses, dimensions, facts, intermediate
 from roostline.plans.pipeline import DAILY, LISTING_MONTHS, NEIGHBORHOOD_MONTHS, Lineage, load_daily
@@ -55,13 +60,9 @@ def _lineage(spark: SparkSession, sf_dir: str) -> Lineage:
     return Lineage(derived_sources(tune(spark), sf_dir))
 
 
-def _wide(df: DataFrame, names: list[str]) -> DataFrame:
-    return widen(df, names)
-
-
 def stg_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
-    return _wide(run.listings, run.listing_amenity_names())
+    return widen(run.listings, run.listing_amenity_names())
 
 
 def stg_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +75,7 @@ def stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_amenities_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
-    return _wide(run.changelog, run.amenity_names())
+    return widen(run.changelog, run.amenity_names())
 
 
 def amenity_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,12 +88,12 @@ def listing_amenity_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_amenities_scd(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
-    return _wide(run.scd, run.amenity_names())
+    return widen(run.scd, run.amenity_names())
 
 
 def availability_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
-    return _wide(run.spans(), run.listing_amenity_names())
+    return widen(run.spans(), run.listing_amenity_names())
 
 
 def calendar_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +130,7 @@ def dim_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
-    return _wide(run.dim_listings(), run.amenity_names())
+    return widen(run.dim_listings(), run.amenity_names())
 
 
 def fct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
