@@ -9,11 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roostline.llm.common import table, written
-from roostline.llm.stages import drop_secrets, remove_recurring_lines
+from roostline.llm.stages import (
+    drop_secrets,
+    drop_toxic,
+    one_of_each_group,
+    pack,
+    remove_recurring_lines,
+)
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", remove_recurring_lines),
+    ("ngram_jaccard_join", one_of_each_group),
     ("secret_scans", drop_secrets),
+    ("packing", pack),
 ]
 
 # Learned scores and encoded ids have no SQL form; tests hold the stages against plain ones.

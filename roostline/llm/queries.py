@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from roostline.llm.compression import op4_compression_bands
 from roostline.llm.line_templates import OP10_SQL, op10_line_dedup
+from roostline.llm.packing import op7_packing
+from roostline.llm.planes import op5_bit_planes
+from roostline.llm.quality import op2_quality_classifier
 from roostline.llm.secrets import OP3_SQL, op3_secret_scans
+from roostline.llm.signature_trees import op8_ngram_jaccard_join
+from roostline.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scans": op3_secret_scans,
+    "op4_compression_bands": op4_compression_bands,
+    "op5_bit_planes": op5_bit_planes,
+    "op7_packing": op7_packing,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 

@@ -1,27 +1,56 @@
-"""The stages of the corpus pipeline: each calls one operator and acts on its decisions."""
+"""The stages of the corpus pipeline: each calls one operator and acts on its decisions.
+
+All but the last return the columns of ``documents``. A row of the input is kept or dropped
+as a whole row, so repeated rows and rows without a doc_id are treated like any other.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roostline.llm.common import table, written
 from roostline.llm.line_templates import line_dedup
+from roostline.llm.packing import pack as pack_documents
 from roostline.llm.secrets import scan
+from roostline.llm.signature_trees import one_per_group
+from roostline.llm.toxicity import fit, score_rows
 from roostline.session import scratch_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the scorer, learned from the labels of these documents, does not reject."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    scored = score_rows(docs, model, "_score")
+    return scored.filter(F.col("_score") < 0.5).drop("_score")
+
+
 def remove_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their recurring lines; those that had nothing else go."""
     cleaned = line_dedup(docs)
     emptied = (F.col("_n_dropped") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
-    return cleaned.filter(~emptied | F.col("text").isNull()).drop("_n_dropped").select(
-        *[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns]
+    return cleaned.filter(~emptied | F.col("text").isNull()).select(
+        *[F.length("text").cast("bigint").alias(c) if c == "n_chars" else c for c in docs.columns]
     )
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones. Documents without words stay."""
+    return one_per_group(docs)
+
+
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any secret."""
     found = scan(spark, docs, scratch_dir(spark, "secret-ledger"))
-    leaking = found.filter(F.size("spans") > 0).select("blob").distinct()
+    leaking = written(
+        found.filter(F.size("spans") > 0).select("blob").distinct(), "leaking-blobs"
+    )
     keyed = docs.withColumn("_blob", F.sha2(F.coalesce("text", F.lit("")), 256))
     return keyed.join(leaking, keyed["_blob"] == leaking["blob"], "left_anti").drop("_blob")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their ids, sequences and offsets."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))

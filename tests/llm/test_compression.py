@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+import re
+import string
+from collections import Counter
+
+import pytest
+
+from roostline.llm.compression import compression_rules, count, op4_compression_bands, repeated_words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    found = WORD.findall(text)
+    windows = Counter(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    covered = {i + k for i in range(len(found) - 2) if windows[tuple(found[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    repeats = len(found) < 50 or 100 * len(covered) > 50 * len(found)
+    return (
+        len(found),
+        sum(map(len, found)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(covered),
+        repeats,
+    )
+
+
+def prose(n, seed=1):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 8))) for _ in range(400)]
+    return " ".join(rng.choices(vocabulary, k=n))
+
+
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "a a a a",
+    "one two three four\none two three four\n\n \n",
+    "x# $y\x0b%&|<> \x1c \xa0é",
+    prose(60),
+    prose(20_000),
+    "spam and eggs " * 4000,
+    "w" * 300_000,
+    "a b c\n" * 30 + prose(500),
+    "".join(random.Random(2).choices(string.ascii_letters + string.digits + " ", k=6000)),
+]
+
+
+def base(r):
+    return (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
+
+
+def test_counts_equal_a_plain_form(documents):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[6]), (6, TEXTS[6])]
+    got = compression_rules(documents(rows)).collect()
+    assert sorted(((r["doc_id"], *base(r)) for r in got), key=str) == sorted(
+        ((i, *plain(t)) for i, t in rows), key=str
+    )
+
+
+def test_verdicts(documents):
+    kept = {r["doc_id"]: r["kept"] for r in compression_rules(documents(list(enumerate(TEXTS)))).collect()}
+    assert kept[6] and kept[7]
+    assert not any(kept[i] for i in (0, 1, 2, 3, 8, 9, 11))
+
+
+def test_a_repetitive_part_of_a_long_text_is_found_by_its_chunks(documents):
+    # No window of three words repeats often enough, but half of the chunks hold one letter.
+    text = prose(1500) + " " + " ".join(f"{'z' * 3000}{i}" for i in range(6))
+    row = compression_rules(documents([(1, text)])).collect()[0]
+    assert not row["base_failed"] and not row["kept"] and row["n_chunks_outside"] > 0
+
+
+def test_empty_table(documents):
+    assert compression_rules(documents([(1, "x")]).filter("doc_id > 1")).collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 2, 3, 50])
+def test_repeated_words_of_one_word(n):
+    assert repeated_words([b"a"] * n) == (n if n > 3 else 0)
+
+
+def test_registered_query_keeps_good_prose(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = op4_compression_bands(spark, sf).collect()
+    texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    assert len(rows) == len(texts)
+    assert all(base(r) == plain(texts[r["doc_id"]]) for r in rows)
+    labels = dict(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect())
+    good = [r for r in rows if labels.get(r["doc_id"]) == 1 and not r["base_failed"]]
+    assert all(r["kept"] for r in good)
+    assert count("").base_failed

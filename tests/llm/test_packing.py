@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from roostline.llm.packing import closest_filling, op7_packing, pack, plan
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def reference(lower=False):
+    name = "word_bpe_49k.json" if lower else "byte_bpe_50k.json"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+TEXTS = [
+    None,
+    "",
+    "a",
+    "Hello, world! It's <|endoftext|> here.\n\n  two  spaces\t\ttabs \r\n end   ",
+    "no\xa0break  \xa0 spaces　x,y;z 12345 67.8",
+    "é, ñ. 'quoted' it's we're\x1c\x1d !!\x1c ...!?;: #hash|pipe",
+    "x" * 5000,
+    "the quick brown fox, " * 3000,
+    "K Å ﬁ é, á.",
+    "\n",
+    " lead",
+    "trail \n",
+    "a|b | c |d| <|startoftext|>",
+]
+
+
+def test_filling_is_the_closest_sum():
+    rng = random.Random(3)
+    for _ in range(200):
+        counts = {rng.randint(1, 30): rng.randint(1, 3) for _ in range(rng.randint(0, 4))}
+        room = rng.randint(0, 60)
+        items = [k for k, n in counts.items() for _ in range(n)]
+        best = max(
+            (s for n in range(len(items) + 1) for c in itertools.combinations(items, n) if (s := sum(c)) <= room),
+            default=0,
+        )
+        chosen = closest_filling(counts, room)
+        assert sum(k * n for k, n in chosen.items()) == best
+        assert all(n <= counts[k] for k, n in chosen.items())
+
+
+def test_plan_uses_up_a_large_histogram_in_few_fillings():
+    rng = random.Random(4)
+    histogram = {k: rng.randint(1, 10**9) for k in range(1, 1025)}
+    fillings = plan(histogram)
+    used = Counter()
+    for chosen, times in fillings:
+        assert sum(k * n for k, n in chosen.items()) <= 1024
+        for k, n in chosen.items():
+            used[k] += n * times
+    assert used == histogram
+    assert len(fillings) < 10_000
+    total = sum(times for _, times in fillings)
+    # Lengths above one half are not always matched by shorter ones.
+    assert sum(k * n for k, n in histogram.items()) / (1024 * total) > 0.97
+
+
+def whole(rows, texts, encode, end=0):
+    """Pieces cover each document's ids once and fill their sequences without holes."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(by_doc) == set(texts)
+    for doc_id, pieces in by_doc.items():
+        ids = [*encode(texts[doc_id]), end]
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids)
+            part = np.array(ids[at : at + r["length"]], "<u4").tobytes()
+            assert r["ids"] == part if "ids" in r else r["ids_crc32"] == zlib.crc32(part)
+            at += r["length"]
+        assert at == len(ids)
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert set(by_sequence) == set(range(len(by_sequence)))
+    return len(by_sequence)
+
+
+def test_pieces_are_whole(documents):
+    rows = [r.asDict() for r in pack(documents(list(enumerate(TEXTS))), PATH).collect()]
+    whole(rows, dict(enumerate(TEXTS)), reference())
+
+
+def test_repeated_rows_null_ids_and_empty_tables(documents):
+    docs = documents([(1, "same"), (1, "same"), (None, "text")])
+    rows = pack(docs, PATH).collect()
+    assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 1]
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
+    assert pack(docs.filter("doc_id = 9"), PATH).collect() == []
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_registered_query(spark, sf):
+    docs = dict(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").collect())
+    rows = [r.asDict() for r in op7_packing(spark, f"/root/testdata/{sf}").collect()]
+    sequences = whole(rows, docs, reference())
+    assert sum(r["length"] for r in rows) > 0.98 * 1024 * sequences

@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from roostline.llm import stages
+from tests.llm.test_line_templates import ROWS as LINE_ROWS
+from tests.llm.test_line_templates import plain as plain_lines
+from tests.llm.test_packing import reference, whole
+from tests.llm.test_secrets import expected as secret_row
+from tests.llm.test_signature_trees import corpus
+from tests.llm.test_signature_trees import plain as plain_groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def pairs(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=str)
+
+
+def test_lines(spark, documents):
+    docs = documents(LINE_ROWS)
+    kept = stages.remove_recurring_lines(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(d, t) for d, n, t in plain_lines(LINE_ROWS) if not n or t.strip()]
+    assert pairs(kept) == sorted(want, key=str)
+    assert all(r["n_chars"] == len(r["text"]) for r in kept.filter("text is not null").collect())
+
+
+def test_one_document_of_each_group(spark, documents):
+    rows = [*corpus(5, 30), (1, corpus(5, 30)[1][1]), (None, "two nameless rows"), (None, "two nameless rows")]
+    docs = documents(rows)
+    kept = stages.one_of_each_group(spark, docs, SF)
+    assert kept.columns == docs.columns
+    groups = {}
+    for doc_id, n, component in plain_groups(rows):
+        if n and component is not None:
+            groups.setdefault(component, set()).add(doc_id)
+    left = [d for d, t in pairs(kept) if t and t.split() and d is not None]
+    assert sorted(left) == sorted(groups)
+    assert [t for d, t in pairs(kept) if d is None and t.startswith("two")] == ["two nameless rows"]
+    assert sum(not (t or "").split() for _, t in pairs(kept)) == sum(not (t or "").split() for _, t in rows)
+
+
+def test_secrets(spark, documents):
+    rows = [(1, "clean"), (2, "password=abcdefghijklmnop"), (2, "clean too"), (None, None), (3, "token: short")]
+    kept = stages.drop_secrets(spark, documents(rows), SF)
+    assert kept.columns == documents(rows).columns
+    assert pairs(kept) == sorted(((d, t) for d, t in rows if not secret_row(t)[-1]), key=str)
+
+
+def test_toxicity_drops_what_the_scorer_rejects(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    from roostline.llm.toxicity import fit, score
+
+    rejected = {r["doc_id"] for r in score(docs, fit(docs, labels)).filter("predicted = 1").collect()}
+    kept = stages.drop_toxic(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - rejected
+
+
+def test_every_stage_takes_an_empty_table(spark, documents):
+    docs = documents([(1, "x")]).filter(F.lit(False))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).collect() == []
+
+
+def test_the_whole_pipeline(spark):
+    """The stages one after the other, the last three held against their plain forms."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = stages.drop_toxic(spark, docs, SF)
+    rows = [(d, t) for d, t in pairs(docs)]
+    rows = [(d, t) for d, n, t in plain_lines(rows) if not n or (t or "").strip()]
+    rows = [(d, t) for d, t in rows if d in {c if n else i for i, n, c in plain_groups(rows)}]
+    rows = [(d, t) for d, t in rows if not secret_row(t)[-1]]
+    result = [r.asDict() for r in corpus_pipeline.run(spark, SF).collect()]
+    whole(result, dict(rows), reference())

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import random
+
+from roostline.llm.quality import (
+    ABSTAIN,
+    BAD,
+    GOOD,
+    LABELLERS,
+    estimate,
+    fit,
+    op2_quality_classifier,
+    score,
+    votes,
+)
+
+
+def test_accuracies_are_found_again():
+    """Labellers of known accuracy over a known share of good items."""
+    rng = random.Random(6)
+    accuracy = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7]
+    patterns = {}
+    for _ in range(30_000):
+        good = rng.random() < 0.7
+        vote = tuple(
+            ABSTAIN if rng.random() < 0.3 else (GOOD if good == (rng.random() < a) else BAD) for a in accuracy
+        )
+        patterns[vote] = patterns.get(vote, 0) + 1
+    model = estimate(patterns)
+    assert abs(model.good - 0.7) < 0.05
+    found = model.accuracy.tolist()
+    # The belief in each labeller counts as much as its votes.
+    assert all(abs(f - (a + 0.9) / 2) < 0.04 for f, a in zip(found, accuracy))
+    assert sorted(found, reverse=True) == found
+    assert model.posterior((GOOD,) * 6) > 0.99 > 0.01 > model.posterior((BAD,) * 6)
+
+
+def test_votes_on_kinds_of_text():
+    prose = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}, other and then" for i in range(60)) + "."
+    by_name = lambda text: dict(zip([f.__name__ for f in LABELLERS], votes(text)))
+    assert BAD not in by_name(prose.replace("word", "lamp")).values()
+    assert by_name("HERE IS THE BIG SALE!! " * 20)["capitals"] == BAD
+    assert by_name("home | about | terms | help | " * 10)["separators"] == BAD
+    assert by_name("again and again\n" * 30)["repeated_lines"] == BAD
+    assert by_name("a## b$$ c%% d** " * 10)["marked_words"] == BAD
+    assert votes("") is None and votes(" \n") is None
+
+
+def test_edge_rows(spark, documents):
+    rows = [(i, f"some plain words of text number {chr(97 + i % 26)} are here and go on. " * 3) for i in range(60)]
+    rows += [(100 + i, f"BUY!! NOW!! {'X' * (i + 1)}!! $$$ ### " * 20) for i in range(30)]
+    rows += [(200, None), (201, ""), (None, rows[0][1]), (0, rows[0][1]), (202, "long plain text " * 60_000)]
+    docs = documents(rows)
+    fitted = fit(docs, 70)
+    got = score(docs, fitted[1]).collect()
+    assert len(got) == len(rows)
+    kept = {}
+    for r in got:
+        kept.setdefault(r["doc_id"], set()).add((r["score"], r["kept"]))
+    assert kept[200] == kept[201] == {(0.0, False)}
+    assert kept[None] == kept[0] and len(kept[0]) == 1
+    assert all(next(iter(kept[i]))[1] for i in range(60))
+    assert not any(next(iter(kept[100 + i]))[1] for i in range(30))
+    empty = docs.filter("doc_id = 12345")
+    assert fit(empty) is None and score(empty, None).collect() == []
+
+
+def test_agreement_with_labels_that_were_never_read(spark):
+    sf = "/root/testdata/sf0.1"
+    kept = {r["doc_id"]: r["kept"] for r in op2_quality_classifier(spark, sf).collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()
+    good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1]
+    bad = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.97, sum(good) / len(good)
+    assert sum(bad) / len(bad) < 0.35, sum(bad) / len(bad)
