@@ -33,65 +33,106 @@ ROW = ("_doc", "_text_hash")
 
 
 def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """One row per line with enough tokens: row key, line number, leaf and generalised text."""
-    keyed = docs.select(
-        F.col("doc_id").alias("_doc"),
-        F.xxhash64("text").alias("_text_hash"),
-        F.posexplode(F.split("text", "\n", -1)).alias("at", "line"),
+    """One row per line with enough tokens, in a table: row key, line number, leaf, and the
+    generalised line with its hash. Regular expressions rewrite only lines that need it."""
+    line = F.when(
+        F.col("line").rlike(r"[\x09-\x0D]|  "), F.regexp_replace("line", SPACE, " ")
+    ).otherwise(F.col("line"))
+    general = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[0-9]+", "0")).otherwise(
+        F.col("line")
     )
-    line = F.trim(F.regexp_replace("line", SPACE, " "))
-    general = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[0-9]+", "0")).otherwise(line)
-    tokens = F.split("general", " ", -1)
-    leading = F.transform(
-        F.slice(tokens, 1, depth), lambda t: F.when(t.contains("0"), F.lit("0")).otherwise(t)
-    )
-    return (
-        keyed.withColumn("general", general)
-        .withColumn("size", F.size(tokens))
+    leading = F.substring_index("general", " ", depth)
+    marked = F.when(
+        leading.contains("0"),
+        F.array_join(
+            F.transform(
+                F.split(leading, " ", -1), lambda t: F.when(t.contains("0"), F.lit("0")).otherwise(t)
+            ),
+            " ",
+        ),
+    ).otherwise(leading)
+    lines = (
+        docs.select(
+            F.col("doc_id").alias("_doc"),
+            F.xxhash64("text").alias("_text_hash"),
+            F.posexplode(F.split("text", "\n", -1)).alias("at", "line"),
+        )
+        .withColumn("line", F.trim(line))
+        .withColumn("general", general)
+        .withColumn("size", F.length("general") - F.length(F.replace("general", F.lit(" "))) + 1)
         .filter(F.col("size") >= min_tokens)
-        .select(*ROW, "at", "general", F.xxhash64("size", leading).alias("leaf"))
+    )
+    return written(
+        lines.select(
+            *ROW,
+            "at",
+            F.xxhash64("size", marked).alias("leaf"),
+            F.xxhash64("general").alias("variant"),
+            "general",
+        ),
+        "lines",
     )
 
 
-def _in_several(pairs: DataFrame, key: list[str], min_docs: int) -> DataFrame:
-    """Keys found in at least ``min_docs`` documents, with their first document. Both
-    aggregates combine before the shuffle, so a key of very many lines stays small."""
+def _documents_with(lines: DataFrame, key: list[str]) -> DataFrame:
+    """Number of documents and first document of each key. Both aggregates combine before the
+    shuffle, so a key of very many lines stays small."""
     return (
-        pairs.groupBy(*key, "_doc")
+        lines.groupBy(*key, "_doc")
         .agg(F.lit(1).alias("one"))
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("docs"), F.min("_doc").alias("first_doc"))
-        .filter(F.col("docs") >= min_docs)
     )
 
 
-def templates(hot: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
-    """(leaf, general) -> template, from the lines of leaves that occur in several documents.
+def templates(lines: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
+    """(leaf, variant) -> template, two hashes, of the leaves found in enough documents.
 
-    Works on distinct lines of a leaf, each with its number of documents.
+    A leaf with one variant is that template. In others, tokens are counted by position over
+    the distinct variants, each weighted by its documents; only there the text is read.
     """
-    variants = (
-        hot.groupBy("leaf", "general", "_doc")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("leaf", "general")
-        .agg(F.count(F.lit(1)).alias("docs"))
+    leaves = _documents_with(lines, ["leaf"]).filter(F.col("docs") >= min_docs).select("leaf")
+    counted = _documents_with(lines, ["leaf", "variant"]).drop("first_doc").join(leaves, "leaf")
+    of_leaf = counted.groupBy("leaf").agg(F.count(F.lit(1)).alias("variants"))
+    variants = written(counted.join(of_leaf, "leaf"), "variants")
+    alone = variants.filter("variants = 1").select(
+        "leaf", "variant", F.col("leaf").alias("t1"), F.col("variant").alias("t2")
+    )
+    several = variants.filter("variants > 1")
+    mixed = written(several.select("leaf").distinct(), "mixed-leaves")
+    spelled = (
+        lines.select("leaf", "variant", "general")
+        .join(mixed, "leaf")
+        .groupBy("leaf", "variant")
+        .agg(F.any_value("general").alias("general"))
+        .join(several.select("leaf", "variant", "docs"), ["leaf", "variant"])
     )
-    tokens = variants.select(
-        "leaf", "general", "docs", F.posexplode(F.split("general", " ", -1)).alias("place", "token")
+    tokens = written(
+        spelled.select(
+            "leaf", "variant", "docs", F.posexplode(F.split("general", " ", -1)).alias("place", "token")
+        ).withColumn("token", F.xxhash64("token")),
+        "variant-tokens",
     )
     usual = (
         tokens.groupBy("leaf", "place", "token")
         .agg(F.sum("docs").alias("support"))
-        .filter(F.col("support") >= min_docs)
-        .select("leaf", "place", "token")
+        .withColumn("fixed", F.col("support") >= min_docs)
+        .drop("support")
     )
-    fixed = (
+    mark = F.when(F.col("fixed"), F.xxhash64("place", "token"))
+    patterns = (
         tokens.join(usual, ["leaf", "place", "token"])
-        .groupBy("leaf", "general")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("kept"))
+        .groupBy("leaf", "variant")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.count(mark).alias("kept"),
+            # Independent of the order of rows: the fixed tokens with their places.
+            F.bit_xor(mark).alias("t2"),
+        )
+        .filter(F.col("kept") >= F.lit(fixed_share) * F.col("size"))
     )
-    enough = F.size("kept") >= F.lit(fixed_share) * F.size(F.split("general", " ", -1))
-    return fixed.filter(enough).select("leaf", "general", F.xxhash64("leaf", "kept").alias("template"))
+    general = patterns.select("leaf", "variant", F.xxhash64("leaf", "kept").alias("t1"), "t2")
+    return alone.unionByName(general)
 
 
 def dropped_lines(
@@ -103,17 +144,15 @@ def dropped_lines(
 ) -> DataFrame:
     """One row per document row with recurring lines: key and sorted numbers of those lines."""
     lines = _lines(docs, min_tokens, depth)
-    leaves = written(
-        _in_several(lines.select("leaf", "_doc"), ["leaf"], min_docs).select("leaf"), "leaves"
-    )
-    # Most lines of prose are alone in their leaf; only the others are looked at closely.
-    hot = written(lines.join(leaves, "leaf"), "hot-lines")
-    named = hot.join(templates(hot, min_docs, fixed_share), ["leaf", "general"]).select(
-        *ROW, "at", "template"
+    named = written(
+        lines.select(*ROW, "at", "leaf", "variant")
+        .join(templates(lines, min_docs, fixed_share), ["leaf", "variant"])
+        .select(*ROW, "at", "t1", "t2"),
+        "named-lines",
     )
-    recurring = _in_several(named, ["template"], min_docs).select("template", "first_doc")
+    recurring = _documents_with(named, ["t1", "t2"]).filter(F.col("docs") >= min_docs)
     return (
-        named.join(recurring, "template")
+        named.join(recurring.select("t1", "t2", "first_doc"), ["t1", "t2"])
         .filter(~F.col("_doc").eqNullSafe(F.col("first_doc")))
         .groupBy(*ROW)
         .agg(F.array_sort(F.collect_set("at")).alias("_dropped"))
