@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.llm.common import table, texts
+from roostline.llm.common import table, texts, written
 from roostline.session import scratch_dir
 
 
@@ -155,12 +155,15 @@ def scan(
     known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     before = spark.read.schema(LEDGER_SCHEMA).parquet(ledger) if known else None
     scan_blobs(unseen_blobs(addressed, before, rules), rules).write.mode("append").parquet(ledger)
-    found = (
+    # A table of its own, so that the join below reads exchanges alone and a blob under very
+    # many paths is split.
+    found = written(
         spark.read.schema(LEDGER_SCHEMA)
         .parquet(ledger)
         .filter(F.size("spans") > 0)
         .groupBy("blob")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")),
+        "secret-spans",
     )
     current = F.array(*[F.lit(r.key) for r in rules])
     spans = F.filter("spans", lambda s: F.array_contains(current, s["rule"]))
