@@ -74,10 +74,18 @@ def exclamations(v: View) -> int:
     return bad_if(sum(w.endswith(b"!") for w in v.words) > 0.2 * len(v.words))
 
 
+def distinct_pairs(v: View) -> float:
+    """Share of distinct pairs of neighbouring words; texts under 20 words count as varied."""
+    pairs = len(v.words) - 1
+    return len(set(zip(v.words, v.words[1:]))) / pairs if pairs >= 19 else 1.0
+
+
 def plain_words(v: View) -> int:
-    """Words of letters alone, with at most a mark behind them."""
+    """Words of letters alone, with at most a mark behind them, in a text that goes on."""
     share = sum(PLAIN.fullmatch(w) is not None for w in v.words) / len(v.words)
-    return GOOD if share >= 0.85 else BAD if share < 0.6 else ABSTAIN
+    if share < 0.6:
+        return BAD
+    return GOOD if share >= 0.85 and distinct_pairs(v) >= 0.6 else ABSTAIN
 
 
 def sentence_length(v: View) -> int:
@@ -92,9 +100,7 @@ def repeated_lines(v: View) -> int:
 
 
 def repeated_pairs(v: View) -> int:
-    """Few distinct pairs of neighbouring words."""
-    pairs = len(v.words) - 1
-    return bad_if(pairs >= 19 and len(set(zip(v.words, v.words[1:]))) < 0.5 * pairs)
+    return bad_if(distinct_pairs(v) < 0.5)
 
 
 def runs(v: View) -> int:
@@ -103,11 +109,6 @@ def runs(v: View) -> int:
     return bad_if(len(v.words) >= 20 and same > 0.15 * len(v.words))
 
 
-def variety(v: View) -> int:
-    pairs = len(v.words) - 1
-    return GOOD if pairs >= 49 and len(set(zip(v.words, v.words[1:]))) >= 0.85 * pairs else ABSTAIN
-
-
 def word_length(v: View) -> int:
     mean = sum(map(len, v.words)) / len(v.words)
     return bad_if(mean < 2.5 or mean > 14)
@@ -123,7 +124,6 @@ LABELLERS = (
     repeated_lines,
     repeated_pairs,
     runs,
-    variety,
     word_length,
 )
 
@@ -182,7 +182,8 @@ def word_features(fresh: list[bytes]) -> list[tuple[int, int]]:
 
 
 def vector(found: list[bytes], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text with their values, of length one together."""
+    """Hashed features of a text with their values: those of its words, of length one
+    together, and one for the share of distinct pairs of neighbouring words."""
     counts = Counter(found)
     known = memo.load(counts)
     sums: dict[int, int] = {}
@@ -192,7 +193,11 @@ def vector(found: list[bytes], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     at = np.fromiter(sums, np.int64, len(sums))
     # Shares rather than roots: the length of a text says nothing about its quality.
     values = np.fromiter(sums.values(), float, len(sums))
-    return at, values / np.sqrt((values**2).sum())
+    values /= np.sqrt((values**2).sum())
+    pairs = len(found) - 1
+    varied = len(set(zip(found, found[1:]))) / pairs if pairs >= 19 else 1.0
+    variety = xxhash.xxh3_64_intdigest(b"pairs%d" % (10 * varied)) % BUCKETS
+    return np.append(at, variety), np.append(values, 1.0)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:

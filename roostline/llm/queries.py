@@ -9,13 +9,17 @@ from roostline.llm.planes import op5_bit_planes
 from roostline.llm.quality import op2_quality_classifier
 from roostline.llm.secrets import OP3_SQL, op3_secret_scans
 from roostline.llm.signature_trees import op8_ngram_jaccard_join
+from roostline.llm.small_worlds import op1_nearest_neighbours
+from roostline.llm.suffix_pieces import op6_sentencepiece
 from roostline.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scans": op3_secret_scans,
     "op4_compression_bands": op4_compression_bands,
     "op5_bit_planes": op5_bit_planes,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_packing": op7_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,

@@ -36,9 +36,10 @@ def test_accuracies_are_found_again():
 
 
 def test_votes_on_kinds_of_text():
-    prose = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}, other and then" for i in range(60)) + "."
+    word = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(3))
+    prose = " ".join(word(n * 977) + "." * (n % 9 == 8) for n in range(200))
     by_name = lambda text: dict(zip([f.__name__ for f in LABELLERS], votes(text)))
-    assert BAD not in by_name(prose.replace("word", "lamp")).values()
+    assert BAD not in by_name(prose).values() and by_name(prose)["plain_words"] == GOOD
     assert by_name("HERE IS THE BIG SALE!! " * 20)["capitals"] == BAD
     assert by_name("home | about | terms | help | " * 10)["separators"] == BAD
     assert by_name("again and again\n" * 30)["repeated_lines"] == BAD
@@ -47,7 +48,8 @@ def test_votes_on_kinds_of_text():
 
 
 def test_edge_rows(spark, documents):
-    rows = [(i, f"some plain words of text number {chr(97 + i % 26)} are here and go on. " * 3) for i in range(60)]
+    word = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(3))
+    rows = [(i, " ".join(word(i * 977 + k * 131) + "." * (k % 9 == 8) for k in range(40))) for i in range(60)]
     rows += [(100 + i, f"BUY!! NOW!! {'X' * (i + 1)}!! $$$ ### " * 20) for i in range(30)]
     rows += [(200, None), (201, ""), (None, rows[0][1]), (0, rows[0][1]), (202, "long plain text " * 60_000)]
     docs = documents(rows)
@@ -71,5 +73,5 @@ def test_agreement_with_labels_that_were_never_read(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()
     good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1]
     bad = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
-    assert sum(good) / len(good) > 0.97, sum(good) / len(good)
-    assert sum(bad) / len(bad) < 0.35, sum(bad) / len(bad)
+    assert sum(good) / len(good) > 0.99, sum(good) / len(good)
+    assert sum(bad) / len(bad) < 0.05, sum(bad) / len(bad)

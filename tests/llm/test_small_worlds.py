@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from roostline.llm.small_worlds import Graph, link_level, nearest, op1_nearest_neighbours
+
+
+def brute(rows, k=10, where=lambda i: i % 100 == 0):
+    """Exact answers with the edge rules: {query: [(score, id), ...]}."""
+    kept = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            continue
+        if i not in kept or list(v) < kept[i]:
+            kept[i] = list(v)
+    answers = {}
+    for q in (i for i in kept if where(i)):
+        others = [(i, v) for i, v in kept.items() if i != q and len(v) == len(kept[q])]
+        if others:
+            ids = np.array([i for i, _ in others])
+            apart = np.sqrt(((np.array([v for _, v in others]) - np.array(kept[q])) ** 2).sum(axis=1))
+            order = np.lexsort((ids, apart))[:k]
+            answers[q] = [(float(apart[o]), int(ids[o])) for o in order]
+    return answers
+
+
+def answers_of(df):
+    found = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+        assert r["rank"] == len(found[r["query_id"]])
+    return found
+
+
+def recall(found, exact):
+    hits = sum(len({i for _, i in found.get(q, [])} & {i for _, i in a}) for q, a in exact.items())
+    return hits / sum(map(len, exact.values()))
+
+
+def test_links_are_mutual_and_near():
+    vectors = np.random.default_rng(1).normal(size=(300, 8))
+    links = link_level(vectors, 32)
+    assert links.shape == (300, 32)
+    for point, row in enumerate(links.tolist()):
+        near = [x for x in row if x >= 0]
+        assert near and point not in near and len(set(near)) == len(near)
+    nearest_one = np.argsort(((vectors[:, None] - vectors[None]) ** 2).sum(axis=2), axis=1)[:, 1]
+    assert all(nearest_one[p] in links[p] for p in range(300))
+
+
+def test_a_packed_graph_answers_the_same():
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(700, 16))
+    graph = Graph.build(np.arange(700), vectors)
+    again = Graph.unpack(graph.pack(), 16)
+    assert len(graph.members) > 1
+    for query in rng.normal(size=(20, 16)):
+        assert (graph.search(query, 10) == again.search(query, 10)).all()
+
+
+def test_small_tables_are_answered_exactly_with_edge_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(0, 400)]
+    rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(50)]
+    rows += [(100, [0.0] * 4), (2000, None), (2100, [1.0, None, 0.0, 0.0]), (2200, [float("nan"), 1.0, 0.0, 0.0])]
+    rows += [(2300, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4), (2400, []), (200, [9.0, 9.0, 9.0, 9.0])]
+    rows += [(3000, [1.0, 0.0]), (3001, [0.5, 0.0]), (5, rows[5][1])]
+    df = spark.createDataFrame(
+        [(i, v, 1, 2) for i, v in rows], "vec_id bigint, embedding array<double>, point int, shard int"
+    )
+    found = answers_of(nearest(df, "vec_id % 100 = 0", shard_size=100, breadth=200))
+    exact = brute(rows)
+    assert set(found) == set(exact)
+    for q, answer in exact.items():
+        assert [i for _, i in found[q]] == [i for _, i in answer], q
+        assert [s for s, _ in found[q]] == pytest.approx([s for s, _ in answer])
+    assert answers_of(nearest(df.filter("vec_id < 0"), "vec_id % 100 = 0")) == {}
+
+
+def test_recall_and_scores_of_the_registered_query(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    exact = brute(rows)
+    found = answers_of(op1_nearest_neighbours(spark, sf))
+    assert {q: len(a) for q, a in found.items()} == {q: len(a) for q, a in exact.items()}
+    assert recall(found, exact) >= 0.95
+    scores = dict(rows)
+    for q, answer in found.items():
+        for score, i in answer:
+            direct = math.dist(scores[q], scores[i])
+            assert score == pytest.approx(direct, rel=1e-12)
