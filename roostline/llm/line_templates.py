@@ -150,7 +150,11 @@ def dropped_lines(
         .select(*ROW, "at", "t1", "t2"),
         "named-lines",
     )
-    recurring = _documents_with(named, ["t1", "t2"]).filter(F.col("docs") >= min_docs)
+    # A table of its own, so that the join reads exchanges alone and a template of very many
+    # lines is split.
+    recurring = written(
+        _documents_with(named, ["t1", "t2"]).filter(F.col("docs") >= min_docs), "recurring-templates"
+    )
     return (
         named.join(recurring.select("t1", "t2", "first_doc"), ["t1", "t2"])
         .filter(~F.col("_doc").eqNullSafe(F.col("first_doc")))
@@ -164,7 +168,8 @@ def line_dedup(docs: DataFrame, **limits) -> DataFrame:
     ``_n_dropped``. The other columns are as they were."""
     dropped = written(dropped_lines(docs, **limits), "dropped-lines")
     d = docs.alias("d")
-    c = dropped.alias("c")
+    # The list grows with the documents: one plan at every size.
+    c = dropped.hint("merge").alias("c")
     joined = d.join(
         c,
         F.col("d.doc_id").eqNullSafe(F.col("c._doc"))
