@@ -11,7 +11,6 @@ from oracles.relations import (
     rounded,
     statement,
 )
-from roostline.quality.checks import SPECS
 
 DATES = {
     "calendar_date", "calendar_month", "calendar_year", "calendar_week", "calendar_quarter",
@@ -26,7 +25,8 @@ DOUBLES = {
     "daily_revenue", "adjusted_price", "price_variance", "daily_review_score",
     "total_revenue", "max_daily_revenue", "min_nightly_rate", "max_nightly_rate",
     "total_review_score", "prev_month_revenue", "month_total_revenue",
-    "same_month_last_year_revenue",
+    "same_month_last_year_revenue", "night_review_score", "price_before", "price_after",
+    "difference",
 }
 AS_IS = {
     "listing_name", "neighborhood", "property_type", "room_type", "bathrooms_raw", "host_name",
@@ -71,6 +71,7 @@ FACT = """listing_id calendar_date date_key is_available is_reserved reservation
     number_of_reviews review_scores_rating daily_review_score review_id daily_revenue
     is_occupied available_flag is_blocked calendar_week calendar_month calendar_quarter
     calendar_year day_of_week is_weekend"""
+NIGHTLY = FACT + " night_review_count night_review_score"
 HOSTS = """host_id host_name host_location host_since_date record_observed_date valid_from
     valid_to is_current"""
 LISTINGS_HISTORY = """listing_id listing_name neighborhood property_type room_type accommodates
@@ -143,21 +144,37 @@ STATEMENTS["dim_listings"] = f"""
         {flags('amenities')}
     FROM dim_listings"""
 STATEMENTS["fct_daily"] = f"SELECT {columns(FACT)}, {flags('amenities')} FROM fact"
-STATEMENTS["fct_daily_incremental"] = (
-    f"SELECT {columns(FACT)}, {flags('amenities')} FROM nightly_fact"
+STATEMENTS["fct_daily_nightly"] = STATEMENTS["fct_daily_incremental"] = (
+    f"SELECT {columns(NIGHTLY)}, {flags('amenities')} FROM nightly_fact"
 )
 EARLY = tuple(n for n in NAMES if n != "Wifi")
 STATEMENTS["fct_daily_schema_growth"] = f"""
-    SELECT {columns(FACT)}, {flags('amenities')}
+    SELECT {columns(NIGHTLY)}, {flags('amenities')}
     FROM nightly_fact WHERE calendar_date >= DATE '2022-06-23'
     UNION ALL BY NAME
-    SELECT {columns(FACT)}, {flags('amenities', EARLY)}, CAST(NULL AS BOOLEAN) AS "Wifi"
+    SELECT {columns(NIGHTLY)}, {flags('amenities', EARLY)}, CAST(NULL AS BOOLEAN) AS "Wifi"
     FROM early_fact WHERE calendar_date < DATE '2022-06-23'"""
 STATEMENTS["fct_monthly_listing"] = f"SELECT {columns(LISTING_MONTHS)} FROM listing_months"
 STATEMENTS["fct_monthly_neighborhood"] = (
     f"SELECT {columns(NEIGHBORHOOD_MONTHS)} FROM neighborhood_months"
 )
-STATEMENTS["amenity_revenue"] = f"""
+STATEMENTS["fct_monthly_listing_nightly"] = (
+    f"SELECT {columns(LISTING_MONTHS)} FROM nightly_listing_months"
+)
+STATEMENTS["fct_monthly_neighborhood_nightly"] = (
+    f"SELECT {columns(NEIGHBORHOOD_MONTHS)} FROM nightly_neighborhood_months"
+)
+STATEMENTS["daily_audit"] = """
+    SELECT CASE
+            WHEN calendar_date < DATE '2022-06-23' THEN '2022-07-01 06:00:00'
+            ELSE '2022-08-01 06:00:00' END AS loaded_at,
+        count(*) AS nights, CAST(min(calendar_date) AS VARCHAR) AS first_date,
+        CAST(max(calendar_date) AS VARCHAR) AS last_date
+    FROM nightly_fact GROUP BY 1"""
+
+
+def amenity_revenue(segments: str) -> str:
+    return f"""
     SELECT CAST(s.calendar_month AS VARCHAR) AS calendar_month,
         CAST(s.calendar_year AS BIGINT) AS calendar_year, month_name, quarter_name,
         CAST(fiscal_year AS BIGINT) AS fiscal_year, season, has_air_conditioning,
@@ -172,19 +189,37 @@ STATEMENTS["amenity_revenue"] = f"""
         'Air conditioning' AS ac_column_used
     FROM (SELECT *, lag(total_revenue) OVER (PARTITION BY has_air_conditioning,
             month(calendar_month) ORDER BY calendar_month) AS same_month_last_year_revenue
-        FROM segments) s
-    JOIN (SELECT calendar_month, sum(total_revenue) AS month_total_revenue FROM segments
+        FROM {segments}) s
+    JOIN (SELECT calendar_month, sum(total_revenue) AS month_total_revenue FROM {segments}
         GROUP BY calendar_month) t ON s.calendar_month = t.calendar_month"""
+
+
+STATEMENTS["amenity_revenue"] = amenity_revenue("segments")
+STATEMENTS["amenity_revenue_nightly"] = amenity_revenue("nightly_segments")
 PRICE_WINDOW = """avg_price AS price FROM (
         SELECT listing_id, CAST(sum(adjusted_price) / count(*) AS DECIMAL(18,8)) AS avg_price
-        FROM fact WHERE calendar_date BETWEEN DATE '{}' AND DATE '{}' AND adjusted_price > 0
+        FROM {} WHERE calendar_date BETWEEN DATE '{}' AND DATE '{}' AND adjusted_price > 0
         GROUP BY listing_id)"""
 DIFFERENCE = "price_after - price_before"
 BOTH = f"({DIFFERENCE}) IS NOT NULL"
 MEAN_BEFORE = ratio(f"sum(CASE WHEN {BOTH} THEN price_before END)", f"count({DIFFERENCE})")
 MEAN_AFTER = ratio(f"sum(CASE WHEN {BOTH} THEN price_after END)", f"count({DIFFERENCE})")
 MEAN_CHANGE = ratio(f"sum({DIFFERENCE})", f"count({DIFFERENCE})")
-STATEMENTS["neighborhood_pricing"] = f"""
+
+
+def price_pairs(fact: str) -> str:
+    before = PRICE_WINDOW.format(fact, "2021-07-09", "2021-07-15")
+    after = PRICE_WINDOW.format(fact, "2022-07-08", "2022-07-14")
+    return f"""SELECT a.listing_id, a.neighborhood, b.price AS price_before,
+                c.price AS price_after
+            FROM (SELECT DISTINCT listing_id, neighborhood FROM {fact}
+                WHERE neighborhood IS NOT NULL) a
+            LEFT JOIN (SELECT listing_id, {before}) b ON a.listing_id = b.listing_id
+            LEFT JOIN (SELECT listing_id, {after}) c ON a.listing_id = c.listing_id"""
+
+
+def neighborhood_pricing(fact: str) -> str:
+    return f"""
     SELECT *, rank() OVER (ORDER BY "Avg Price Increase ($)" DESC NULLS LAST)
         AS "Rank by Increase"
     FROM (SELECT neighborhood AS "Neighborhood", count(*) AS "Total Listings",
@@ -205,17 +240,18 @@ STATEMENTS["neighborhood_pricing"] = f"""
             coalesce(string_agg(CASE WHEN price_before IS NOT NULL AND price_after IS NULL
                 THEN CAST(listing_id AS VARCHAR) END, ', ' ORDER BY listing_id), '')
                 AS "Listings Missing 2022 Data"
-        FROM (SELECT a.listing_id, a.neighborhood, b.price AS price_before,
-                c.price AS price_after
-            FROM (SELECT DISTINCT listing_id, neighborhood FROM fact
-                WHERE neighborhood IS NOT NULL) a
-            LEFT JOIN (SELECT listing_id, {PRICE_WINDOW.format('2021-07-09', '2021-07-15')}) b
-                ON a.listing_id = b.listing_id
-            LEFT JOIN (SELECT listing_id, {PRICE_WINDOW.format('2022-07-08', '2022-07-14')}) c
-                ON a.listing_id = c.listing_id)
+        FROM ({price_pairs(fact)})
         GROUP BY neighborhood HAVING count({DIFFERENCE}) > 0)"""
 
 
+STATEMENTS["neighborhood_pricing"] = neighborhood_pricing("fact")
+STATEMENTS["neighborhood_pricing_nightly"] = neighborhood_pricing("nightly_fact")
+STATEMENTS["listing_price_changes"] = f"""
+    SELECT {columns('listing_id neighborhood price_before price_after')},
+        CAST({DIFFERENCE} AS DOUBLE) AS difference
+    FROM ({price_pairs('nightly_fact')})"""
+
+
 def stays(where: str) -> str:
     """Longest stay per listing; the earliest span wins a tie."""
     return f"""(SELECT listing_id, listing_name, neighborhood,
@@ -267,12 +303,14 @@ STATEMENTS["max_stay_lockbox_firstaid"] = f"""
     LEFT JOIN dim_listings l ON s.listing_id = l.listing_id AND l.is_current
     LEFT JOIN dim_date d ON best_span_start = date_day"""
 LATE = f"""(SELECT count(*) AS late_count FROM raw_calendar
-    WHERE date < (SELECT max(calendar_date) FROM calendar) - INTERVAL 7 DAY
+    WHERE date < (SELECT max(calendar_date) FROM nightly_fact) - INTERVAL 7 DAY
         AND _loaded_at >= {NOW} - INTERVAL 48 HOUR)"""
 STATEMENTS["late_arrivals"] = f"SELECT CAST(late_count AS BIGINT) AS late_count FROM {LATE}"
 NEW_NAMES = """SELECT DISTINCT amenity_name FROM change_names WHERE amenity_name NOT IN (
     SELECT amenity_name FROM early_names)"""
-STATEMENTS["schema_drift"] = f"SELECT amenity_name, 'added' AS change FROM ({NEW_NAMES})"
+STATEMENTS["schema_drift"] = f"""
+    SELECT amenity_name, 'added' AS change FROM ({NEW_NAMES})
+    UNION ALL SELECT 'Sauna', 'removed'"""
 STATEMENTS["refresh_decision"] = f"""
     SELECT new_amenities > 0 AS schema_changed, late_count > 0 AS late_arrivals, new_amenities,
         late_count, CASE WHEN new_amenities > 0 OR late_count > 0 THEN 'full_refresh'
@@ -319,15 +357,50 @@ CHECKED = {
 }
 
 
-def check_sql(table: str, column: str, test: str, values: tuple, severity: str) -> str:
+# Table, then its checks as column:test[:values][!] with ! for a mere warning.
+CHECK_LIST = """
+raw.listings | id:unique id:not_null host_id:not_null
+raw.calendar | listing_id:not_null date:not_null available:not_null
+raw.generated_reviews | id:unique id:not_null!
+raw.amenities_changelog | listing_id:not_null change_at:not_null amenities:not_null
+stg_listings | listing_id:unique listing_id:not_null
+stg_calendar | listing_id:not_null calendar_date:not_null
+stg_reviews | review_id:unique review_id:not_null! listing_id:not_null
+stg_amenities_changelog | listing_id:not_null change_at:not_null
+int_listing_amenities_scd | listing_id:not_null valid_from:not_null valid_to:not_null
+int_calendar_enriched | listing_id:not_null calendar_date:not_null
+int_availability_spans | listing_id:not_null span_start_date:not_null span_end_date:not_null
+int_hosts_history | host_id:unique host_id:not_null valid_from:not_null valid_to:not_null
+int_listings_history | listing_id:not_null valid_from:not_null valid_to:not_null
+dim_date | date_day:unique date_key:unique date_day:not_null date_key:not_null
+dim_date | is_weekend:not_null season:in:Winter,Spring,Summer,Fall
+dim_hosts | host_sk:unique host_sk:not_null host_id:not_null is_current:not_null
+dim_hosts | host_experience_tier:in:New_Host,Established_Host,Veteran_Host
+dim_listings | listing_sk:unique listing_sk:not_null listing_id:not_null is_current:not_null
+dim_listings | capacity_tier:in:Small_(1-2),Medium_(3-4),Large_(5-6),Extra_Large_(7+)
+dim_listings | price_tier:in:Budget,Economy,Mid-Range,Premium,Luxury
+dim_listings | rating_tier:in:Exceptional,Excellent,Good,Average,Below_Average!
+fct_daily_listing_performance | listing_id:not_null calendar_date:not_null date_key:not_null
+fct_daily_listing_performance | is_occupied:in:0,1 available_flag:in:0,1 is_blocked:in:0,1
+fct_monthly_listing_performance | listing_id:not_null calendar_month:not_null
+fct_monthly_neighborhood_summary | neighborhood:not_null calendar_month:not_null
+"""
+
+
+def check_sql(table: str, check: str) -> str:
+    severity = "warn" if check.endswith("!") else "error"
+    column, test, *values = check.rstrip("!").split(":")
     source = CHECKED[table]
-    listed = ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values)
-    failing = {
-        "not_null": f"SELECT count(*) FROM {source} WHERE {column} IS NULL",
-        "accepted_values": f"SELECT count(*) FROM {source} WHERE {column} NOT IN ({listed})",
-        "unique": f"SELECT count(*) FROM (SELECT {column} FROM {source} "
-        f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)",
-    }[test]
+    if test == "not_null":
+        failing = f"SELECT count(*) FROM {source} WHERE {column} IS NULL"
+    elif test == "unique":
+        failing = f"""SELECT count(*) FROM (SELECT {column} FROM {source}
+            WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"""
+    else:
+        test = "accepted_values"
+        listed = ", ".join(f"'{v.replace('_', ' ')}'" for v in values[0].split(","))
+        failing = f"""SELECT count(*) FROM {source}
+            WHERE CAST({column} AS VARCHAR) NOT IN ({listed})"""
     return (
         f"SELECT '{table}' AS tbl, '{column}' AS col, '{test}' AS test, "
         f"({failing}) AS failures, '{severity}' AS severity"
@@ -339,9 +412,9 @@ STATEMENTS["dq_results"] = """
         CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END
             AS status
     FROM (""" + " UNION ALL ".join(
-    check_sql(table, c.column, c.test, c.values, c.severity)
-    for table, checks in SPECS.items()
-    for c in checks
+    check_sql(table.strip(), check)
+    for table, checks in (line.split(" | ") for line in CHECK_LIST.strip().splitlines())
+    for check in checks.split()
 ) + ")"
 STATEMENTS["surrogate_keys"] = """
     SELECT listing_id, CAST(calendar_date AS VARCHAR) AS calendar_date,

@@ -2,6 +2,7 @@
 
 from roostline.functions.amenities import (
     amenity_flag,
+    known_names,
     parse_amenities,
     resolve_alias,
     vocabulary,
@@ -26,6 +27,7 @@ __all__ = [
     "exact_average",
     "exact_sum",
     "is_weekend",
+    "known_names",
     "parse_amenities",
     "pct_change",
     "ratio",

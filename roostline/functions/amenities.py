@@ -12,9 +12,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A published table has one column per name, so a larger vocabulary cannot be widened.
-MAX_NAMES = 10_000
-
 
 def parse_amenities(text: str | Column, mode: str = "failfast") -> Column:
     """JSON array text to a sorted, trimmed, de-duplicated array.
@@ -39,15 +36,17 @@ def vocabulary_frame(df: DataFrame, column: str = "amenities") -> DataFrame:
 
 
 def vocabulary(df: DataFrame, column: str = "amenities") -> list[str]:
-    """The sorted names on the driver, needed before a wide table can be planned.
-
-    Only names travel to the driver. A vocabulary too large to be columns is an error, it
-    is never cut.
+    """The sorted names on the driver, needed before a wide table can be planned: one per
+    column of that table. A table published with the array column needs none.
     """
-    rows = vocabulary_frame(df, column).limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} amenity names cannot become columns")
-    return sorted(row.amenity_name for row in rows)
+    return sorted(row.amenity_name for row in vocabulary_frame(df, column).collect())
+
+
+def known_names(df: DataFrame, candidates: Iterable[str], column: str = "amenities") -> list[str]:
+    """Which of a few given spellings occur; no other name reaches the driver."""
+    wanted = F.array(*[F.lit(c) for c in candidates])
+    found = df.select(F.array_intersect(column, wanted).alias("amenities"))
+    return vocabulary(found.filter(F.size("amenities") > 0))
 
 
 def quoted(name: str) -> Column:

@@ -32,8 +32,12 @@ def pct_change(now: str | Column, before: str | Column) -> Column:
 
 
 def exact_sum(value: str | Column) -> Column:
-    """Sum of a number with at most six decimal places, free of rounding."""
-    return F.sum(_column(value).cast("decimal(20,6)"))
+    """Sum that does not depend on the order of rows.
+
+    Twelve decimals and 26 digits before the point: every digit of a stored score, rating or
+    price. Means are never summed, their sums and counts are.
+    """
+    return F.sum(_column(value).cast("decimal(38,12)"))
 
 
 def exact_average(value: str | Column) -> Column:

@@ -20,7 +20,9 @@ BEGINNING = "0001-01-01"
 
 def scd2_intervals(changes: DataFrame, key: str, changed_on: str) -> DataFrame:
     """Turn change dates into closed, abutting ``[valid_from, valid_to]`` periods."""
-    following = F.lead(changed_on).over(Window.partitionBy(key).orderBy(changed_on))
+    # The source dialect sorts NULL last: an undated change ends no period.
+    order = F.col(changed_on).asc_nulls_last()
+    following = F.lead(changed_on).over(Window.partitionBy(key).orderBy(order))
     others = [c for c in changes.columns if c not in (key, changed_on)]
     return changes.select(
         key,
@@ -37,13 +39,15 @@ def point_in_time_join(
 
     The equality on the key drives the join, the date range is its residual condition.
     """
-    right = history.withColumnRenamed(key, "__key")
+    right = history.withColumnsRenamed(
+        {key: "__key", "valid_from": "__from", "valid_to": "__to"}
+    )
     covered = (
         (facts[key] == right["__key"])
-        & (facts[at] >= right["valid_from"])
-        & (facts[at] <= right["valid_to"])
+        & (facts[at] >= right["__from"])
+        & (facts[at] <= right["__to"])
     )
-    return facts.join(right, covered, how).drop("__key", "valid_from", "valid_to")
+    return facts.join(right, covered, how).drop("__key", "__from", "__to")
 
 
 def continuous_periods(
@@ -60,8 +64,10 @@ def continuous_periods(
     by the key. A later join shuffles these few rows once more, and with an exchange directly
     below both of its sides adaptive execution can split an entity that holds many rows.
     """
+    # A period without a start covers no date; it must not stand for "no history" below.
+    dated = history.filter(F.col("valid_from").isNotNull())
     earlier = F.lag("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
-    known = history.select(
+    known = dated.select(
         F.col(key).alias("__key"),
         F.col("valid_from").alias("__from"),
         F.col("valid_to").alias("__to"),

@@ -29,13 +29,13 @@ def dense_rank_by_value(
 
     if within is None:
         # As few rows as there are distinct values.
-        ranks = F.broadcast(ranked(ranks, overall))
+        ranks = ranked(ranks, overall)
     else:
         values = ranked(ranks.select(F.col(inner[value])).distinct(), overall)
         values = values.withColumnRenamed(inner[value], "__ranked")
         ranks = (
             ranked(ranks, within[1], inner[within[0]])
-            .join(F.broadcast(values), F.col(inner[value]).eqNullSafe(F.col("__ranked")))
+            .join(values, F.col(inner[value]).eqNullSafe(F.col("__ranked")))
             .drop("__ranked")
         )
     same = F.lit(True)

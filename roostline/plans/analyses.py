@@ -107,17 +107,18 @@ def amenity_revenue(
     )
 
 
-def neighborhood_pricing(
+def listing_price_changes(
     fact: DataFrame,
     earlier: datetime.date = EARLIER_ANCHOR,
     later: datetime.date = LATER_ANCHOR,
     radius: int = ANCHOR_RADIUS,
 ) -> DataFrame:
-    """Average price change per neighborhood between the weeks around two anchor dates.
+    """One row per listing and neighborhood it was ever in, with its mean prices in the weeks
+    around two anchor dates: the long form of the price analysis, for publishing.
 
-    All listings and both weeks come from one pass: each listing keeps its two conditional
-    price sums. A listing's mean price has eight decimals, as a decimal average has in the
-    source dialect.
+    Both weeks come from one pass: each listing keeps its two conditional price sums. Prices
+    belong to the listing, so a listing that moved counts in both neighborhoods. A mean price
+    has eight decimals, as a decimal average has in the source dialect.
     """
 
     def in_window(anchor: datetime.date) -> Column:
@@ -131,12 +132,25 @@ def neighborhood_pricing(
         price = F.when(in_window(anchor), F.col("adjusted_price"))
         return (F.sum(price) / F.nullif(F.count(price), F.lit(0))).cast("decimal(18,8)")
 
-    listings = (
-        fact.filter(F.col("neighborhood").isNotNull())
-        .groupBy("listing_id", "neighborhood")
-        .agg(mean_price(earlier).alias("price_before"), mean_price(later).alias("price_after"))
+    prices = fact.groupBy("listing_id").agg(
+        mean_price(earlier).alias("price_before"), mean_price(later).alias("price_after")
+    )
+    places = fact.filter(F.col("neighborhood").isNotNull()).select("listing_id", "neighborhood")
+    return (
+        places.distinct()
+        .join(prices, "listing_id")
         .withColumn("difference", F.col("price_after") - F.col("price_before"))
     )
+
+
+def neighborhood_pricing(
+    fact: DataFrame,
+    earlier: datetime.date = EARLIER_ANCHOR,
+    later: datetime.date = LATER_ANCHOR,
+    radius: int = ANCHOR_RADIUS,
+) -> DataFrame:
+    """Average price change per neighborhood between the weeks around two anchor dates."""
+    listings = listing_price_changes(fact, earlier, later, radius)
     both = F.col("difference").isNotNull()
     missing = F.col("price_before").isNotNull() & F.col("price_after").isNull()
     # The difference as a whole number of its last decimal, for an exact sum of squares.
@@ -197,14 +211,20 @@ def neighborhood_pricing(
         round_half_up(deviation, 2).alias("StdDev Price Change"),
         F.col("ids_missing").alias("Listings Missing 2022 Data"),
     )
-    # The report has one row per neighborhood; its rank runs over those rows only.
+    # The rank runs over neighborhoods and increases alone, not over the texts of ids.
     by_increase = Window.orderBy(F.desc_nulls_last("Avg Price Increase ($)"))
-    return report.withColumn(
-        "Rank by Increase", F.rank().over(by_increase).cast("long")
-    ).orderBy(F.desc_nulls_last("Avg Price Increase ($)"), "Neighborhood")
+    ranks = report.select(
+        F.col("Neighborhood").alias("__neighborhood"),
+        F.rank().over(by_increase).cast("long").alias("Rank by Increase"),
+    )
+    return (
+        report.join(ranks, F.col("Neighborhood") == F.col("__neighborhood"))
+        .drop("__neighborhood")
+        .orderBy(F.desc_nulls_last("Avg Price Increase ($)"), "Neighborhood")
+    )
 
 
-def _longest_stays(spans: DataFrame) -> DataFrame:
+def _longest_stays(spans: DataFrame, *carried: str) -> DataFrame:
     """Per listing the longest stay and the span that allows it, the earliest on a tie."""
     nights = F.col("effective_max_stay_nights")
     best = F.max_by(
@@ -213,7 +233,7 @@ def _longest_stays(spans: DataFrame) -> DataFrame:
     )
     mean = round_half_up(ratio(F.sum(nights), F.count(nights)), 1)
     return (
-        spans.groupBy("listing_id", "listing_name", "neighborhood")
+        spans.groupBy("listing_id", "listing_name", "neighborhood", *carried)
         .agg(
             F.max(nights).alias("max_possible_stay_nights"),
             best.alias("best"),
@@ -307,14 +327,14 @@ def max_stay_with_amenities(
     An amenity without any known spelling leaves no listing that has it.
     """
     names = [resolve_alias(lockbox, vocabulary), resolve_alias(first_aid_kit, vocabulary)]
-    qualified = spans
+    qualified = F.lit(True)
     for name in names:
-        qualified = qualified.filter(
-            F.lit(False) if name is None else amenity_flag(spans, name)
-        )
-    overall = spans.agg(F.max("effective_max_stay_nights"))
+        qualified = qualified & (F.lit(False) if name is None else amenity_flag(spans, name))
+    # One aggregate per listing serves both: the overall maximum and the qualified listings.
+    longest_of_all = _longest_stays(spans.withColumn("__qualified", qualified), "__qualified")
+    overall = longest_of_all.agg(F.max("max_possible_stay_nights"))
     stays = _with_dimensions(
-        _longest_stays(qualified),
+        longest_of_all.filter("__qualified").drop("__qualified"),
         dim_listings,
         dim_date,
         {"season": "best_span_season", "month_name": "best_span_month"},

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.functions import date_key, is_weekend, surrogate_key, weekday, years_between
+from roostline.operators import point_in_time_join
 
 # Bounds of the date dimension and the start of the fiscal year.
 FIRST_DAY = "2020-01-01"
@@ -144,15 +145,15 @@ def dim_hosts(hosts_history: DataFrame, as_of: datetime.date | str) -> DataFrame
 def dim_listings(listings_history: DataFrame, scd: DataFrame) -> DataFrame:
     """Listing periods with surrogate key, tiers and the amenities of the period.
 
-    Listing periods start on amenity change dates, or belong to a listing without any
-    change. The period that covers a start is therefore the one that begins on that day,
-    and the lookup is an equality on listing and date instead of a range. A period without
-    known amenities has the empty set: every flag reads false, not NULL.
+    The amenities are those of the period that covers the start of the listing period; a
+    listing has few of either. A period without known amenities has the empty set: every flag
+    reads false, not NULL.
     """
-    amenities = scd.select("listing_id", "valid_from", "amenities")
+    amenities = scd.select("listing_id", "valid_from", "valid_to", "amenities")
     accommodates, price = F.col("accommodates"), F.col("base_price")
     rating = F.col("review_scores_rating")
-    return listings_history.join(amenities, ["listing_id", "valid_from"], "left").select(
+    covered = point_in_time_join(listings_history, amenities, "listing_id", "valid_from")
+    return covered.select(
         surrogate_key("listing_id", "valid_from").alias("listing_sk"),
         "listing_id",
         "listing_name",

@@ -56,6 +56,8 @@ FACT_COLUMNS = (
     "day_of_week",
     "is_weekend",
 )
+# Of the keyed fact only: all reviews of the night and the sum of their scores.
+NIGHT_COLUMNS = ("night_review_count", "night_review_score")
 # Room types counted by name.
 ROOM_TYPES = {
     "entire_home_listings": "Entire home/apt",
@@ -75,8 +77,17 @@ def _with_reviews(calendar: DataFrame, reviews: DataFrame, mode: str) -> DataFra
         daily = dated.groupBy(*keys).agg(
             exact_average("review_score").alias("review_score"),
             F.min("review_id").alias("review_id"),
+            F.count("review_id").alias("night_review_count"),
+            exact_sum("review_score").alias("night_review_score"),
+        )
+        joined = calendar.join(daily, keys, "left").withColumns(
+            {
+                "night_review_count": F.coalesce("night_review_count", F.lit(0).cast("long")),
+                "night_review_score": F.coalesce(
+                    "night_review_score", F.lit(0).cast("decimal(38,12)")
+                ),
+            }
         )
-        joined = calendar.join(daily, keys, "left")
     else:
         raise ValueError(f"reviews must be 'fanout' or 'aggregate', not {mode!r}")
     return joined.withColumn("daily_review_score", F.coalesce("review_score", F.lit(0.0))).drop(
@@ -95,8 +106,9 @@ def fct_daily(
     """Nightly revenue, occupancy, price, reviews and point-in-time amenities.
 
     ``reviews='fanout'`` repeats a night once per review of that night. ``'aggregate'``
-    keeps one row per listing and night (mean score, smallest review id); a keyed upsert
-    needs it. Reviews join first, while a calendar row is still narrow; the listing join
+    keeps one row per listing and night (mean score, smallest review id, number of reviews
+    and sum of their scores, from which the rollups count every review); a keyed upsert needs
+    it. Reviews join first, while a calendar row is still narrow; the listing join
     comes last, so the result is already partitioned by listing for the monthly rollup.
 
     With a vocabulary the amenities become one boolean column per name, otherwise they stay
@@ -126,11 +138,25 @@ def fct_daily(
         "calendar_week": F.trunc("calendar_date", "week"),
         "calendar_quarter": F.trunc("calendar_date", "quarter"),
     }
+    extra = NIGHT_COLUMNS if reviews == "aggregate" else ()
     return nights.select(
-        *[computed.get(name, F.col(name)).alias(name) for name in FACT_COLUMNS], *amenities
+        *[computed.get(name, F.col(name)).alias(name) for name in (*FACT_COLUMNS, *extra)],
+        *amenities,
     )
 
 
+def _review_count(fact: DataFrame) -> Column:
+    if "night_review_count" in fact.columns:
+        return F.sum("night_review_count")
+    return F.count("review_id")
+
+
+def _review_score(fact: DataFrame) -> Column:
+    if "night_review_score" in fact.columns:
+        return F.sum("night_review_score")
+    return exact_sum("daily_review_score")
+
+
 def _occupancy_rate(occupied: str, available: str) -> Column:
     return round_half_up(ratio(occupied, F.col(occupied) + F.col(available)) * 100, 2)
 
@@ -163,8 +189,8 @@ def fct_monthly_listing(fact: DataFrame) -> DataFrame:
         F.sum("is_blocked").alias("blocked_nights"),
         F.count(F.lit(1)).alias("total_nights"),
         exact_average("review_scores_rating").alias("avg_review_score"),
-        F.count("review_id").alias("review_count"),
-        exact_sum("daily_review_score").cast("double").alias("total_review_score"),
+        _review_count(fact).alias("review_count"),
+        _review_score(fact).cast("double").alias("total_review_score"),
         F.min("adjusted_price").alias("min_nightly_rate"),
         F.max("adjusted_price").alias("max_nightly_rate"),
         F.sum(cents).cast("decimal(38,0)").alias("__cents"),
@@ -220,13 +246,35 @@ def fct_monthly_listing(fact: DataFrame) -> DataFrame:
     )
 
 
+def _exact_medians(nights: DataFrame, group: list[str]) -> DataFrame:
+    prices = (
+        nights.filter(F.col("adjusted_price").isNotNull())
+        .groupBy(*group, "adjusted_price")
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    )
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("adjusted_price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = prices.withColumns(
+        {"__last": F.sum("__copies").over(upto), "__all": F.sum("__copies").over(whole)}
+    )
+    price = F.col("adjusted_price").cast("double")
+    low = F.min(F.when(F.col("__last") * 2 >= F.col("__all"), price))
+    high = F.min(F.when(F.col("__last") * 2 > F.col("__all"), price))
+    return placed.groupBy(*group).agg(((low + high) / 2).alias("median_nightly_rate"))
+
+
+def _approximate_medians(nights: DataFrame, group: list[str]) -> DataFrame:
+    middle = F.percentile_approx("adjusted_price", F.lit(0.5)).cast("double")
+    return nights.groupBy(*group).agg(middle.alias("median_nightly_rate"))
+
+
 def fct_monthly_neighborhood(fact: DataFrame, median: str = "exact") -> DataFrame:
     """Monthly figures per neighborhood: ranks, market shares, change against last month.
 
     Distinct listings are counted by first rolling up to listing and month, so the nights
     are neither expanded once per distinct count nor gathered by neighborhood. The exact
-    median counts equal prices on the map side and needs the space of the distinct prices;
-    ``median='approx'`` is an opt-in for prices without that repetition.
+    median counts equal prices before the shuffle and runs over these counts in order, in a
+    window that may spill; ``median='approx'`` is an opt-in that keeps a sketch instead.
     """
     located = fact.filter(F.col("neighborhood").isNotNull())
     group = ["neighborhood", "calendar_month", "calendar_year"]
@@ -247,7 +295,7 @@ def fct_monthly_neighborhood(fact: DataFrame, median: str = "exact") -> DataFram
         ],
         exact_sum("review_scores_rating").alias("rating"),
         F.count("review_scores_rating").alias("rating_nights"),
-        F.count("review_id").alias("reviews"),
+        _review_count(fact).alias("reviews"),
     )
     sums = per_listing.groupBy(*group).agg(
         F.count("listing_id").alias("active_listings"),
@@ -265,10 +313,7 @@ def fct_monthly_neighborhood(fact: DataFrame, median: str = "exact") -> DataFram
         ratio(F.sum("rating"), F.sum("rating_nights")).alias("avg_review_score"),
         F.sum("reviews").alias("total_reviews"),
     )
-    middle = {"exact": F.percentile, "approx": F.percentile_approx}[median]
-    medians = located.groupBy(*group).agg(
-        middle("adjusted_price", F.lit(0.5)).cast("double").alias("median_nightly_rate")
-    )
+    medians = {"exact": _exact_medians, "approx": _approximate_medians}[median](located, group)
     same = F.lit(True)
     for c in group:
         same = same & sums[c].eqNullSafe(medians[c])

@@ -9,9 +9,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.functions import vocabulary, vocabulary_frame, widen
+from roostline.functions import known_names, vocabulary, vocabulary_frame, widen
 from roostline.plans import analyses, dimensions, facts, intermediate, staging
 from roostline.quality import (
+    checks_gate,
     freshness_gate,
     refresh_decision,
     run_checks,
@@ -67,6 +68,14 @@ class Lineage:
         """Names in the listings: the amenity columns of listings and spans."""
         return vocabulary(self.listings)
 
+    def known_names(self, *candidates: str) -> list[str]:
+        """Which of these spellings the changelog has."""
+        return known_names(self.events(), candidates)
+
+    def known_listing_names(self, *candidates: str) -> list[str]:
+        """Which of these spellings the listings have."""
+        return known_names(self.listings, candidates)
+
     def spans(self) -> DataFrame:
         return intermediate.availability_spans(self.calendar, self.listings, self.unique_days)
 
@@ -110,17 +119,23 @@ def load_daily(
     strategy: str,
     names: list[str] | None = None,
     reviews: str = "aggregate",
+    wide: bool = True,
 ) -> DataFrame:
     """Build the nightly fact in full, or upsert the reprocess window into it.
 
     Both modes keep one row per listing and night by default, so they agree on every row. An
     incremental load into a missing or empty table is a full load. ``reviews='fanout'``
-    repeats a night per review, which only a full load can store.
+    repeats a night per review, which only a full load can store. ``wide=False`` stores the
+    amenities as one array column, for vocabularies that cannot be columns.
     """
-    names = lineage.amenity_names() if names is None else names
+    if not wide:
+        names = None
+    elif names is None:
+        names = lineage.amenity_names()
     bound = None
     if strategy == "incremental" and warehouse.exists("marts", DAILY):
-        bound = reprocess_bound(warehouse.read("marts", DAILY))
+        newest = warehouse.newest_month("marts", DAILY)
+        bound = reprocess_bound(warehouse.read("marts", DAILY), month=newest)
     if bound is not None and reviews != "aggregate":
         raise ValueError("an upsert needs one row per listing and night: reviews='aggregate'")
     rows = lineage.fct_daily(reviews, names, since=bound)
@@ -140,26 +155,37 @@ def run_pipeline(
     json_mode: str = "failfast",
     reviews: str = "aggregate",
     publish: bool = False,
+    gate: bool = True,
+    wide: bool = True,
 ) -> RunResult:
     """One daily run. ``as_of`` is the run time: gates, tenure, ages and audit use it.
 
-    Order: freshness (an error stops the run), staging and history, late rows and amenity
-    drift, load mode, dimensions, fact, rollups, analyses, checks. Marts are written; the
-    other layers are views.
+    Order: freshness (an error stops the run), source checks, staging and history, late rows
+    and amenity drift, load mode, dimensions, fact, rollups, all other checks, publishing,
+    analyses. Marts are written; the other layers are views. With ``gate`` a check of error
+    severity that finds rows stops the run: of a source before anything is loaded, of another
+    table before anything is published. ``wide=False`` keeps amenities as array columns in
+    all tables and needs no vocabulary.
     """
     freshness = freshness_gate(source_freshness(sources.items(), as_of))
     lineage = Lineage(sources, json_mode)
-    names, listing_names = lineage.amenity_names(), lineage.listing_amenity_names()
     tables: dict[str, DataFrame] = {f"raw.{name}": df for name, df in sources.items()}
+    if gate:
+        checks_gate(run_checks(tables))
+    names = lineage.amenity_names() if wide else None
+    listing_names = lineage.listing_amenity_names() if wide else None
+
+    def widened(df: DataFrame, columns: list[str] | None) -> DataFrame:
+        return df if columns is None else widen(df, columns)
 
     spans, hosts = lineage.spans(), intermediate.hosts_history(lineage.listings)
     views = {
-        "stg_listings": widen(lineage.listings, listing_names),
+        "stg_listings": widened(lineage.listings, listing_names),
         "stg_calendar": lineage.calendar,
         "stg_reviews": lineage.reviews,
-        "stg_amenities_changelog": widen(lineage.changelog, names),
-        "int_listing_amenities_scd": widen(lineage.scd, names),
-        "int_availability_spans": widen(spans, listing_names),
+        "stg_amenities_changelog": widened(lineage.changelog, names),
+        "int_listing_amenities_scd": widened(lineage.scd, names),
+        "int_availability_spans": widened(spans, listing_names),
         "int_calendar_enriched": intermediate.calendar_enriched(
             lineage.calendar, lineage.listings, lineage.scd, names
         ),
@@ -172,11 +198,10 @@ def run_pipeline(
     strategy = "full_refresh"
     if warehouse.exists("marts", DAILY):
         target = warehouse.read("marts", DAILY, by_month=True)
-        drift = schema_drift(
-            vocabulary_frame(lineage.events()),
-            target.columns,
-            (*facts.FACT_COLUMNS, AUDIT_COLUMN),
-        )
+        known = (*facts.FACT_COLUMNS, *facts.NIGHT_COLUMNS, "amenities", AUDIT_COLUMN)
+        found = vocabulary_frame(lineage.events())
+        # An array column takes any name.
+        drift = schema_drift(found if wide else found.limit(0), target.columns, known)
         late = check_late_arrivals(sources.calendar, target, as_of)
         strategy = refresh_decision(drift, late).first().strategy
 
@@ -185,10 +210,13 @@ def run_pipeline(
 
     mart(dimensions.dim_date(spark, as_of.date()), "dim_date")
     mart(dimensions.dim_hosts(hosts, as_of.date()), "dim_hosts")
-    mart(widen(lineage.dim_listings(), names), "dim_listings")
-    tables[DAILY] = load_daily(spark, lineage, warehouse, as_of, strategy, names, reviews)
+    mart(widened(lineage.dim_listings(), names), "dim_listings")
+    tables[DAILY] = load_daily(spark, lineage, warehouse, as_of, strategy, names, reviews, wide)
     mart(facts.fct_monthly_listing(tables[DAILY]), LISTING_MONTHS)
     mart(facts.fct_monthly_neighborhood(tables[DAILY]), NEIGHBORHOOD_MONTHS)
+    checks = run_checks(tables)
+    if gate:
+        checks_gate(checks)
     if publish:
         for name in ("dim_date", "dim_hosts", "dim_listings", LISTING_MONTHS, NEIGHBORHOOD_MONTHS):
             warehouse.publish("marts", name)
@@ -196,13 +224,19 @@ def run_pipeline(
 
     dim_listings, dim_date = tables["dim_listings"], tables["dim_date"]
     answers = {
-        "problem_1_amenity_revenue": analyses.amenity_revenue(tables[DAILY], dim_date, names),
+        "problem_1_amenity_revenue": analyses.amenity_revenue(
+            tables[DAILY], dim_date, names or lineage.known_names(*analyses.AIR_CONDITIONING)
+        ),
         "problem_2_neighborhood_pricing": analyses.neighborhood_pricing(tables[DAILY]),
         "problem_3a_max_stay_duration": analyses.max_stay(spans, dim_listings, dim_date),
         "problem_3b_max_stay_lockbox_firstaid": analyses.max_stay_with_amenities(
-            spans, dim_listings, dim_date, listing_names
+            spans,
+            dim_listings,
+            dim_date,
+            listing_names
+            or lineage.known_listing_names(*analyses.LOCKBOX, *analyses.FIRST_AID_KIT),
         ),
     }
     for name, df in answers.items():
         tables[name] = warehouse.view(df, name)
-    return RunResult(freshness, strategy, tables, run_checks(tables))
+    return RunResult(freshness, strategy, tables, checks)

@@ -1,4 +1,13 @@
-from roostline.quality.checks import Check, SPECS, accepted, not_null, run_checks, unique
+from roostline.quality.checks import (
+    SPECS,
+    Check,
+    FailedChecksError,
+    accepted,
+    checks_gate,
+    not_null,
+    run_checks,
+    unique,
+)
 from roostline.quality.gates import (
     FRESHNESS,
     StaleSourceError,
@@ -12,8 +21,10 @@ __all__ = [
     "FRESHNESS",
     "SPECS",
     "Check",
+    "FailedChecksError",
     "StaleSourceError",
     "accepted",
+    "checks_gate",
     "freshness_gate",
     "not_null",
     "refresh_decision",

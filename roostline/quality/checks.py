@@ -127,6 +127,19 @@ def _check_table(name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+class FailedChecksError(RuntimeError):
+    """Checks of error severity found rows."""
+
+
+def checks_gate(results: DataFrame) -> str:
+    """'passed' or 'warning'; raises when a check of error severity fails. One row per check."""
+    rows = results.filter("status <> 'pass'").collect()
+    failed = sorted(f"{r.table}.{r.column} {r.test}: {r.failures}" for r in rows if r.status == "fail")
+    if failed:
+        raise FailedChecksError("; ".join(failed))
+    return "warning" if rows else "passed"
+
+
 def run_checks(
     tables: Mapping[str, DataFrame], specs: Mapping[str, Sequence[Check]] = SPECS
 ) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # SQL settings only: cluster sizing (executors, shuffle partitions) stays with the caller.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Amenities that differ by case are different columns.
+    "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1,4 +1,4 @@
 from roostline.sinks.tables import NAMESPACES, Warehouse, namespace, read_months
-from roostline.sinks.upsert import upsert_months
+from roostline.sinks.upsert import RepeatedKeyError, upsert_months
 
-__all__ = ["NAMESPACES", "Warehouse", "namespace", "read_months", "upsert_months"]
+__all__ = ["NAMESPACES", "RepeatedKeyError", "Warehouse", "namespace", "read_months", "upsert_months"]

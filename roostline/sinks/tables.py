@@ -1,15 +1,17 @@
-"""Layer routing, full table replace and temporary views."""
+"""Layer routing, full table replace by versions, and temporary views."""
 
 from __future__ import annotations
 
 import datetime
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roostline.session import remove_scratch
+
 # Namespace of each layer, spelled as existing queries expect it.
 NAMESPACES = {
     "staging": "stagging",
@@ -19,6 +21,8 @@ NAMESPACES = {
 }
 AUDIT_COLUMN = "updated_at"
 MONTH = "calendar_month"
+# The file of a table's folder that names its current version.
+POINTER = "_current"
 
 
 def namespace(layer: str, default: str = "default", routes: dict[str, str] | None = None) -> str:
@@ -31,40 +35,100 @@ def stamped(df: DataFrame, run_ts: datetime.datetime | str) -> DataFrame:
     return df.withColumn(AUDIT_COLUMN, F.lit(str(run_ts)).cast("timestamp"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def newest_month(spark: SparkSession, path: str) -> datetime.date | None:
+    """The newest month of a month-partitioned table, from the names of its folders."""
+    files, place = _file_system(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+    months = [n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}=")]
+    dated = [datetime.date.fromisoformat(m) for m in months if m[:1].isdigit()]
+    return max(dated, default=None)
+
+
 def read_months(spark: SparkSession, path: str) -> DataFrame:
     """A month-partitioned table with the columns of its newest month.
 
     Every load rewrites the newest month, so its files carry the current columns. A column
     that is new there reads as NULL in older months, a column that is gone there is gone.
     """
-    stored = spark.read.parquet(path)
-    newest = stored.agg(F.max(MONTH)).first()[0]
+    newest = newest_month(spark, path)
     if newest is None:
-        return stored
+        return spark.read.parquet(path)
     columns = spark.read.parquet(f"{path}/{MONTH}={newest}").schema
     return spark.read.schema(columns.add(MONTH, T.DateType())).parquet(path)
 
 
 @dataclass
 class Warehouse:
-    """Published parquet tables below one root, one folder per namespace and table."""
+    """Published parquet tables below one root, one folder per namespace and table.
+
+    A table's folder holds versions and a pointer file with the name of the current one. A
+    replacing write fills a new version and then renames a new pointer over the old one: until
+    that moment, and after a failure, readers see the version before.
+    """
 
     spark: SparkSession
     root: str
     routes: dict[str, str] = field(default_factory=lambda: dict(NAMESPACES))
 
-    def path(self, layer: str, name: str) -> str:
+    def folder(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{namespace(layer, routes=self.routes)}/{name}"
 
+    def _version(self, layer: str, name: str) -> str | None:
+        files, pointer = _file_system(self.spark, f"{self.folder(layer, name)}/{POINTER}")
+        if not files.exists(pointer):
+            return None
+        stream = files.open(pointer)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def path(self, layer: str, name: str) -> str:
+        """The folder of the current version."""
+        version = self._version(layer, name)
+        if version is None:
+            raise FileNotFoundError(f"no table {name} in layer {layer}")
+        return f"{self.folder(layer, name)}/{version}"
+
+    def _switch(self, layer: str, name: str, version: str) -> None:
+        """Make a version current. The one before stays for its readers, older ones go."""
+        folder, before = self.folder(layer, name), self._version(layer, name)
+        jvm = self.spark._jvm
+        files, place = _file_system(self.spark, folder)
+        fresh = jvm.org.apache.hadoop.fs.Path(f"{folder}/_next-{version}")
+        stream = files.create(fresh, True)
+        stream.writeUTF(version)
+        stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            files.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(
+            files.makeQualified(fresh),
+            files.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")),
+            options,
+        )
+        for status in files.listStatus(place):
+            old = status.getPath().getName()
+            if status.isDirectory() and old.startswith("v-") and old not in (version, before):
+                files.delete(status.getPath(), True)
+
     def read(self, layer: str, name: str, by_month: bool = False) -> DataFrame:
         path = self.path(layer, name)
         return read_months(self.spark, path) if by_month else self.spark.read.parquet(path)
 
     def exists(self, layer: str, name: str) -> bool:
-        try:
-            return bool(self.spark.read.parquet(self.path(layer, name)).columns)
-        except AnalysisException:
-            return False
+        return self._version(layer, name) is not None
+
+    def newest_month(self, layer: str, name: str) -> datetime.date | None:
+        return newest_month(self.spark, self.path(layer, name))
 
     def replace(
         self,
@@ -74,13 +138,19 @@ class Warehouse:
         run_ts: datetime.datetime | str,
         by_month: bool = False,
     ) -> DataFrame:
-        """Write the whole table anew, stamped with the run time, and read it back."""
-        # Static: months that no longer exist go too, whatever the session default is.
-        writer = stamped(df, run_ts).write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "static")
+        """Write the whole table anew, stamped with the run time, and read it back. When the
+        write fails, the table stays as it was."""
+        version = f"v-{uuid.uuid4().hex}"
+        target = f"{self.folder(layer, name)}/{version}"
+        writer = stamped(df, run_ts).write
         if by_month:
             writer = writer.partitionBy(MONTH)
-        writer.parquet(self.path(layer, name))
+        try:
+            writer.parquet(target)
+        except BaseException:
+            remove_scratch(self.spark, target)
+            raise
+        self._switch(layer, name, version)
         return self.read(layer, name, by_month)
 
     def publish(self, layer: str, name: str, by_month: bool = False) -> str:

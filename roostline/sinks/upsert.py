@@ -13,6 +13,10 @@ from roostline.session import remove_scratch, scratch_dir
 from roostline.sinks.tables import MONTH, stamped
 
 
+class RepeatedKeyError(ValueError):
+    """The rows of an upsert do not have one row per key."""
+
+
 def upsert_months(
     spark: SparkSession,
     path: str,
@@ -23,8 +27,9 @@ def upsert_months(
 ) -> None:
     """Update rows with a known key, insert the others, delete nothing.
 
-    ``rows`` hold no date before ``since`` and one row per key. They are written once to the
-    shared scratch folder, since both the anti join and the merge need them. Only months
+    ``rows`` hold no date before ``since`` and one row per key; a repeated key stops the load
+    with an example. They are written once to the shared scratch folder, since the check, the
+    anti join and the merge need them. Only months
     from ``since`` on are read and rewritten; older months keep their files and their audit
     time. Spark swaps the rewritten months in when the whole write has succeeded, so a job
     that fails while computing leaves the target as it was.
@@ -33,13 +38,24 @@ def upsert_months(
     column that ``rows`` no longer have is dropped. Read the table with ``read_months``.
     """
     staged = scratch_dir(spark, "upsert")
-    stamped(rows, run_ts).write.parquet(staged)
-    fresh = spark.read.parquet(staged)
+    try:
+        stamped(rows, run_ts).write.parquet(staged)
+        _merge(spark, path, spark.read.parquet(staged), list(keys), since)
+    finally:
+        remove_scratch(spark, staged)
+
+
+def _merge(
+    spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], since: datetime.date
+) -> None:
+    repeated = fresh.groupBy(*keys).count().filter("count > 1").first()
+    if repeated is not None:
+        raise RepeatedKeyError(f"more than one row with the key {repeated.asDict()}")
     kept = (
         spark.read.schema(fresh.schema)
         .parquet(path)
         .filter(F.col(MONTH) >= F.lit(since.replace(day=1)))
-        .join(fresh.select(*keys), list(keys), "left_anti")
+        .join(fresh.select(*keys), keys, "left_anti")
         .select(*[quoted(c) for c in fresh.columns])
     )
     # Tasks per month are sized at run time: small months meet, a large one is split.
@@ -50,4 +66,3 @@ def upsert_months(
         .partitionBy(MONTH)
         .parquet(path)
     )
-    remove_scratch(spark, staged)

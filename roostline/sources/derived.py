@@ -1,7 +1,8 @@
 """Lodging sources derived from the order tables, for tests, checks and the benchmark.
 
 A supplier plays a listing, its order lines play reservations (or reviews, when returned)
-and the parts of large lines name amenities. Every source grows with the order tables.
+and their parts name amenities: a name is kept when the line numbers of its lines add up to an
+even number. Every order line reaches a source, and the calendar spans all their dates.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from roostline.sources.raw import RawSources
 
 # Ship dates move into the range of the date dimension (1995-01-02 -> 2020-01-02).
 SHIFT_DAYS = 9131
-FIRST_NIGHT, LAST_NIGHT = "2021-07-01", "2022-07-31"
 # The moment the sources are looked at.
 AS_OF = "2022-08-01 06:00:00"
 
@@ -24,24 +24,26 @@ AS_OF = "2022-08-01 06:00:00"
 AMENITY = """CASE p_type WHEN 'ECONOMY' THEN 'Air conditioning' WHEN 'SMALL' THEN 'Lockbox'
     WHEN 'MEDIUM' THEN 'First aid kit' WHEN 'PROMO' THEN 'Wifi' WHEN 'STANDARD' THEN 'Kitchen'
     ELSE ' Pool' END"""
-AMENITY_LIST = f"to_json(sort_array(collect_set({AMENITY})))"
 SHIP_DAY = f"date_add(CAST(l_shipdate AS DATE), {SHIFT_DAYS})"
 
 # Opens one of the given tables.
 Tables = Callable[[str], DataFrame]
 
 
-def _lines_with_parts(tables: Tables, condition: str) -> DataFrame:
-    lines = tables("lineitem").filter(condition)
-    return lines.join(tables("part"), lines["l_partkey"] == tables("part")["p_partkey"])
+def _amenity_lists(tables: Tables, **keys: str) -> DataFrame:
+    """Per key the JSON list of the names that are kept, from all lines; none gives '[]'."""
+    lines = tables("lineitem")
+    named = lines.join(tables("part"), lines["l_partkey"] == tables("part")["p_partkey"])
+    grouping = [F.expr(value).alias(name) for name, value in keys.items()]
+    counted = named.groupBy(*grouping, F.expr(AMENITY).alias("amenity")).agg(
+        F.sum("l_linenumber").alias("numbers")
+    )
+    kept = F.when(F.col("numbers") % 2 == 0, F.col("amenity"))
+    return counted.groupBy(*keys).agg(F.to_json(F.sort_array(F.collect_set(kept))).alias("amenities"))
 
 
 def listings(tables: Tables) -> DataFrame:
-    owned = (
-        _lines_with_parts(tables, "l_quantity = 50 AND l_linenumber <= 3")
-        .groupBy("l_suppkey")
-        .agg(F.expr(AMENITY_LIST).alias("owned"))
-    )
+    owned = _amenity_lists(tables, l_suppkey="l_suppkey").withColumnRenamed("amenities", "owned")
     return (
         tables("supplier")
         .withColumnRenamed("s_suppkey", "k")
@@ -80,13 +82,13 @@ def calendar(tables: Tables) -> DataFrame:
         tables("lineitem")
         .filter("l_returnflag <> 'R'")
         .selectExpr("l_suppkey AS k", f"{SHIP_DAY} AS day", "l_orderkey")
-        .filter(f"day BETWEEN DATE '{FIRST_NIGHT}' AND DATE '{LAST_NIGHT}'")
         .groupBy("k", "day")
         .agg(F.min("l_orderkey").alias("reservation_id"))
     )
-    nights = tables("supplier").selectExpr(
-        "s_suppkey AS k",
-        f"explode(sequence(DATE '{FIRST_NIGHT}', DATE '{LAST_NIGHT}')) AS day",
+    days = tables("lineitem").selectExpr(f"{SHIP_DAY} AS day")
+    first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
+    nights = tables("supplier").select(
+        F.col("s_suppkey").alias("k"), F.explode(F.sequence(first, last)).alias("day")
     )
     return nights.join(reserved, ["k", "day"], "left").selectExpr(
         "k AS listing_id",
@@ -120,10 +122,11 @@ def generated_reviews(tables: Tables) -> DataFrame:
 
 def amenities_changelog(tables: Tables) -> DataFrame:
     return (
-        _lines_with_parts(tables, "l_quantity > 45")
-        .withColumn("change_at", F.expr(f"CAST(trunc({SHIP_DAY}, 'quarter') AS TIMESTAMP)"))
-        .groupBy(F.col("l_suppkey").alias("listing_id"), "change_at")
-        .agg(F.expr(AMENITY_LIST).alias("amenities"))
+        _amenity_lists(
+            tables,
+            listing_id="l_suppkey",
+            change_at=f"CAST(trunc({SHIP_DAY}, 'quarter') AS TIMESTAMP)",
+        )
         .withColumn(
             "_loaded_at", F.expr(f"least(change_at, TIMESTAMP '{AS_OF}' - INTERVAL 3 DAYS)")
         )

@@ -12,12 +12,16 @@ WINDOW_DAYS = 7
 LOOKBACK_HOURS = 48
 
 
-def reprocess_bound(fact: DataFrame, window_days: int = WINDOW_DAYS) -> datetime.date | None:
+def reprocess_bound(
+    fact: DataFrame, window_days: int = WINDOW_DAYS, month: datetime.date | None = None
+) -> datetime.date | None:
     """First date an incremental run loads again, or None for an empty fact.
 
-    The latest month comes from the partition column alone; only that month is then read.
+    Only the latest month is read for its last date. A caller that knows that month, as from
+    the names of a table's folders, gives it; else it is looked up first.
     """
-    month = fact.agg(F.max("calendar_month")).first()[0]
+    if month is None:
+        month = fact.agg(F.max("calendar_month")).first()[0]
     if month is None:
         return None
     newest = fact.filter(F.col("calendar_month") == F.lit(month)).agg(F.max("calendar_date"))

@@ -119,7 +119,12 @@ def test_nightly_flags_and_prices(spark, rows):
 def test_wide_fact_has_one_column_per_changelog_amenity(lineage):
     names = lineage.amenity_names()
     wide = lineage.fct_daily("aggregate", names)
-    assert wide.columns == [*facts.FACT_COLUMNS, "Air conditioning", "Wifi"]
+    assert wide.columns == [
+        *facts.FACT_COLUMNS,
+        *facts.NIGHT_COLUMNS,
+        "Air conditioning",
+        "Wifi",
+    ]
     # Listing 2 has an empty list and no history: unknown, not absent.
     assert wide.filter("listing_id = 2").first()["Wifi"] is None
 

@@ -25,4 +25,4 @@ def test_query_equals_its_twin(spark, duck, name):
 
 
 def test_the_flagship_query_returns_rows(spark):
-    assert entry.entry(spark).count() == 26
+    assert entry.entry(spark).count() == 166
