@@ -4,7 +4,7 @@ Two documents link when the Jaccard similarity of their sets of five-word shingl
 more. Equal sets are one class. Classes that can have a partner are found by counting:
 
 1. A class and a partner share all but a fifth of its shingles, so among its smallest hashes
-   (a quarter of the set) a known number must occur in another class. Few classes pass.
+   (three tenths of the set) a known number must occur in another class. Few classes pass.
 2. Of those the whole sets are taken, and each keeps, rarest first, the shingles that a
    partner cannot all miss. Classes that share one of these are in one candidate group.
 3. Groups are cut into blocks. A task takes two blocks (or a block with itself, or many small
@@ -48,7 +48,10 @@ from roostline.llm.components import connected_components
 SHINGLE = 5
 # Link when PART_OF * intersection >= PARTS * union.
 PARTS, PART_OF = 4, 5
-SLACK = 20
+SLACK = 10
+# Bits of the filter that spares most texts the second reading: 8 MB whatever the input. Above
+# some tens of millions of classes it lets more texts through, which the join after it removes.
+FILTER_BITS = 26
 BLOCK = 512
 FANOUT = 8
 
@@ -124,7 +127,8 @@ def prefixes(docs: DataFrame) -> DataFrame:
 
 
 def suspects(prefixed: DataFrame) -> DataFrame:
-    """Classes that share enough of their prefix with other classes, each with one document."""
+    """Classes that share enough of their prefix with other classes, each with the hash of one
+    of its texts."""
     tokens = prefixed.filter("n > 0").select("class", F.explode("prefix").alias("token"))
     shared = (
         tokens.groupBy("token")
@@ -133,8 +137,7 @@ def suspects(prefixed: DataFrame) -> DataFrame:
         .select("token")
     )
     one = prefixed.filter("n > 0").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("doc"),
-        F.max("n").alias("n"),
+        F.min("text_hash").alias("text_hash"), F.max("n").alias("n")
     )
     # Copies repeat the rows of their class, so distinct pairs are counted.
     passing = (
@@ -147,15 +150,40 @@ def suspects(prefixed: DataFrame) -> DataFrame:
     return (
         one.join(passing, "class")
         .filter(F.col("shared") >= need)
-        .select("class", "doc.unnamed", F.col("doc.doc_id").alias("rep"), "doc.text_hash")
+        .select("class", "text_hash")
     )
 
 
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """One bit per value of the low bits of ``hash``; at most 2^20 words reach the driver."""
+    slot = F.col("hash").bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = (
+        hashes.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.bit_or(bit).alias("bits"))
+        .toPandas()
+    )
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return bits.view(np.uint64)
+
+
 def whole_sets(docs: DataFrame, suspected: DataFrame) -> DataFrame:
-    """(class, n, tokens) of the suspected classes, from the text of one document each."""
+    """(class, n, tokens) of the suspected classes. Texts are filtered where they are read;
+    only sets are shuffled."""
+    spark = docs.sparkSession
+    marked = spark.sparkContext.broadcast(bit_filter(suspected.select(F.col("text_hash").alias("hash"))))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marked.value
+        for batch in batches:
+            low = batch.column("text_hash").to_numpy() & ((1 << FILTER_BITS) - 1)
+            keep = (bits[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(keep.astype(bool)))
 
     def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, Memo(hash_words)):
+        for _, sets in _sets(chosen(batches), Memo(hash_words)):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_key(s) for s in sets], pa.int64()),
@@ -165,19 +193,10 @@ def whole_sets(docs: DataFrame, suspected: DataFrame) -> DataFrame:
                 ["class", "n", "tokens"],
             )
 
-    source = texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    chosen = suspected.select(
-        F.col("text_hash").alias("_hash"), F.col("unnamed").alias("_unnamed"), F.coalesce("rep", F.lit(0)).alias("_rep")
-    )
-    picked = source.join(
-        chosen,
-        (F.xxhash64("text") == F.col("_hash"))
-        & (F.col("doc_id").isNull() == F.col("_unnamed"))
-        & (F.coalesce("doc_id", F.lit(0)) == F.col("_rep")),
-        "left_semi",
-    )
-    sets = picked.select("text").mapInArrow(prepared, "class bigint, n bigint, tokens array<bigint>")
-    return written(sets.dropDuplicates(["class"]), "shingle-sets")
+    source = texts(docs).select("text", F.xxhash64("text").alias("text_hash"))
+    sets = source.mapInArrow(prepared, "class bigint, n bigint, tokens array<bigint>")
+    known = sets.join(suspected.select("class"), "class", "left_semi")
+    return written(known.dropDuplicates(["class"]), "shingle-sets")
 
 
 def candidate_edges(sets: DataFrame) -> DataFrame:
