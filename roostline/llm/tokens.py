@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -21,7 +22,7 @@ CHUNK = re.compile(
 )
 # White space beyond ASCII: chunk borders are not certain there.
 WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 600_000
 
 
 class Encoder:
@@ -80,8 +81,8 @@ class Encoder:
         for n, chunks in enumerate(chunked):
             group.append(n)
             size += len(chunks or ())
-            if size >= 200_000 or n == len(chunked) - 1:
-                known = self.memo.load(c for g in group for c in chunked[g] or ())
+            if size >= 1_000_000 or n == len(chunked) - 1:
+                known = self.memo.load(chain.from_iterable(chunked[g] or () for g in group))
                 for g in group:
                     if chunked[g] is None:
                         result.append(np.array(self._ids([texts[g]])[0], "<u4").tobytes())
