@@ -254,8 +254,8 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarr
             rows = [vector(words(t), memo) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([a for a, _ in rows], pa.list_(pa.int32())),
-                    pa.array([v for _, v in rows], pa.list_(pa.float32())),
+                    pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
+                    pa.array([v.astype("<f4").tobytes() for _, v in rows], pa.binary()),
                     batch.column("pattern"),
                     batch.column("key"),
                 ],
@@ -269,10 +269,10 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarr
         .dropDuplicates(["key"])
         .select("text", "pattern", "key")
     )
-    schema = "at array<int>, value array<float>, pattern array<tinyint>, key bigint"
-    rows = sorted(picked.mapInArrow(described, schema).toLocalIterator(), key=lambda r: r["key"])
+    schema = "at binary, value binary, pattern array<tinyint>, key bigint"
+    rows = sorted(picked.mapInArrow(described, schema).collect(), key=lambda r: r["key"])
     labels = np.array([model.posterior(tuple(r["pattern"])) for r in rows])
-    return model, train([(np.array(r["at"]), np.array(r["value"], float)) for r in rows], labels)
+    return model, train([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4")) for r in rows], labels)
 
 
 def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
