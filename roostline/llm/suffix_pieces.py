@@ -31,6 +31,8 @@ from roostline.llm.common import Memo, bounded_batches, table, texts
 
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+# Longer units are relaxed one by one with a queue, shorter ones all at once.
+SHORT_UNIT = 64
 # Between units in the joined text: no character.
 BORDER = 0x110000
 
@@ -156,6 +158,61 @@ def relax(length: int, joins: dict[tuple[int, int], tuple[int, int]]) -> list[tu
     return symbols
 
 
+def relax_all(begin, end, ranks, starts, lengths, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Borders of the symbols of many units at once, as (begins, ends) arrays in parts.
+
+    ``begin``, ``end`` and ``ranks`` are the edges sorted by position; a unit lies at its start
+    with its length. In each round every unit takes its best join; finished units leave.
+    """
+    none = np.iinfo(np.int64).max
+    keys = begin * (depth + 1) + end - begin
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    first = np.repeat(starts, lengths) + np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    last = first + 1
+
+    def rank_of(k: np.ndarray) -> np.ndarray:
+        """Ranks of the joins of symbols k and k + 1."""
+        found = np.full(len(k), none, np.int64)
+        inside = np.flatnonzero(k + 1 < len(first))
+        inside = inside[owner[k[inside]] == owner[k[inside] + 1]]
+        size = last[k[inside] + 1] - first[k[inside]]
+        inside, size = inside[size <= depth], size[size <= depth]
+        wanted = first[k[inside]] * (depth + 1) + size
+        at = np.searchsorted(keys, wanted)
+        hit = at < len(keys)
+        hit[hit] = keys[at[hit]] == wanted[hit]
+        found[inside[hit]] = ranks[at[hit]]
+        return found
+
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    best = rank_of(np.arange(len(first)))
+    while len(first):
+        heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        least = np.minimum.reduceat(best, heads)
+        sizes = np.diff(np.r_[heads, len(first)])
+        open_unit = np.repeat(least != none, sizes)
+        if not open_unit.all():
+            done.append((first[~open_unit], last[~open_unit]))
+            first, last, owner, best = first[open_unit], last[open_unit], owner[open_unit], best[open_unit]
+            if not len(first):
+                break
+            sizes = sizes[least != none]
+            least = least[least != none]
+            heads = np.cumsum(sizes) - sizes
+        # The leftmost of the best joins of each unit.
+        equal = np.flatnonzero(best == np.repeat(least, sizes))
+        chosen = equal[np.searchsorted(equal, heads)]
+        last[chosen] = last[chosen + 1]
+        stay = np.ones(len(first), bool)
+        stay[chosen + 1] = False
+        first, last, owner, best = first[stay], last[stay], owner[stay], best[stay]
+        merged = chosen - np.arange(len(chosen))
+        best[merged] = rank_of(merged)
+        before = merged[merged > 0] - 1
+        best[before] = rank_of(before)
+    return done
+
+
 class Pieces:
     """Encoder and decoder of one vocabulary."""
 
@@ -176,7 +233,7 @@ class Pieces:
         for n, unit in enumerate(units):
             group.append(unit)
             size += len(unit) + 1
-            if size >= 400_000 or n == len(units) - 1:
+            if size >= 1_200_000 or n == len(units) - 1:
                 result += self._encode_group(group)
                 group, size = [], 0
         return result
@@ -189,23 +246,37 @@ class Pieces:
         codes = np.full(int(lengths.sum()) + len(units), BORDER, np.int64)
         codes[np.arange(len(joined)) + np.repeat(np.arange(len(units)), lengths)] = joined
         begin, end, piece = edges(codes, v)
-        owner = np.searchsorted(starts, begin, "right") - 1
-        bounds = np.searchsorted(owner, np.arange(len(units) + 1))
-        local_begin = (begin - starts[owner]).tolist()
-        local_end = (end - starts[owner]).tolist()
-        ranks = v.ranks[piece].tolist()
-        ids = v.long_ids[piece].tolist()
-        out = []
-        for n, unit in enumerate(units):
-            a, b = int(bounds[n]), int(bounds[n + 1])
+        short = lengths <= SHORT_UNIT
+        symbols = relax_all(begin, end, v.ranks[piece], starts, np.where(short, lengths, 0), v.depth)
+        for n in np.flatnonzero(~short).tolist():
+            a, b = np.searchsorted(begin, (starts[n], starts[n] + lengths[n]))
             joins = {
-                (x, y): (r, i)
-                for x, y, r, i in zip(local_begin[a:b], local_end[a:b], ranks[a:b], ids[a:b])
+                (x, y): (r, 0)
+                for x, y, r in zip(
+                    (begin[a:b] - starts[n]).tolist(), (end[a:b] - starts[n]).tolist(), v.ranks[piece[a:b]].tolist()
+                )
             }
-            found: list[int] = []
-            for x, y in relax(len(unit), joins):
-                found += [joins[x, y][1]] if y - x > 1 else self._single(unit[x])
-            out.append(np.array(found, "<u4").tobytes())
+            found = np.array(relax(int(lengths[n]), joins), np.int64) + starts[n]
+            symbols.append((found[:, 0], found[:, 1]))
+        first = np.concatenate([x for x, _ in symbols])
+        last = np.concatenate([y for _, y in symbols])
+        order = np.argsort(first)
+        first, last = first[order], last[order]
+        # Ids: of the edge between two borders, or of the one character.
+        keys = begin * (v.depth + 1) + end - begin
+        at = np.minimum(np.searchsorted(keys, first * (v.depth + 1) + last - first), max(len(keys) - 1, 0))
+        letters, which = np.unique(codes[first], return_inverse=True)
+        single = [self._single(chr(c)) for c in letters.tolist()]
+        single_ids = np.array([x[0] if len(x) == 1 else -1 for x in single], np.int64)[which]
+        ids = single_ids if not len(keys) else np.where(last - first > 1, v.long_ids[piece[at]], single_ids)
+        bounds = np.searchsorted(first, [*starts.tolist(), len(codes)])
+        raw = ids.astype("<u4").tobytes()
+        out = [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        for n in np.unique(np.searchsorted(bounds, np.flatnonzero(ids < 0), "right") - 1).tolist():
+            spelled: list[int] = []
+            for k in range(bounds[n], bounds[n + 1]):
+                spelled += [int(ids[k])] if ids[k] >= 0 else single[which[k]]
+            out[n] = np.array(spelled, "<u4").tobytes()
         return out
 
     def encode(self, all_texts: list[str]) -> list[bytes]:
@@ -216,7 +287,7 @@ class Pieces:
             group.append(UNIT.findall(MARK + text.replace(" ", MARK)) if text else [])
             size += len(group[-1])
             # One search per many texts, and never more units than the memo can hold.
-            if size >= 300_000 or n == len(all_texts) - 1:
+            if size >= 1_000_000 or n == len(all_texts) - 1:
                 known = self.memo.load(u for units in group for u in units)
                 result += [b"".join(map(known.__getitem__, units)) for units in group]
                 group, size = [], 0
