@@ -14,9 +14,12 @@ columns other than id and text are ignored. Whole texts are read, one at a time.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import string
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.llm.common import Memo, bounded_batches, table, texts, words, written
+from roostline.llm.common import Memo, bounded_batches, mixed, table, texts, written
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 14
@@ -36,18 +39,105 @@ PLAIN = re.compile(rb"[A-Za-z\x80-\xff'-]+[.,;:?!]?")
 START = 0.9
 
 
-@dataclass(frozen=True)
+MARKED, LONE, SHOUTED, PLAIN_WORD, ENDS = 1, 2, 4, 8, 16
+HASH, FLAGS, LETTERS, CAPITALS, SIZE, FEATURES = range(6)
+
+
+def _bucket(key: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(key) % BUCKETS
+
+
+SHAPES: dict[bytes, int] = {}
+# Classes of bytes in shapes: capitals, digits, other letters and bytes beyond ASCII, marks.
+CLASSES = bytes(
+    65 if chr(c) in string.ascii_uppercase else 48 if chr(c) in string.digits
+    else 97 if chr(c) in string.ascii_lowercase or c >= 128 else c
+    for c in range(256)
+)
+RUN = re.compile(rb"(.)\1+", re.DOTALL)
+
+
+def _shape_bucket(shape: bytes) -> int:
+    if shape not in SHAPES:
+        if len(SHAPES) > 100_000:
+            SHAPES.clear()
+        SHAPES[shape] = _bucket(b"s" + shape)
+    return SHAPES[shape]
+
+
+def _described(word: bytes) -> tuple[int, int, int, bytes]:
+    """Flags, letters, capitals and shape of any word."""
+    text = word.decode("utf-8", "replace")
+    flags = MARKED * (MARKS.search(word) is not None)
+    flags |= LONE * (not any(c >= 128 or chr(c).isalnum() for c in word))
+    flags |= SHOUTED * word.endswith(b"!")
+    flags |= PLAIN_WORD * (PLAIN.fullmatch(word) is not None)
+    flags |= ENDS * word.endswith((b".", b"?", b".\""))
+    shape = RUN.sub(rb"\1", word.translate(CLASSES))
+    return flags, sum(map(str.isalpha, text)), sum(map(str.isupper, text)), shape[:12]
+
+
+def word_records(fresh: list[bytes]) -> list[bytes]:
+    """What is known of a word, as six 64-bit integers: its hash, its flags, its letters and
+    capitals, its size and the two feature buckets of its ending and its shape."""
+    out = []
+    for word in fresh:
+        # Most words are lower-case letters, perhaps after one capital and before one mark.
+        mark = word[-1:] if word[-1] in b".,;:?" else b""
+        stem = word[: len(word) - len(mark)].decode("utf-8", "replace")
+        if stem.isalpha() and (stem.islower() or stem[1:].islower()):
+            initial = stem[0].isupper()
+            flags = PLAIN_WORD | ENDS * (mark in (b".", b"?"))
+            letters, capitals = len(stem), int(initial)
+            shape = (b"Aa" if initial and stem[0].isascii() else b"a") + mark
+        else:
+            flags, letters, capitals, shape = _described(word)
+        buckets = _bucket(b"e" + word.lower()[-3:]) | _shape_bucket(shape) << 32
+        digest = xxhash.xxh3_64_intdigest(word) - (1 << 63)
+        out.append(struct.pack("<6q", digest, flags, letters, capitals, len(word), buckets))
+    return out
+
+
+RECORDS = Memo(word_records)
+
+
 class View:
-    """What the labellers look at."""
+    """What the labellers and the scorer look at: a text's words as records, and its lines."""
 
-    text: str
-    words: list[bytes]
-    lines: list[bytes]
+    def __init__(self, raw: bytes, found: list[bytes], known: dict[bytes, bytes]):
+        self.raw = raw
+        self.records = np.frombuffer(b"".join(map(known.__getitem__, found)), "<i8").reshape(-1, 6)
+        self.n = len(found)
 
     @classmethod
-    def of(cls, text: str) -> View:
-        raw = text.encode("utf-8", "surrogatepass")
-        return cls(text, words(text), [x for x in raw.split(b"\n") if x.strip()])
+    def of(cls, all_texts: list[str]) -> Iterator[View]:
+        """The views of many texts; the memo is asked once for some 200,000 words."""
+        group: list[tuple[bytes, list[bytes]]] = []
+        size = 0
+        for n, text in enumerate(all_texts):
+            raw = text.encode("utf-8", "surrogatepass")
+            group.append((raw, raw.split()))
+            size += len(group[-1][1])
+            if size >= 200_000 or n == len(all_texts) - 1:
+                known = RECORDS.load(chain.from_iterable(found for _, found in group))
+                yield from (cls(raw, found, known) for raw, found in group)
+                group, size = [], 0
+
+    def share(self, flag: int) -> float:
+        return np.count_nonzero(self.records[:, FLAGS] & flag) / self.n
+
+    @cached_property
+    def lines(self) -> list[bytes]:
+        return [x for x in self.raw.split(b"\n") if x.strip()]
+
+    @cached_property
+    def distinct_pairs(self) -> float:
+        """Share of distinct pairs of neighbouring words; texts under 20 words count as varied."""
+        if self.n < 20:
+            return 1.0
+        hashes = self.records[:, HASH].view(np.uint64)
+        pairs = mixed(hashes[:-1]) + hashes[1:]
+        return len(np.unique(pairs)) / (self.n - 1)
 
 
 def bad_if(found: bool) -> int:
@@ -56,43 +146,35 @@ def bad_if(found: bool) -> int:
 
 
 def marked_words(v: View) -> int:
-    return bad_if(sum(MARKS.search(w) is not None for w in v.words) > 0.25 * len(v.words))
+    return bad_if(v.share(MARKED) > 0.25)
 
 
 def separators(v: View) -> int:
     """Words without letter or digit, as between the items of menus and tables."""
-    lone = sum(not any(c >= 128 or chr(c).isalnum() for c in w) for w in v.words)
-    return bad_if(lone > 0.15 * len(v.words))
+    return bad_if(v.share(LONE) > 0.15)
 
 
 def capitals(v: View) -> int:
-    letters = sum(map(str.isalpha, v.text))
-    return bad_if(letters >= 40 and sum(map(str.isupper, v.text)) > 0.4 * letters)
+    letters = int(v.records[:, LETTERS].sum())
+    return bad_if(letters >= 40 and int(v.records[:, CAPITALS].sum()) > 0.4 * letters)
 
 
 def exclamations(v: View) -> int:
-    return bad_if(sum(w.endswith(b"!") for w in v.words) > 0.2 * len(v.words))
-
-
-def distinct_pairs(v: View) -> float:
-    """Share of distinct pairs of neighbouring words; texts under 20 words count as varied."""
-    pairs = len(v.words) - 1
-    return len(set(zip(v.words, v.words[1:]))) / pairs if pairs >= 19 else 1.0
+    return bad_if(v.share(SHOUTED) > 0.2)
 
 
 def plain_words(v: View) -> int:
     """Words of letters alone, with at most a mark behind them, in a text that goes on."""
-    share = sum(PLAIN.fullmatch(w) is not None for w in v.words) / len(v.words)
+    share = v.share(PLAIN_WORD)
     if share < 0.6:
         return BAD
-    return GOOD if share >= 0.85 and distinct_pairs(v) >= 0.6 else ABSTAIN
+    return GOOD if share >= 0.85 and v.distinct_pairs >= 0.6 else ABSTAIN
 
 
 def sentence_length(v: View) -> int:
     """Words per mark that ends a sentence."""
-    ends = sum(w.endswith((b".", b"?", b".\"")) for w in v.words)
-    per_end = len(v.words) / (ends + 0.5)
-    return bad_if(len(v.words) >= 20 and (per_end < 2 or per_end > 150))
+    per_end = v.n / (np.count_nonzero(v.records[:, FLAGS] & ENDS) + 0.5)
+    return bad_if(v.n >= 20 and (per_end < 2 or per_end > 150))
 
 
 def repeated_lines(v: View) -> int:
@@ -100,17 +182,17 @@ def repeated_lines(v: View) -> int:
 
 
 def repeated_pairs(v: View) -> int:
-    return bad_if(distinct_pairs(v) < 0.5)
+    return bad_if(v.distinct_pairs < 0.5)
 
 
 def runs(v: View) -> int:
     """One word again and again, or two words in turns."""
-    same = sum(a == b for a, b in zip(v.words, v.words[2:]))
-    return bad_if(len(v.words) >= 20 and same > 0.15 * len(v.words))
+    hashes = v.records[:, HASH]
+    return bad_if(v.n >= 20 and np.count_nonzero(hashes[:-2] == hashes[2:]) > 0.15 * v.n)
 
 
 def word_length(v: View) -> int:
-    mean = sum(map(len, v.words)) / len(v.words)
+    mean = int(v.records[:, SIZE].sum()) / v.n
     return bad_if(mean < 2.5 or mean > 14)
 
 
@@ -129,8 +211,11 @@ LABELLERS = (
 
 
 def votes(text: str) -> tuple[int, ...] | None:
-    view = View.of(text)
-    return tuple(label(view) for label in LABELLERS) if view.words else None
+    return votes_of(next(View.of([text])))
+
+
+def votes_of(view: View) -> tuple[int, ...] | None:
+    return tuple(label(view) for label in LABELLERS) if view.n else None
 
 
 @dataclass(frozen=True)
@@ -171,32 +256,13 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> LabelMo
     return model
 
 
-def word_features(fresh: list[bytes]) -> list[tuple[int, int]]:
-    """Two buckets of a word: its ending and its shape."""
-    out = []
-    for word in fresh:
-        shape = re.sub(rb"(.)\1+", rb"\1", re.sub(rb"[0-9]", b"0", re.sub(rb"[A-Z]", b"A", re.sub(rb"[a-z\x80-\xff]", b"a", word))))
-        ending = b"e" + word.lower()[-3:]
-        out.append(tuple(xxhash.xxh3_64_intdigest(x) % BUCKETS for x in (ending, b"s" + shape[:12])))
-    return out
-
-
-def vector(found: list[bytes], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+def vector(view: View) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of a text with their values: those of its words, of length one
     together, and one for the share of distinct pairs of neighbouring words."""
-    counts = Counter(found)
-    known = memo.load(counts)
-    sums: dict[int, int] = {}
-    for word, n in counts.items():
-        for bucket in known[word]:
-            sums[bucket] = sums.get(bucket, 0) + n
-    at = np.fromiter(sums, np.int64, len(sums))
-    # Shares rather than roots: the length of a text says nothing about its quality.
-    values = np.fromiter(sums.values(), float, len(sums))
-    values /= np.sqrt((values**2).sum())
-    pairs = len(found) - 1
-    varied = len(set(zip(found, found[1:]))) / pairs if pairs >= 19 else 1.0
-    variety = xxhash.xxh3_64_intdigest(b"pairs%d" % (10 * varied)) % BUCKETS
+    packed = view.records[:, FEATURES]
+    at, counts = np.unique(np.concatenate([packed & 0xFFFFFFFF, packed >> 32]), return_counts=True)
+    values = counts / np.sqrt((counts.astype(float) ** 2).sum())
+    variety = _bucket(b"pairs%d" % (10 * view.distinct_pairs))
     return np.append(at, variety), np.append(values, 1.0)
 
 
@@ -225,7 +291,7 @@ def vote_patterns(docs: DataFrame) -> DataFrame:
     """(pattern, text hash, documents): counted in the tasks before the shuffle."""
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [votes(t) for t in batch.column("text").to_pylist()]
+            found = [votes_of(v) for v in View.of(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.int8())), batch.column("key")], ["pattern", "key"]
             )
@@ -249,9 +315,8 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarr
     chosen = cast.groupBy("key").agg(F.first("pattern").alias("pattern")).orderBy("key").limit(fit_rows)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_features)
         for batch in batches:
-            rows = [vector(words(t), memo) for t in batch.column("text").to_pylist()]
+            rows = [vector(v) for v in View.of(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
@@ -279,15 +344,13 @@ def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_features)
         for batch in batches:
             values = []
-            for text in batch.column("text").to_pylist():
-                found = words(text)
-                if not found or weights is None:
+            for view in View.of(batch.column("text").to_pylist()):
+                if not view.n or weights is None:
                     values.append(0.0)
                     continue
-                at, value = vector(found, memo)
+                at, value = vector(view)
                 values.append(float(1 / (1 + np.exp(-np.clip(weights[at] @ value + weights[-1], -30, 30)))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"]
