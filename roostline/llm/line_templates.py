@@ -7,6 +7,11 @@ field. The tokens that stay are the line's template. A template found in ``min_d
 documents is boilerplate: its lines stay in the first document (smallest doc_id) that has it
 and go from all others.
 
+With ``own_evidence`` (the pipeline; the query follows its SQL, which does without) a leaf's key
+is no evidence for a template: beyond the leading tokens, a place with more distinct values than
+the square root of its leaf's documents is a field, and ``MIN_BEYOND`` fixed tokens must remain
+there. A variant that itself recurs in ``min_docs`` documents is boilerplate all the same.
+
 The online log parsers this follows update templates line by line; here a leaf's fields are
 decided from counts over all lines, so that the result does not depend on the order of rows.
 
@@ -28,6 +33,8 @@ MIN_TOKENS = 4
 DEPTH = 3
 # A line is an instance of a template when this share of its tokens is fixed.
 FIXED_SHARE = 0.7
+# With own evidence: fixed tokens that a generalised template has beyond its leading ones.
+MIN_BEYOND = 2
 SPACE = r"[\x20\x09-\x0D]+"
 ROW = ("_doc", "_text_hash")
 
@@ -85,7 +92,9 @@ def _documents_with(lines: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def templates(lines: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
+def templates(
+    lines: DataFrame, min_docs: int, fixed_share: float, depth: int = DEPTH, own_evidence: bool = False
+) -> DataFrame:
     """(leaf, variant) -> template, two hashes, of the leaves found in enough documents.
 
     A leaf with one variant is that template. In others, tokens are counted by position over
@@ -117,21 +126,47 @@ def templates(lines: DataFrame, min_docs: int, fixed_share: float) -> DataFrame:
         tokens.groupBy("leaf", "place", "token")
         .agg(F.sum("docs").alias("support"))
         .withColumn("fixed", F.col("support") >= min_docs)
-        .drop("support")
     )
+    if own_evidence:
+        usual = written(usual, "token-support")
+        places = (
+            usual.filter(F.col("place") >= depth)
+            .groupBy("leaf", "place")
+            .agg(F.count(F.lit(1)).alias("values"), F.sum("support").alias("of_place"))
+            .filter(F.col("values") * F.col("values") > F.col("of_place"))
+            .select("leaf", "place", F.lit(True).alias("field"))
+        )
+        usual = usual.join(places, ["leaf", "place"], "left").withColumn(
+            "fixed", F.col("fixed") & F.col("field").isNull()
+        )
+    usual = usual.select("leaf", "place", "token", "fixed")
     mark = F.when(F.col("fixed"), F.xxhash64("place", "token"))
+    enough = F.col("kept") >= F.lit(fixed_share) * F.col("size")
+    if own_evidence:
+        enough = enough & (F.col("beyond") >= MIN_BEYOND)
     patterns = (
         tokens.join(usual, ["leaf", "place", "token"])
         .groupBy("leaf", "variant")
         .agg(
             F.count(F.lit(1)).alias("size"),
             F.count(mark).alias("kept"),
+            F.count(F.when(F.col("place") >= depth, mark)).alias("beyond"),
+            F.any_value("docs").alias("docs"),
             # Independent of the order of rows: the fixed tokens with their places.
             F.bit_xor(mark).alias("t2"),
         )
-        .filter(F.col("kept") >= F.lit(fixed_share) * F.col("size"))
     )
-    general = patterns.select("leaf", "variant", F.xxhash64("leaf", "kept").alias("t1"), "t2")
+    t1 = F.xxhash64("leaf", "kept")
+    if own_evidence:
+        patterns = patterns.filter(enough | (F.col("docs") >= min_docs))
+        general = patterns.select(
+            "leaf",
+            "variant",
+            F.when(enough, t1).otherwise(F.col("leaf")).alias("t1"),
+            F.when(enough, F.col("t2")).otherwise(F.col("variant")).alias("t2"),
+        )
+    else:
+        general = patterns.filter(enough).select("leaf", "variant", t1.alias("t1"), "t2")
     return alone.unionByName(general)
 
 
@@ -141,12 +176,13 @@ def dropped_lines(
     min_tokens: int = MIN_TOKENS,
     depth: int = DEPTH,
     fixed_share: float = FIXED_SHARE,
+    own_evidence: bool = False,
 ) -> DataFrame:
     """One row per document row with recurring lines: key and sorted numbers of those lines."""
     lines = _lines(docs, min_tokens, depth)
     named = written(
         lines.select(*ROW, "at", "leaf", "variant")
-        .join(templates(lines, min_docs, fixed_share), ["leaf", "variant"])
+        .join(templates(lines, min_docs, fixed_share, depth, own_evidence), ["leaf", "variant"])
         .select(*ROW, "at", "t1", "t2"),
         "named-lines",
     )

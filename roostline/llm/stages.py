@@ -26,8 +26,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def remove_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their recurring lines; those that had nothing else go."""
-    cleaned = line_dedup(docs)
+    """Documents without their recurring lines; those that had nothing else go. Lines that
+    differ in a word of their own are not taken for one template by their leading words alone."""
+    cleaned = line_dedup(docs, own_evidence=True)
     emptied = (F.col("_n_dropped") > 0) & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")
     return cleaned.filter(~emptied | F.col("text").isNull()).select(
         *[F.length("text").cast("bigint").alias(c) if c == "n_chars" else c for c in docs.columns]

@@ -76,3 +76,15 @@ def test_the_whole_pipeline(spark):
     rows = [(d, t) for d, t in rows if not secret_row(t)[-1]]
     result = [r.asDict() for r in corpus_pipeline.run(spark, SF).collect()]
     whole(result, dict(rows), reference())
+
+
+def test_lines_that_share_only_their_leading_words_stay(spark, documents):
+    """Four tokens, three of them the key of the leaf: their last words are text, not a field.
+    One fixed word beyond them is too little as well; a line that recurs itself and a real template still go."""
+    words = "red blue green white black brown grey pink gold teal".split()
+    rows = [(k, f"Thor the haan {w}\nit is a {w} day") for k, w in enumerate(words)]
+    rows += [(20 + k, "Thor the haan for") for k in range(3)]
+    rows += [(30 + k, f"login by user {w} from home") for k, w in enumerate(words)]
+    kept = dict(pairs(stages.remove_recurring_lines(spark, documents(rows), SF)))
+    assert {k: kept.get(k) for k in range(10)} == dict(rows[:10])
+    assert [k for k in range(20, 40) if k in kept] == [20, 30]
