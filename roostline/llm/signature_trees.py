@@ -11,14 +11,18 @@ more. Equal sets are one class. Classes that can have a partner are found by cou
    groups) and builds a signature tree of each: a node holds the OR and the AND of its
    members' token bitmaps and their range of sizes. A traversal of both trees at once drops
    pairs of nodes whose greatest possible overlap is too small; pairs of sets that remain are
-   compared exactly. A pair whose members are already connected needs no comparison.
+   compared exactly.
 
 All pairs that could link meet in one task, so the components are exact, up to equal 64-bit
-hashes of different shingles or sets. Links are returned as far as they connect something new
-in their task: copies and near copies are not expanded into all pairs.
+hashes of different shingles or sets. The query compares every pair that the traversal keeps and
+sums the links of each class where they are found, a class weighing as many rows as it has; so
+counts are shuffled and not pairs. The pipeline needs components alone: there a pair whose
+members are already connected is not compared. Links themselves are returned as far as they
+connect something new in their task.
 
 Defined cases: a null or empty text has an empty set and links with nothing, its component is
-its own doc_id; texts under five words are one shingle; repeated rows belong to one component;
+its own doc_id; n_links counts all other rows that a row links with, its copies and rows
+without a doc_id among them; texts under five words are one shingle; repeated rows belong to one component;
 rows without a doc_id join their component, whose id is the smallest doc_id that is not null;
 an empty table gives no rows; columns other than id and text are ignored.
 """
@@ -53,6 +57,8 @@ SLACK = 10
 # some tens of millions of classes it lets more texts through, which the join after it removes.
 FILTER_BITS = 26
 BLOCK = 512
+# Shingles compared with one set at a time.
+COMPARED = 1 << 20
 FANOUT = 8
 
 
@@ -286,9 +292,9 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return PART_OF * common >= PARTS * (len(a) + len(b) - common)
 
 
-def tree_links(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
-    """Links between two lists of sets, or within one, that connect something new: their
-    components are those of all links. Positions are those in the lists."""
+def kept_pairs(left: list[np.ndarray], right: list[np.ndarray] | None):
+    """The pairs that a traversal keeps, as positions in the two trees, and for each tree its
+    sets and their positions in the lists."""
 
     def planted(sets):
         order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), int(sets[k][0])))
@@ -322,19 +328,27 @@ def tree_links(left: list[np.ndarray], right: list[np.ndarray] | None = None) ->
         if within:
             ordered = i <= j
             i, j = i[ordered], j[ordered]
+    if within:
+        i, j = i[i < j], j[i < j]
+    return i, j, x.sets, y.sets, order_x, order_y
+
+
+def tree_links(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Links between two lists of sets, or within one, that connect something new: their
+    components are those of all links. Positions are those in the lists."""
+    i, j, x_sets, y_sets, order_x, order_y = kept_pairs(left, right)
+    within = right is None
     shift = 0 if within else len(left)
     component = np.arange(len(left) + (0 if within else len(right)))
     links = []
     pairs = np.stack([i, j + shift]) if len(i) else np.zeros((2, 0), np.int64)
-    if within:
-        pairs = pairs[:, pairs[0] < pairs[1]]
     at = 0
     while at < pairs.shape[1]:
         a, b = int(pairs[0, at]), int(pairs[1, at])
         at += 1
         if component[a] == component[b]:
             continue
-        if similar(x.sets[a], y.sets[b - shift]):
+        if similar(x_sets[a], y_sets[b - shift]):
             links.append((order_x[a], order_y[b - shift]))
             component[component == component[b]] = component[a]
             rest = pairs[:, at:]
@@ -342,8 +356,53 @@ def tree_links(left: list[np.ndarray], right: list[np.ndarray] | None = None) ->
     return links
 
 
-def block_links(sets: DataFrame, groups: DataFrame, block: int = BLOCK) -> DataFrame:
+def counted_links(
+    left: list[np.ndarray], right: list[np.ndarray] | None, weights: np.ndarray, others: np.ndarray
+) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Links as those of ``tree_links``, and for each set of both lists the summed weights of all
+    sets that it links with. Every pair that the traversal keeps is compared."""
+    i, j, x_sets, y_sets, order_x, order_y = kept_pairs(left, right)
+    within = right is None
+    # Positions in the lists; within one list both counts are the same array.
+    at_x, at_y = np.asarray(order_x, np.int64), np.asarray(order_y, np.int64)
+    counts = np.zeros(len(left), np.int64)
+    opposite = counts if within else np.zeros(len(right), np.int64)
+    shift = 0 if within else len(left)
+    component = np.arange(len(left) + (0 if within else len(right)))
+    sizes = np.array([len(s) for s in y_sets], np.int64)
+    links = []
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else []
+    for start, end in zip(starts, [*starts[1:], len(i)]):
+        one, partners = int(i[start]), j[start:end]
+        own = x_sets[one]
+        common = np.empty(len(partners), np.int64)
+        # So many shingles at a time, however large the sets are.
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes[partners]) // COMPARED)) + 1
+        for part in np.split(np.arange(len(partners)), cuts):
+            some = partners[part]
+            flat = np.concatenate([y_sets[k] for k in some])
+            at = np.searchsorted(own, flat)
+            at[at == len(own)] = 0
+            common[part] = np.add.reduceat((own[at] == flat).astype(np.int64), np.r_[0, np.cumsum(sizes[some])[:-1]])
+        linked = partners[PART_OF * common >= PARTS * (len(own) + sizes[partners] - common)]
+        if not len(linked):
+            continue
+        a, b = at_x[one], at_y[linked]
+        counts[a] += others[b].sum()
+        opposite[b] += weights[a]
+        labels, first = np.unique(component[b + shift], return_index=True)
+        new = labels != component[a]
+        links += [(int(a), int(k)) for k in b[first[new]]]
+        component[np.isin(component, labels[new])] = component[a]
+    return links, counts, opposite
+
+
+def block_links(sets: DataFrame, groups: DataFrame, block: int = BLOCK, counted: bool = False) -> DataFrame:
     """Links (a, b) between classes of one candidate group. ``groups`` holds (class, group).
+    When ``counted``, ``sets`` has the number of ``copies`` of each class, and rows without b
+    tell how many rows a class links with in a task (links; null in the rows of links).
 
     A group of several blocks has one task per pair of blocks; a set goes to the pairs of its
     block. Small groups share tasks.
@@ -366,60 +425,100 @@ def block_links(sets: DataFrame, groups: DataFrame, block: int = BLOCK) -> DataF
         F.when(single, F.lit(-1)).otherwise(F.least("own", "with")).cast("bigint").alias("first"),
         F.when(single, F.lit(-1)).otherwise(F.greatest("own", "with")).cast("bigint").alias("second"),
     )
-    rows = units.join(sets.select("class", "tokens"), "class")
+    copies = F.col("copies") if counted else F.lit(1).cast("bigint").alias("copies")
+    rows = units.join(sets.select("class", "tokens", copies), "class")
 
     def joined(frame):
         import pandas as pd
 
-        found = []
+        found, totals = [], []
+
+        def links_of(left, right=None):
+            """Links and, when counted, the totals of the sets at these positions of a part."""
+            others = None if right is None else [sets_here[k] for k in right]
+            if not counted:
+                return tree_links([sets_here[k] for k in left], others)
+            links, own, opposite = counted_links(
+                [sets_here[k] for k in left], others, copies[left], copies[left if right is None else right]
+            )
+            sides = [(left, own)] if right is None else [(left, own), (right, opposite)]
+            totals.extend((keys[k], n) for at, total in sides for k, n in zip(at, total) if n)
+            return links
+
         for _, part in frame.groupby("group", sort=True):
             part = part.sort_values("class")
-            keys = part["class"].to_numpy()
+            keys, copies = part["class"].to_numpy(), part["copies"].to_numpy()
             sets_here = [np.asarray(t, np.int64).view(np.uint64) for t in part["tokens"]]
             first, second = int(part["first"].iloc[0]), int(part["second"].iloc[0])
             if first == second:
-                found += [(keys[a], keys[b]) for a, b in tree_links(sets_here)]
+                found += [(keys[a], keys[b]) for a, b in links_of(np.arange(len(keys)))]
                 continue
             side = part["side"].to_numpy()
             left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
             if len(left) and len(right):
-                links = tree_links([sets_here[k] for k in left], [sets_here[k] for k in right])
-                found += [(keys[left[a]], keys[right[b]]) for a, b in links]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found += [(keys[left[a]], keys[right[b]]) for a, b in links_of(left, right)]
+        links = pd.DataFrame(found, columns=["a", "b"], dtype="Int64")
+        if not counted:
+            return links
+        sums = pd.DataFrame(totals, columns=["a", "links"], dtype="Int64")
+        return pd.concat([links, sums]).reindex(columns=["a", "b", "links"]).astype("Int64")
 
-    return rows.groupBy("unit", "first", "second").applyInPandas(joined, "a bigint, b bigint")
+    schema = "a bigint, b bigint" + ", links bigint" * counted
+    return rows.groupBy("unit", "first", "second").applyInPandas(joined, schema)
 
 
-def class_links(docs: DataFrame, prefixed: DataFrame, block: int = BLOCK) -> DataFrame:
+def class_links(docs: DataFrame, prefixed: DataFrame, block: int = BLOCK, counted: bool = False) -> DataFrame:
     suspected = written(suspects(prefixed), "suspects")
     sets = whole_sets(docs, suspected)
+    counts = copies_of(prefixed) if counted else None
     groups = connected_components(candidate_edges(sets), "candidate-groups").select(
         F.col("node").alias("class"), F.col("root").alias("group")
     )
-    return written(block_links(sets, written(groups, "groups"), block), "class-links")
+    weighted = sets.join(counts, "class") if counted else sets
+    return written(block_links(weighted, written(groups, "groups"), block, counted), "class-links")
+
 
+def copies_of(prefixed: DataFrame) -> DataFrame:
+    return prefixed.filter("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("copies"))
 
-def grouped_rows(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+
+def grouped_rows(docs: DataFrame, block: int = BLOCK, counted: bool = False) -> DataFrame:
     """Every document row by doc_id and text_hash, with the size of its set, the least class
-    of its component (root, null for empty sets) and the component's smallest doc_id."""
+    of its component (root, null for empty sets) and the component's smallest doc_id; when
+    ``counted``, with the number of rows it links with (null for empty sets)."""
     bounded_batches(docs.sparkSession)
     prefixed = prefixes(docs)
-    roots = connected_components(class_links(docs, prefixed, block), "linked-classes")
-    classes = prefixed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    found = class_links(docs, prefixed, block, counted)
+    links = found.filter("b is not null").select("a", "b")
+    roots = connected_components(links, "linked-classes")
+    classes = (
+        prefixed.filter("n > 0")
+        .groupBy("class")
+        .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    )
     rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(
-        "class", "least", F.coalesce("root", "class").alias("root")
+        "class", "least", "copies", F.coalesce("root", "class").alias("root")
     )
     components = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.join(components, "root").select("class", "root", "component_id"), "class-roots")
+    kept = ["class", "root", "component_id"]
+    named = rooted.join(components, "root")
+    if counted:
+        totals = found.filter("b is null").groupBy("a").agg(F.sum("links").alias("links"))
+        named = named.join(totals, F.col("class") == F.col("a"), "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))
+        )
+        kept.append("n_links")
+    named = written(named.select(*kept), "class-roots")
     return prefixed.select("doc_id", "text_hash", "class", "n").join(named, "class", "left").drop("class")
 
 
 def similar_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    return grouped_rows(docs, block).select(
+    """doc_id, n_shingles, component_id and n_links of every document."""
+    return grouped_rows(docs, block, counted=True).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
     )
 
 

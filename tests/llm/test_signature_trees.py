@@ -167,3 +167,23 @@ def test_registered_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert found(op8_ngram_jaccard_join(spark, sf)) == plain(rows)
+
+
+@pytest.mark.parametrize("seed, block", [(3, 512), (4, 5)])
+def test_links_are_all_counted(documents, seed, block):
+    """Also those of rows that other links connect already: five near copies have four each."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = corpus(seed, 30) + [(9500 + k, " ".join([*base, f"end{k}"])) for k in range(5)]
+    sets = [shingles(t) for _, t in rows]
+
+    def linked(a, b):
+        common = len(a & b)
+        return common > 0 and 5 * common >= 4 * (len(a) + len(b) - common)
+
+    want = [sum(linked(a, b) for k, b in enumerate(sets) if k != n) for n, a in enumerate(sets)]
+    assert want[-5:] == [4] * 5
+    got = similar_groups(documents(rows), block).collect()
+    assert sorted(((r["doc_id"], r["n_links"]) for r in got), key=str) == sorted(
+        ((d, n) for (d, _), n in zip(rows, want)), key=str
+    )
