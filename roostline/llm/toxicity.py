@@ -90,8 +90,9 @@ class Trie:
                 node = node.setdefault(letter, {})
             node[""] = term
 
-    def within(self, word: str, limit: int) -> tuple[int, str] | None:
-        """The nearest term within ``limit`` edits; ties go to the smaller term."""
+    def within(self, word: str, limit: int, own=lambda term: None) -> tuple[int, str] | None:
+        """The nearest term within ``limit`` edits and within its own limit, if ``own`` gives one;
+        ties go to the smaller term."""
         automaton = LevenshteinAutomaton(word, limit)
         best = None
         open_nodes = [(self.root, automaton.start)]
@@ -99,7 +100,9 @@ class Trie:
             node, state = open_nodes.pop()
             for letter, child in node.items():
                 if letter == "":
-                    if state[-1] <= limit and (best is None or (state[-1], child) < best):
+                    most = own(child)
+                    fits = state[-1] <= (limit if most is None else most)
+                    if fits and (best is None or (state[-1], child) < best):
                         best = (state[-1], child)
                     continue
                 after = automaton.step(state, letter)
@@ -158,10 +161,8 @@ class Lexicon:
             return None
         if not piece.search(word):
             return None
-        near = self._made["trie"].within(word, self._made["most"])
-        if near and near[0] <= edits(len(near[1])):
-            return FUZZY, self.words[near[1]]
-        return None
+        near = self._made["trie"].within(word, self._made["most"], lambda term: edits(len(term)))
+        return (FUZZY, self.words[near[1]]) if near else None
 
 
 N_FEATURES = 8

@@ -129,3 +129,14 @@ def test_held_out_accuracy(spark):
     wrong = sum(r["predicted"] for r, t in held if not t) / sum(1 - t for _, t in held)
     # Some seven in a hundred toxic labels lie on texts without any sign of it.
     assert caught >= 0.87 and wrong <= 0.01, (caught, wrong)
+
+
+def test_a_term_out_of_its_limit_hides_no_other():
+    """Both terms are two edits away; only the longer one allows two."""
+    terms = {"abcdefgh": 1.0, "abcdefghij": 3.0}
+    word = "abcdefghxy"
+    assert [distance(word, t) for t in terms] == [2, 2]
+    assert Lexicon(terms).kind(word) == (FUZZY, 3.0)
+    for word in ("abcdefgxy", "abcdefg", "abcdefghi", "abcdefxhij", "xbcdefgh", "xycdefghij"):
+        want = any(distance(word, t) <= edits(len(t)) for t in terms)
+        assert ((Lexicon(terms).kind(word) or [None])[0] == FUZZY) == want, word
