@@ -237,7 +237,8 @@ def fold(doc_id):
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
     """At most ``fit_rows`` labelled texts, in a table. The labels are bounded by that
-    parameter before they are broadcast to the documents."""
+    parameter before they are broadcast to the documents. Rows with equal doc_id and text are
+    one; where a doc_id has several texts, the bound holds for the distinct rows, by their hash."""
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("label_id").isNotNull() & F.col("toxic").isin(0, 1))
     known = known.filter(fold(F.col("label_id")) != 0)
@@ -247,8 +248,21 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFra
         .orderBy(F.xxhash64("label_id"), "label_id")
         .limit(fit_rows)
     )
-    joined = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    return written(joined.select("text", "toxic"), "labelled-texts")
+    chosen = written(chosen, "chosen-labels")
+    keyed = texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    joined = keyed.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    # Hashes alone are sorted; texts are read for what is left.
+    rows = (
+        joined.select("label_id", "text_hash", "toxic")
+        .distinct()
+        .orderBy(F.xxhash64("label_id", "text_hash"), "label_id", "text_hash")
+        .limit(fit_rows)
+    )
+    rows = written(rows, "chosen-rows").withColumnRenamed("text_hash", "row_hash")
+    sample = keyed.join(
+        F.broadcast(rows), (F.col("doc_id") == F.col("label_id")) & (F.col("text_hash") == F.col("row_hash"))
+    ).dropDuplicates(["label_id", "text_hash"])
+    return written(sample.select("text", "toxic"), "labelled-texts")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

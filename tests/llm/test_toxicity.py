@@ -16,6 +16,7 @@ from roostline.llm.toxicity import (
     features,
     fit,
     kind_memo,
+    labelled_texts,
     op9_toxicity,
     score,
     tokens_of,
@@ -140,3 +141,13 @@ def test_a_term_out_of_its_limit_hides_no_other():
     for word in ("abcdefgxy", "abcdefg", "abcdefghi", "abcdefxhij", "xbcdefgh", "xycdefghij"):
         want = any(distance(word, t) <= edits(len(t)) for t in terms)
         assert ((Lexicon(terms).kind(word) or [None])[0] == FUZZY) == want, word
+
+
+def test_repeated_rows_are_one_and_the_sample_is_bounded(spark, documents):
+    learned = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in learned], "doc_id bigint, quality int, toxic int")
+    rows = [(i, f"text {i}") for i in learned] + [(learned[0], f"text {learned[0]}")] * 500
+    sample = labelled_texts(documents(rows), labels, 1000).collect()
+    assert sorted((r["text"], r["toxic"]) for r in sample) == sorted((f"text {i}", i % 2) for i in learned)
+    rows += [(learned[1], f"other text {k}") for k in range(300)]
+    assert labelled_texts(documents(rows), labels, 50).count() == 50
