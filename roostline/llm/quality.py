@@ -37,6 +37,8 @@ GOOD, BAD, ABSTAIN = 1, 0, -1
 MARKS = re.compile(rb"[#*$%&|<>{}\[\]\\^~=_@!]")
 PLAIN = re.compile(rb"[A-Za-z\x80-\xff'-]+[.,;:?!]?")
 START = 0.9
+# Votes that the belief in a labeller counts as, however many it casts.
+BELIEF = 100
 
 
 MARKED, LONE, SHOUTED, PLAIN_WORD, ENDS = 1, 2, 4, 8, 16
@@ -235,10 +237,12 @@ class LabelModel:
         return float(self.posteriors(np.array([pattern]))[0])
 
 
-def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> LabelModel:
+def estimate(
+    patterns: dict[tuple[int, ...], int], rounds: int = 200, belief: float | None = None
+) -> LabelModel:
     """Expectation-maximisation. A labeller starts as right in ``START`` of its votes; this
-    belief counts as much as its votes do, so that one large class cannot turn a labeller of
-    a small one around."""
+    belief counts as ``belief`` votes, by default as much as its votes do, so that one large
+    class cannot turn a labeller of a small one around."""
     keys = np.array(sorted(patterns))
     weight = np.array([patterns[tuple(k)] for k in keys.tolist()], float)
     model = LabelModel(0.5, np.full(keys.shape[1], START))
@@ -246,7 +250,10 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> LabelMo
         good = model.posteriors(keys)
         right = np.where(keys == GOOD, good[:, None], np.where(keys == BAD, 1 - good[:, None], 0))
         cast = (weight[:, None] * (keys != ABSTAIN)).sum(axis=0)
-        accuracy = ((weight[:, None] * right).sum(axis=0) + (cast + 1) * START) / (2 * cast + 1)
+        held = cast + 1 if belief is None else belief
+        accuracy = ((weight[:, None] * right).sum(axis=0) + held * START) / (
+            2 * cast + 1 if belief is None else cast + belief
+        )
         share = float(np.clip((weight * good).sum() / weight.sum(), 0.1, 0.9))
         new = LabelModel(share, np.clip(accuracy, 0.55, 0.98))
         done = np.abs(new.accuracy - model.accuracy).max() + abs(new.good - model.good) < 1e-9
@@ -311,7 +318,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarr
     }
     if not patterns:
         return None
-    model = estimate(patterns)
+    model = estimate(patterns, belief=BELIEF)
     chosen = cast.groupBy("key").agg(F.first("pattern").alias("pattern")).orderBy("key").limit(fit_rows)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,22 @@ def test_agreement_with_labels_that_were_never_read(spark):
     bad = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
     assert sum(good) / len(good) > 0.99, sum(good) / len(good)
     assert sum(bad) / len(bad) < 0.05, sum(bad) / len(bad)
+
+
+def test_votes_outweigh_the_belief(monkeypatch, spark, documents):
+    """As the operator estimates: from many votes the accuracies are the true ones."""
+    from roostline.llm import quality
+
+    seen = []
+    own = quality.estimate
+    monkeypatch.setattr(quality, "estimate", lambda *a, **b: seen.append(b) or own(*a, **b))
+    quality.fit(documents([(i, f"some words of text {i}") for i in range(8)]), 8)
+    rng = random.Random(6)
+    accuracy = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7]
+    patterns = {}
+    for _ in range(30_000):
+        good = rng.random() < 0.7
+        vote = tuple(GOOD if good == (rng.random() < a) else BAD for a in accuracy)
+        patterns[vote] = patterns.get(vote, 0) + 1
+    found = own(patterns, **seen[0]).accuracy
+    assert all(abs(f - a) < 0.03 for f, a in zip(found, accuracy)), found
