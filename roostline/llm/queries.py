@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from roostline.llm.compression import op4_compression_bands
+from roostline.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from roostline.llm.interleaving import OP13_SQL, op13_proportional_interleaving
 from roostline.llm.line_templates import OP10_SQL, op10_line_dedup
 from roostline.llm.packing import op7_packing
@@ -25,11 +26,13 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_proportional_interleaving": op13_proportional_interleaving,
 }
 
 SQL = {
     "op3_secret_scans": OP3_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op13_proportional_interleaving": OP13_SQL,
 }
