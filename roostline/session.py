@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # SQL settings only: cluster sizing (executors, shuffle partitions) stays with the caller.
 RUNTIME_SETTINGS = {
@@ -57,6 +59,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/roostline-{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+    """``df`` as a table in a fresh scratch folder, and that folder. Later steps read files
+    instead of repeating the work; the shuffle files of the write are removed at its end."""
+    spark = df.sparkSession
+    folder = scratch_dir(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
 def remove_scratch(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by :func:`scratch_dir`, on whatever file system it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

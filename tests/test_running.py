@@ -1,0 +1,41 @@
+"""Row numbers and running sums against a window, with a group that holds most rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from roostline.operators.running import running
+
+
+def test_equals_a_window(spark):
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 else f"g{i % 7}", (i * 7919) % 1000, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v bigint, `odd.id` int").repartition(5)
+    order = [F.col("v").desc(), F.col("`odd.id`")]
+    got = running(df, order, ["g"], "nr", {"total": "v"}, tasks=9)
+    frame = Window.partitionBy("g").orderBy(*order)
+    want = df.select(
+        "*",
+        F.row_number().over(frame).alias("nr"),
+        F.sum("v").over(frame.rowsBetween(Window.unboundedPreceding, 0)).alias("total"),
+    )
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_no_task_holds_the_hot_group(spark):
+    df = spark.range(200_000).select(F.lit(1).alias("g"), "id")
+    got = running(df, [F.col("id")], ["g"], tasks=8)
+    assert got.agg(F.sum((F.col("position") == F.col("id") + 1).cast("int"))).first()[0] == 200_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__group0" in plan and "__range" in plan
+
+
+def test_whole_table_and_empty(spark):
+    df = spark.createDataFrame([(3,), (None,), (1,)], "v int")
+    assert [tuple(r) for r in running(df, [F.col("v").asc_nulls_first()]).orderBy("position").collect()] == [
+        (None, 1),
+        (1, 2),
+        (3, 3),
+    ]
+    assert running(df.limit(0), [F.col("v")]).count() == 0
