@@ -10,12 +10,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.session import scratch_dir
+from roostline.session import CLEANUP, staged
 
 # Words are runs of anything but the six ASCII white-space characters, for which
 # ``bytes.split()`` is the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Bytes of one Arrow batch handed to Python, however long the texts are.
 BATCH_BYTES = 8 << 20
 
@@ -31,18 +30,8 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder: later steps read files instead of
-    repeating the work, and a lost executor costs no finished step. The shuffle files of the
-    write are removed when it is done."""
-    spark = df.sparkSession
-    folder = scratch_dir(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.option("compression", codec).parquet(folder)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(folder)
+    """``df`` as a table in the shared checkpoint folder: a lost executor costs no finished step."""
+    return staged(df, label, codec)[0]
 
 
 def texts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:

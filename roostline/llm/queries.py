@@ -8,6 +8,7 @@ from roostline.llm.interleaving import OP13_SQL, op13_proportional_interleaving
 from roostline.llm.line_templates import OP10_SQL, op10_line_dedup
 from roostline.llm.packing import op7_packing
 from roostline.llm.planes import op5_bit_planes
+from roostline.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from roostline.llm.quality import op2_quality_classifier
 from roostline.llm.secrets import OP3_SQL, op3_secret_scans
 from roostline.llm.signature_trees import op8_ngram_jaccard_join
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_proportional_interleaving": op13_proportional_interleaving,
 }
 
@@ -34,5 +36,6 @@ SQL = {
     "op3_secret_scans": OP3_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
     "op13_proportional_interleaving": OP13_SQL,
 }
