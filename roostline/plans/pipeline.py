@@ -19,8 +19,8 @@ from roostline.quality import (
     schema_drift,
     source_freshness,
 )
-from roostline.sinks import Warehouse, upsert_months
-from roostline.sinks.tables import AUDIT_COLUMN
+from roostline.sinks import Candidate, Warehouse
+from roostline.sinks.tables import AUDIT_COLUMN, last_month
 from roostline.sources import RawSources
 from roostline.streaming import check_late_arrivals, reprocess_bound
 
@@ -111,7 +111,7 @@ class RunResult:
     checks: DataFrame
 
 
-def load_daily(
+def prepare_daily(
     spark: SparkSession,
     lineage: Lineage,
     warehouse: Warehouse,
@@ -120,8 +120,9 @@ def load_daily(
     names: list[str] | None = None,
     reviews: str = "aggregate",
     wide: bool = True,
-) -> DataFrame:
-    """Build the nightly fact in full, or upsert the reprocess window into it.
+) -> Candidate:
+    """Build the nightly fact in full, or upsert the reprocess window into it, as a candidate
+    that nobody sees before it is committed.
 
     Both modes keep one row per listing and night by default, so they agree on every row. An
     incremental load into a missing or empty table is a full load. ``reviews='fanout'``
@@ -132,19 +133,35 @@ def load_daily(
         names = None
     elif names is None:
         names = lineage.amenity_names()
+    table = warehouse.versions("marts", DAILY)
+    begun = table.begin()
     bound = None
-    if strategy == "incremental" and warehouse.exists("marts", DAILY):
-        newest = warehouse.newest_month("marts", DAILY)
-        bound = reprocess_bound(warehouse.read("marts", DAILY), month=newest)
+    if strategy == "incremental" and begun[0] is not None:
+        bound = reprocess_bound(table.frame(begun[0]), month=last_month(begun[0]))
     if bound is not None and reviews != "aggregate":
         raise ValueError("an upsert needs one row per listing and night: reviews='aggregate'")
     rows = lineage.fct_daily(reviews, names, since=bound)
     if bound is None:
-        return warehouse.replace(rows, "marts", DAILY, run_ts, by_month=True)
-    upsert_months(
-        spark, warehouse.path("marts", DAILY), rows, facts.FACT_KEY, since=bound, run_ts=run_ts
+        return warehouse.prepare(rows, "marts", DAILY, run_ts, by_month=True, begun=begun)
+    return warehouse.prepare_upsert(
+        rows, "marts", DAILY, facts.FACT_KEY, since=bound, run_ts=run_ts, begun=begun
+    )
+
+
+def load_daily(
+    spark: SparkSession,
+    lineage: Lineage,
+    warehouse: Warehouse,
+    run_ts: datetime.datetime | str,
+    strategy: str,
+    names: list[str] | None = None,
+    reviews: str = "aggregate",
+    wide: bool = True,
+) -> DataFrame:
+    """Prepare the nightly fact and commit it, see :func:`prepare_daily`."""
+    return warehouse.commit(
+        prepare_daily(spark, lineage, warehouse, run_ts, strategy, names, reviews, wide)
     )
-    return warehouse.read("marts", DAILY, by_month=True)
 
 
 def run_pipeline(
@@ -161,11 +178,12 @@ def run_pipeline(
     """One daily run. ``as_of`` is the run time: gates, tenure, ages and audit use it.
 
     Order: freshness (an error stops the run), source checks, staging and history, late rows
-    and amenity drift, load mode, dimensions, fact, rollups, all other checks, publishing,
-    analyses. Marts are written; the other layers are views. With ``gate`` a check of error
-    severity that finds rows stops the run: of a source before anything is loaded, of another
-    table before anything is published. ``wide=False`` keeps amenities as array columns in
-    all tables and needs no vocabulary.
+    and amenity drift, load mode, dimensions, fact, rollups, all other checks, committing and
+    publishing, analyses. Marts are written as candidates and become visible only after their
+    checks; the other layers are views. With ``gate`` a check of error severity that finds rows
+    stops the run: of a source before anything is loaded, of another table before any mart is
+    committed, and the candidates go. ``wide=False`` keeps amenities as array columns in all
+    tables and needs no vocabulary.
     """
     freshness = freshness_gate(source_freshness(sources.items(), as_of))
     lineage = Lineage(sources, json_mode)
@@ -197,7 +215,7 @@ def run_pipeline(
 
     strategy = "full_refresh"
     if warehouse.exists("marts", DAILY):
-        target = warehouse.read("marts", DAILY, by_month=True)
+        target = warehouse.read("marts", DAILY)
         known = (*facts.FACT_COLUMNS, *facts.NIGHT_COLUMNS, "amenities", AUDIT_COLUMN)
         found = vocabulary_frame(lineage.events())
         # An array column takes any name.
@@ -205,22 +223,41 @@ def run_pipeline(
         late = check_late_arrivals(sources.calendar, target, as_of)
         strategy = refresh_decision(drift, late).first().strategy
 
-    def mart(df: DataFrame, name: str) -> None:
-        tables[name] = warehouse.replace(df, "marts", name, as_of)
-
-    mart(dimensions.dim_date(spark, as_of.date()), "dim_date")
-    mart(dimensions.dim_hosts(hosts, as_of.date()), "dim_hosts")
-    mart(widened(lineage.dim_listings(), names), "dim_listings")
-    tables[DAILY] = load_daily(spark, lineage, warehouse, as_of, strategy, names, reviews, wide)
-    mart(facts.fct_monthly_listing(tables[DAILY]), LISTING_MONTHS)
-    mart(facts.fct_monthly_neighborhood(tables[DAILY]), NEIGHBORHOOD_MONTHS)
-    checks = run_checks(tables)
-    if gate:
-        checks_gate(checks)
+    candidates: dict[str, Candidate] = {}
+
+    def mart(name: str, candidate: Candidate) -> None:
+        candidates[name] = candidate
+        tables[name] = candidate.df
+
+    def prepared(df: DataFrame, name: str) -> None:
+        mart(name, warehouse.prepare(df, "marts", name, as_of))
+
+    try:
+        prepared(dimensions.dim_date(spark, as_of.date()), "dim_date")
+        prepared(dimensions.dim_hosts(hosts, as_of.date()), "dim_hosts")
+        prepared(widened(lineage.dim_listings(), names), "dim_listings")
+        mart(DAILY, prepare_daily(spark, lineage, warehouse, as_of, strategy, names, reviews, wide))
+        prepared(facts.fct_monthly_listing(tables[DAILY]), LISTING_MONTHS)
+        prepared(facts.fct_monthly_neighborhood(tables[DAILY]), NEIGHBORHOOD_MONTHS)
+        checks = run_checks(tables)
+        if gate:
+            checks_gate(checks)
+    except BaseException:
+        for candidate in candidates.values():
+            warehouse.discard(candidate)
+        raise
+    waiting = dict(candidates)
+    try:
+        for name in candidates:
+            warehouse.commit(waiting.pop(name))
+    except BaseException:
+        # The one that failed is gone already.
+        for candidate in waiting.values():
+            warehouse.discard(candidate)
+        raise
     if publish:
-        for name in ("dim_date", "dim_hosts", "dim_listings", LISTING_MONTHS, NEIGHBORHOOD_MONTHS):
+        for name in candidates:
             warehouse.publish("marts", name)
-        warehouse.publish("marts", DAILY, by_month=True)
 
     dim_listings, dim_date = tables["dim_listings"], tables["dim_date"]
     answers = {

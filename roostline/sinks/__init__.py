@@ -1,4 +1,14 @@
-from roostline.sinks.tables import NAMESPACES, Warehouse, namespace, read_months
-from roostline.sinks.upsert import RepeatedKeyError, upsert_months
+from roostline.sinks.manifests import ConcurrentLoadError, Manifest, VersionedTable
+from roostline.sinks.tables import NAMESPACES, Candidate, Warehouse, namespace
+from roostline.sinks.upsert import RepeatedKeyError
 
-__all__ = ["NAMESPACES", "RepeatedKeyError", "Warehouse", "namespace", "read_months", "upsert_months"]
+__all__ = [
+    "NAMESPACES",
+    "Candidate",
+    "ConcurrentLoadError",
+    "Manifest",
+    "RepeatedKeyError",
+    "VersionedTable",
+    "Warehouse",
+    "namespace",
+]

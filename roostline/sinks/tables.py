@@ -1,16 +1,18 @@
-"""Layer routing, full table replace by versions, and temporary views."""
+"""Layer routing, versioned tables, catalog publishing, and temporary views."""
 
 from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from roostline.session import remove_scratch
+from roostline.sinks.manifests import MONTH, Manifest, VersionedTable
+from roostline.sinks.upsert import staged_rows, with_kept_rows
 
 # Namespace of each layer, spelled as existing queries expect it.
 NAMESPACES = {
@@ -20,9 +22,6 @@ NAMESPACES = {
     "analyses": "analytics",
 }
 AUDIT_COLUMN = "updated_at"
-MONTH = "calendar_month"
-# The file of a table's folder that names its current version.
-POINTER = "_current"
 
 
 def namespace(layer: str, default: str = "default", routes: dict[str, str] | None = None) -> str:
@@ -35,41 +34,30 @@ def stamped(df: DataFrame, run_ts: datetime.datetime | str) -> DataFrame:
     return df.withColumn(AUDIT_COLUMN, F.lit(str(run_ts)).cast("timestamp"))
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path in its terms."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def newest_month(spark: SparkSession, path: str) -> datetime.date | None:
-    """The newest month of a month-partitioned table, from the names of its folders."""
-    files, place = _file_system(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
-    months = [n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}=")]
-    dated = [datetime.date.fromisoformat(m) for m in months if m[:1].isdigit()]
-    return max(dated, default=None)
+@dataclass(frozen=True)
+class Candidate:
+    """A version that is written but not visible yet."""
 
+    table: VersionedTable
+    manifest: Manifest
+    load: str
 
-def read_months(spark: SparkSession, path: str) -> DataFrame:
-    """A month-partitioned table with the columns of its newest month.
-
-    Every load rewrites the newest month, so its files carry the current columns. A column
-    that is new there reads as NULL in older months, a column that is gone there is gone.
-    """
-    newest = newest_month(spark, path)
-    if newest is None:
-        return spark.read.parquet(path)
-    columns = spark.read.parquet(f"{path}/{MONTH}={newest}").schema
-    return spark.read.schema(columns.add(MONTH, T.DateType())).parquet(path)
+    @property
+    def df(self) -> DataFrame:
+        return self.table.frame(self.manifest)
 
 
 @dataclass
 class Warehouse:
     """Published parquet tables below one root, one folder per namespace and table.
 
-    A table's folder holds versions and a pointer file with the name of the current one. A
-    replacing write fills a new version and then renames a new pointer over the old one: until
-    that moment, and after a failure, readers see the version before.
+    A load writes a candidate, which may be read and checked, and then commits it: one new
+    manifest file makes it the table. Until that moment, and after a failure, readers see the
+    version before. See ``manifests.py``.
     """
 
     spark: SparkSession
@@ -79,102 +67,165 @@ class Warehouse:
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{namespace(layer, routes=self.routes)}/{name}"
 
-    def _version(self, layer: str, name: str) -> str | None:
-        files, pointer = _file_system(self.spark, f"{self.folder(layer, name)}/{POINTER}")
-        if not files.exists(pointer):
-            return None
-        stream = files.open(pointer)
-        try:
-            return stream.readUTF()
-        finally:
-            stream.close()
+    def versions(self, layer: str, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.folder(layer, name))
 
-    def path(self, layer: str, name: str) -> str:
-        """The folder of the current version."""
-        version = self._version(layer, name)
-        if version is None:
+    def _newest(self, layer: str, name: str) -> Manifest:
+        manifest = self.versions(layer, name).newest()
+        if manifest is None:
             raise FileNotFoundError(f"no table {name} in layer {layer}")
-        return f"{self.folder(layer, name)}/{version}"
-
-    def _switch(self, layer: str, name: str, version: str) -> None:
-        """Make a version current. The one before stays for its readers, older ones go."""
-        folder, before = self.folder(layer, name), self._version(layer, name)
-        jvm = self.spark._jvm
-        files, place = _file_system(self.spark, folder)
-        fresh = jvm.org.apache.hadoop.fs.Path(f"{folder}/_next-{version}")
-        stream = files.create(fresh, True)
-        stream.writeUTF(version)
-        stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            files.getUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(
-            files.makeQualified(fresh),
-            files.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")),
-            options,
-        )
-        for status in files.listStatus(place):
-            old = status.getPath().getName()
-            if status.isDirectory() and old.startswith("v-") and old not in (version, before):
-                files.delete(status.getPath(), True)
-
-    def read(self, layer: str, name: str, by_month: bool = False) -> DataFrame:
-        path = self.path(layer, name)
-        return read_months(self.spark, path) if by_month else self.spark.read.parquet(path)
+        return manifest
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._version(layer, name) is not None
+        return self.versions(layer, name).newest() is not None
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        return self.versions(layer, name).frame(self._newest(layer, name))
 
     def newest_month(self, layer: str, name: str) -> datetime.date | None:
-        return newest_month(self.spark, self.path(layer, name))
+        """The newest month of a table, from its manifest."""
+        return last_month(self._newest(layer, name))
+
+    @contextmanager
+    def reading(self, layer: str, name: str) -> Iterator[DataFrame]:
+        """The table as it is now, kept for the length of a block whatever loads commit."""
+        table, reader = self.versions(layer, name), f"reader-{uuid.uuid4().hex}"
+        manifest = table.pin_newest(reader)
+        try:
+            yield table.frame(manifest)
+        finally:
+            table.unpin(reader, manifest.number)
 
-    def replace(
+    def prepare(
         self,
         df: DataFrame,
         layer: str,
         name: str,
         run_ts: datetime.datetime | str,
         by_month: bool = False,
-    ) -> DataFrame:
-        """Write the whole table anew, stamped with the run time, and read it back. When the
-        write fails, the table stays as it was."""
-        version = f"v-{uuid.uuid4().hex}"
-        target = f"{self.folder(layer, name)}/{version}"
-        writer = stamped(df, run_ts).write
-        if by_month:
-            writer = writer.partitionBy(MONTH)
+        begun: tuple[Manifest | None, int] | None = None,
+    ) -> Candidate:
+        """Write the whole table anew, stamped with the run time, without showing it yet."""
+        table = self.versions(layer, name)
+        _, number = begun or table.begin()
+        load, schema, parts = table.write(stamped(df, run_ts), by_month)
+        return Candidate(table, Manifest(number, schema, parts, by_month), load)
+
+    def prepare_upsert(
+        self,
+        rows: DataFrame,
+        layer: str,
+        name: str,
+        keys: Sequence[str],
+        since: datetime.date,
+        run_ts: datetime.datetime | str,
+        begun: tuple[Manifest | None, int] | None = None,
+    ) -> Candidate:
+        """Update rows with a known key, insert the others, delete nothing; not shown yet.
+
+        ``rows`` hold no date before ``since`` and one row per key; a repeated key stops the
+        load with an example. Only months from ``since`` on are read and written anew. The new
+        version names the new folders for these months and the old ones for all others, which
+        keep their files and their audit time. The table has the columns of ``rows`` then: a
+        new column is NULL in kept rows, a column that ``rows`` no longer have is gone.
+        """
+        table = self.versions(layer, name)
+        base, number = begun or table.begin()
+        if base is None or not base.by_month:
+            raise FileNotFoundError(f"no table {name} by month in layer {layer}")
+        first = since.replace(day=1)
+        with staged_rows(self.spark, stamped(rows, run_ts)) as fresh:
+            old = {part for part in base.parts if part_month(part) is None or part_month(part) >= first}
+            current = Manifest(base.number, base.schema, {p: base.parts[p] for p in old}, True)
+            merged = with_kept_rows(table.frame(current), fresh, list(keys))
+            load, schema, written = table.write(merged, by_month=True)
+        parts = {p: origin for p, origin in base.parts.items() if p not in old} | written
+        return Candidate(table, Manifest(number, schema, parts, True), load)
+
+    def commit(self, candidate: Candidate) -> DataFrame:
+        """Make a candidate the table and read it. Raises, and leaves the table, when another
+        load committed since the candidate's load began."""
         try:
-            writer.parquet(target)
+            candidate.table.commit(candidate.manifest)
         except BaseException:
-            remove_scratch(self.spark, target)
+            self.discard(candidate)
             raise
-        self._switch(layer, name, version)
-        return self.read(layer, name, by_month)
-
-    def publish(self, layer: str, name: str, by_month: bool = False) -> str:
-        """Register a written table in the session catalog as ``namespace.name``."""
-        database = namespace(layer, routes=self.routes)
-        target = f"{database}.{name}"
-        fields = self.read(layer, name, by_month).schema.fields
-        columns = ", ".join(
-            f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields
-        )
-        partitions = f"PARTITIONED BY ({MONTH})" if by_month else ""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        # An external table: dropping it leaves the files alone.
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(
-            f"CREATE TABLE {target} ({columns}) USING parquet {partitions} "
-            f"LOCATION '{self.path(layer, name)}'"
+        candidate.table.remove_old()
+        return candidate.df
+
+    @staticmethod
+    def discard(candidate: Candidate) -> None:
+        candidate.table.discard(candidate.load)
+
+    def replace(
+        self, df: DataFrame, layer: str, name: str, run_ts: datetime.datetime | str, by_month: bool = False
+    ) -> DataFrame:
+        return self.commit(self.prepare(df, layer, name, run_ts, by_month))
+
+    def upsert(
+        self,
+        rows: DataFrame,
+        layer: str,
+        name: str,
+        keys: Sequence[str],
+        since: datetime.date,
+        run_ts: datetime.datetime | str,
+    ) -> DataFrame:
+        return self.commit(self.prepare_upsert(rows, layer, name, keys, since, run_ts))
+
+    def publish(self, layer: str, name: str) -> str:
+        """Show the newest version in the session catalog as ``namespace.name``.
+
+        The version becomes an external table of its own name, and ``namespace.name`` is a view
+        that is turned to it in one catalog change. The version stays pinned, whatever loads
+        commit, until a later publishing turns the view away from it.
+        """
+        database, table = namespace(layer, routes=self.routes), self.versions(layer, name)
+        target, reader = f"{database}.{_sql_name(name)}", f"catalog-{database}.{name}"
+        manifest = table.pin_newest(reader)
+        version = f"{database}.{_sql_name(f'{name}__v{manifest.number}')}"
+        sql = self.spark.sql
+        sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        columns = ", ".join(f"{_sql_name(f.name)} {f.dataType.simpleString()}" for f in manifest.schema.fields)
+        folders = table.part_folders(manifest)
+        place = table.folder + "/data" if manifest.by_month else next(iter(folders.values()))
+        sql(f"DROP TABLE IF EXISTS {version}")
+        sql(
+            f"CREATE TABLE {version} ({columns}) USING parquet "
+            f"{f'PARTITIONED BY ({MONTH})' if manifest.by_month else ''} LOCATION '{place}'"
         )
-        if by_month:
-            self.spark.catalog.recoverPartitions(target)
-        return target
+        if manifest.by_month and folders:
+            months = [(part_value(part), folder) for part, folder in folders.items()]
+            added = " ".join(f"PARTITION ({MONTH}={value}) LOCATION '{folder}'" for value, folder in months)
+            sql(f"ALTER TABLE {version} ADD {added}")
+        shown = ", ".join(_sql_name(f.name) for f in manifest.schema.fields)
+        if self.spark.catalog.tableExists(f"{database}.{name}"):
+            if self.spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+                sql(f"DROP TABLE {target}")
+        sql(f"CREATE OR REPLACE VIEW {target} AS SELECT {shown} FROM {version}")
+        for other, number in table.pins():
+            if other == reader and number != manifest.number:
+                sql(f"DROP TABLE IF EXISTS {database}.{_sql_name(f'{name}__v{number}')}")
+                table.unpin(reader, number)
+        return f"{database}.{name}"
 
     @staticmethod
     def view(df: DataFrame, name: str) -> DataFrame:
-        """A lazy relation under a name: staging, intermediate and analysis tables."""
+        """A lazy relation under a name for this session."""
         df.createOrReplaceTempView(name)
         return df
+
+
+def part_month(part: str) -> datetime.date | None:
+    value = part.removeprefix(f"{MONTH}=")
+    return datetime.date.fromisoformat(value) if value[:1].isdigit() else None
+
+
+def part_value(part: str) -> str:
+    month = part_month(part)
+    return "NULL" if month is None else f"DATE'{month}'"
+
+
+def last_month(manifest: Manifest) -> datetime.date | None:
+    months = [part_month(part) for part in manifest.parts]
+    return max((m for m in months if m is not None), default=None)

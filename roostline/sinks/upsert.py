@@ -1,68 +1,44 @@
-"""Keyed upsert into parquet partitioned by month, with column sync."""
+"""The rows of a keyed upsert: one per key, and the old rows beside them."""
 
 from __future__ import annotations
 
-import datetime
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.functions.amenities import quoted
-from roostline.session import remove_scratch, scratch_dir
-from roostline.sinks.tables import MONTH, stamped
+from roostline.session import remove_scratch, staged
+from roostline.sinks.manifests import MONTH
 
 
 class RepeatedKeyError(ValueError):
     """The rows of an upsert do not have one row per key."""
 
 
-def upsert_months(
-    spark: SparkSession,
-    path: str,
-    rows: DataFrame,
-    keys: Sequence[str],
-    since: datetime.date,
-    run_ts: datetime.datetime | str,
-) -> None:
-    """Update rows with a known key, insert the others, delete nothing.
-
-    ``rows`` hold no date before ``since`` and one row per key; a repeated key stops the load
-    with an example. They are written once to the shared scratch folder, since the check, the
-    anti join and the merge need them. Only months
-    from ``since`` on are read and rewritten; older months keep their files and their audit
-    time. Spark swaps the rewritten months in when the whole write has succeeded, so a job
-    that fails while computing leaves the target as it was.
-
-    The rewritten months have the columns of ``rows``: a new column is NULL in kept rows, a
-    column that ``rows`` no longer have is dropped. Read the table with ``read_months``.
-    """
-    staged = scratch_dir(spark, "upsert")
+@contextmanager
+def staged_rows(spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
+    """The new rows, written once to the shared scratch folder, since the check of their keys,
+    the anti join and the merge need them."""
+    fresh, folder = staged(rows, "upsert")
     try:
-        stamped(rows, run_ts).write.parquet(staged)
-        _merge(spark, path, spark.read.parquet(staged), list(keys), since)
+        yield fresh
     finally:
-        remove_scratch(spark, staged)
+        remove_scratch(spark, folder)
 
 
-def _merge(
-    spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], since: datetime.date
-) -> None:
+def with_kept_rows(current: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``fresh`` and the rows of ``current`` with other keys, with the columns of ``fresh``."""
     repeated = fresh.groupBy(*keys).count().filter("count > 1").first()
     if repeated is not None:
         raise RepeatedKeyError(f"more than one row with the key {repeated.asDict()}")
-    kept = (
-        spark.read.schema(fresh.schema)
-        .parquet(path)
-        .filter(F.col(MONTH) >= F.lit(since.replace(day=1)))
-        .join(fresh.select(*keys), keys, "left_anti")
-        .select(*[quoted(c) for c in fresh.columns])
+    known = set(current.columns)
+    kept = current.join(fresh.select(*keys), list(keys), "left_anti").select(
+        *[
+            quoted(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in fresh.schema.fields
+        ]
     )
     # Tasks per month are sized at run time: small months meet, a large one is split.
-    merged = kept.unionByName(fresh).hint("rebalance", MONTH)
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    return kept.unionByName(fresh).hint("rebalance", MONTH)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roostline.plans.pipeline import DAILY, Lineage, load_daily, run_pipeline
 from roostline.quality import StaleSourceError
-from roostline.sinks import Warehouse, namespace, read_months, upsert_months
+from roostline.sinks import Warehouse, namespace
 from roostline.sources import read_sources
 from tests.lodging import AS_OF, changes, nights, reviews, small_sources, span
 
@@ -56,10 +56,9 @@ def test_incremental_equals_full_inside_the_window(spark, warehouse, rows):
 def test_months_before_the_window_keep_their_files(spark, warehouse):
     sources = small_sources(spark)
     load_daily(spark, first_days(sources, "2022-07-10"), warehouse, DAY_ONE, "full_refresh")
-    path = warehouse.path("marts", DAILY)
 
     def files(month):
-        return {f for f in spark.read.parquet(path).inputFiles() if f"month={month}" in f}
+        return {f for f in warehouse.read("marts", DAILY).inputFiles() if f"month={month}" in f}
 
     before = {m: files(m) for m in ("2022-05-01", "2022-06-01", "2022-07-01")}
     load_daily(spark, Lineage(sources), warehouse, AS_OF, "incremental")
@@ -69,9 +68,7 @@ def test_months_before_the_window_keep_their_files(spark, warehouse):
     assert before["2022-07-01"].isdisjoint(after["2022-07-01"])
 
 
-def test_upsert_updates_inserts_and_never_deletes(spark, tmp_path, rows):
-    path = str(tmp_path / "target")
-
+def test_upsert_updates_inserts_and_never_deletes(spark, warehouse, rows):
     def table(*values):
         return spark.createDataFrame(
             [(i, d(t), d(t).replace(day=1), v) for i, t, v in values],
@@ -79,10 +76,10 @@ def test_upsert_updates_inserts_and_never_deletes(spark, tmp_path, rows):
         )
 
     old = table((1, "2022-06-30", "a"), (1, "2022-07-01", "b"), (2, "2022-07-01", "c"))
-    old.withColumn("updated_at", F.lit(DAY_ONE)).write.partitionBy("calendar_month").parquet(path)
+    warehouse.replace(old, "marts", "t", DAY_ONE, by_month=True)
     new = table((1, "2022-07-01", "B"), (3, "2022-08-02", "new"))
-    upsert_months(spark, path, new, ["id", "day"], d("2022-07-01"), AS_OF)
-    assert rows(read_months(spark, path), "id", "day", "v", "updated_at") == [
+    got = warehouse.upsert(new, "marts", "t", ["id", "day"], d("2022-07-01"), AS_OF)
+    assert rows(got, "id", "day", "v", "updated_at") == [
         (1, d("2022-06-30"), "a", DAY_ONE),
         (1, d("2022-07-01"), "B", AS_OF),
         (2, d("2022-07-01"), "c", DAY_ONE),
@@ -93,14 +90,13 @@ def test_upsert_updates_inserts_and_never_deletes(spark, tmp_path, rows):
 def test_a_failing_upsert_leaves_the_target_whole(spark, warehouse, rows):
     sources = small_sources(spark)
     load_daily(spark, first_days(sources, "2022-07-10"), warehouse, DAY_ONE, "full_refresh")
-    path = warehouse.path("marts", DAILY)
-    before = rows(read_months(spark, path))
-    broken = read_months(spark, path).drop("updated_at").withColumn(
+    before = rows(warehouse.read("marts", DAILY))
+    broken = warehouse.read("marts", DAILY).drop("updated_at").withColumn(
         "neighborhood", F.raise_error(F.lit("lost")).cast("string")
     )
     with pytest.raises(Exception, match="lost"):
-        upsert_months(spark, path, broken, ["listing_id"], d("2022-07-01"), AS_OF)
-    assert rows(read_months(spark, path)) == before
+        warehouse.upsert(broken, "marts", DAILY, ["listing_id"], d("2022-07-01"), AS_OF)
+    assert rows(warehouse.read("marts", DAILY)) == before
 
 
 def test_a_new_amenity_is_null_in_rows_the_load_left_alone(spark, warehouse, rows):
