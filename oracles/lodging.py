@@ -148,12 +148,14 @@ STATEMENTS["fct_daily_nightly"] = STATEMENTS["fct_daily_incremental"] = (
     f"SELECT {columns(NIGHTLY)}, {flags('amenities')} FROM nightly_fact"
 )
 EARLY = tuple(n for n in NAMES if n != "Wifi")
+# The first load ends a week before the calendar, the window reaches a week behind that.
+REPROCESSED = "(SELECT max(calendar_date) - 14 FROM calendar)"
 STATEMENTS["fct_daily_schema_growth"] = f"""
     SELECT {columns(NIGHTLY)}, {flags('amenities')}
-    FROM nightly_fact WHERE calendar_date >= DATE '2022-06-23'
+    FROM nightly_fact WHERE calendar_date >= {REPROCESSED}
     UNION ALL BY NAME
     SELECT {columns(NIGHTLY)}, {flags('amenities', EARLY)}, CAST(NULL AS BOOLEAN) AS "Wifi"
-    FROM early_fact WHERE calendar_date < DATE '2022-06-23'"""
+    FROM early_fact WHERE calendar_date < {REPROCESSED}"""
 STATEMENTS["fct_monthly_listing"] = f"SELECT {columns(LISTING_MONTHS)} FROM listing_months"
 STATEMENTS["fct_monthly_neighborhood"] = (
     f"SELECT {columns(NEIGHBORHOOD_MONTHS)} FROM neighborhood_months"
@@ -164,9 +166,9 @@ STATEMENTS["fct_monthly_listing_nightly"] = (
 STATEMENTS["fct_monthly_neighborhood_nightly"] = (
     f"SELECT {columns(NEIGHBORHOOD_MONTHS)} FROM nightly_neighborhood_months"
 )
-STATEMENTS["daily_audit"] = """
+STATEMENTS["daily_audit"] = f"""
     SELECT CASE
-            WHEN calendar_date < DATE '2022-06-23' THEN '2022-07-01 06:00:00'
+            WHEN calendar_date < {REPROCESSED} THEN '2022-07-01 06:00:00'
             ELSE '2022-08-01 06:00:00' END AS loaded_at,
         count(*) AS nights, CAST(min(calendar_date) AS VARCHAR) AS first_date,
         CAST(max(calendar_date) AS VARCHAR) AS last_date

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roostline.functions.dates import OPEN_END
+from roostline.operators.copies import CHUNK, expand_copies
 
 # Start of the period before the first known change.
 BEGINNING = "0001-01-01"
@@ -32,22 +33,55 @@ def scd2_intervals(changes: DataFrame, key: str, changed_on: str) -> DataFrame:
     )
 
 
-def point_in_time_join(
-    facts: DataFrame, history: DataFrame, key: str, at: str, how: str = "left"
+def as_of_join(
+    facts: DataFrame, periods: DataFrame, key: str, at: str | Column, how: str = "inner"
 ) -> DataFrame:
     """Join each fact row to the period of its entity that covers the date ``at``.
 
-    The equality on the key drives the join, the date range is its residual condition.
+    The periods of an entity do not overlap. They are dealt to the months that have facts: a
+    month gets the period that is open when it begins, found by a window over the starts and
+    months of an entity, and the periods that start inside it. The join is an equality on entity
+    and month, so a fact is compared with the periods of its month, at most one per day and
+    one more, however many versions the entity has; and an entity that holds most of the facts
+    is spread over its months.
     """
-    right = history.withColumnsRenamed(
-        {key: "__key", "valid_from": "__from", "valid_to": "__to"}
+    date = facts[at] if isinstance(at, str) else at
+    dated = facts.withColumn("__at", date).withColumn("__month", F.trunc("__at", "month"))
+    others = [c for c in periods.columns if c != key]
+    known = periods.filter(F.col("valid_to") >= F.col("valid_from")).select(
+        F.col(key).alias("__key"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("__period")
     )
+    start = F.col("__period")["valid_from"]
+    starts = known.select("__key", start.alias("__on"), "__period")
+    months = dated.select(F.col(key).alias("__key"), F.col("__month").alias("__on")).distinct()
+    marks = months.filter(F.col("__on").isNotNull() & F.col("__key").isNotNull())
+    timeline = starts.withColumn("__mark", F.lit(False)).unionByName(
+        marks.withColumn("__mark", F.lit(True)), allowMissingColumns=True
+    )
+    # A start on the first of a month is open when the month begins.
+    upto = (
+        Window.partitionBy("__key")
+        .orderBy("__on", "__mark")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    opened = (
+        timeline.withColumn("__open", F.last("__period", ignorenulls=True).over(upto))
+        .filter(F.col("__mark") & (F.col("__open")["valid_to"] >= F.col("__on")))
+        .select("__key", F.col("__on").alias("__of"), F.col("__open").alias("__period"))
+    )
+    inside = known.select("__key", F.trunc(start, "month").alias("__of"), "__period").filter(
+        start > F.col("__of")
+    )
+    dealt = opened.union(inside).select("__key", "__of", "__period.*")
     covered = (
-        (facts[key] == right["__key"])
-        & (facts[at] >= right["__from"])
-        & (facts[at] <= right["__to"])
+        (dated[key] == dealt["__key"])
+        & (dated["__month"] == dealt["__of"])
+        & (dated["__at"] >= dealt["valid_from"])
+        & (dated["__at"] <= dealt["valid_to"])
+    )
+    return dated.join(dealt, covered, how).drop(
+        "__key", "__of", "__at", "__month", "valid_from", "valid_to"
     )
-    return facts.join(right, covered, how).drop("__key", "__from", "__to")
 
 
 def continuous_periods(
@@ -111,7 +145,7 @@ def islands(
     day advances the position and so starts another run, as the plain row number does.
 
     Copies of a day are counted before the window, so an entity with many copies shuffles
-    as few rows as any other. Pass ``unique_days=True`` when (key, day) is known to be
+    as few rows as any other, and written out in bounded pieces after it. Pass ``unique_days=True`` when (key, day) is known to be
     unique: it saves that exchange.
     """
     order = [F.col(day), *[F.col(c) for c in carried]]
@@ -125,13 +159,14 @@ def islands(
             .orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        placed = counted.withColumn("__last", running).select(
-            key,
-            day,
-            *carried,
-            F.explode(F.sequence(F.col("__last") - F.col("__copies") + 1, F.col("__last"))).alias(
-                "__position"
-            ),
+        numbered = counted.withColumn("__before", running - F.col("__copies"))
+        # A few copies are written out where they are, very many by all tasks.
+        few = numbered.filter(F.col("__copies") <= CHUNK).select(
+            *numbered.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies")).alias("__nth")
+        )
+        many = expand_copies(numbered.filter(F.col("__copies") > CHUNK), "__copies", "__nth")
+        placed = few.drop("__copies").unionByName(many).select(
+            key, day, *carried, (F.col("__before") + F.col("__nth")).alias("__position")
         )
     return (
         placed.withColumn("span_group", F.date_sub(day, F.col("__position").cast("int")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.functions import date_key, is_weekend, surrogate_key, weekday, years_between
-from roostline.operators import point_in_time_join
+from roostline.operators import as_of_join
 
 # Bounds of the date dimension and the start of the fiscal year.
 FIRST_DAY = "2020-01-01"
@@ -152,7 +152,11 @@ def dim_listings(listings_history: DataFrame, scd: DataFrame) -> DataFrame:
     amenities = scd.select("listing_id", "valid_from", "valid_to", "amenities")
     accommodates, price = F.col("accommodates"), F.col("base_price")
     rating = F.col("review_scores_rating")
-    covered = point_in_time_join(listings_history, amenities, "listing_id", "valid_from")
+    # The history has columns of the same names: its own period is put aside for the join.
+    own = {"valid_from": "period_start", "valid_to": "period_end"}
+    covered = as_of_join(
+        listings_history.withColumnsRenamed(own), amenities, "listing_id", "period_start", "left"
+    ).withColumnsRenamed({new: old for old, new in own.items()})
     return covered.select(
         surrogate_key("listing_id", "valid_from").alias("listing_sk"),
         "listing_id",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roostline.functions import OPEN_END, widen
-from roostline.operators import continuous_periods, islands, scd2_intervals
+from roostline.operators import as_of_join, continuous_periods, islands, scd2_intervals
 
 # Start dates used when a listing or host has no first date.
 LISTING_EPOCH = "2020-01-01"
@@ -85,7 +85,7 @@ def with_listing_periods(
     """Calendar rows with listing attributes and the amenities of their date.
 
     Listing and history are first combined to periods without holes, so the calendar, by far
-    the largest input, goes through a single join on the listing id. Nights of unknown
+    the largest input, goes through a single join on listing and month. Nights of unknown
     listings drop out. With a vocabulary the boolean columns are made once per period,
     before the join, and not once per night.
     """
@@ -94,15 +94,9 @@ def with_listing_periods(
     )
     if vocabulary is not None:
         periods = widen(periods, vocabulary)
-    periods = periods.withColumnRenamed("listing_id", "__listing")
     # A night without a date is in no known period: it takes the listing's own amenities.
     night = F.coalesce("calendar_date", F.lit("0001-01-01").cast("date"))
-    covered = (
-        (F.col("listing_id") == F.col("__listing"))
-        & (night >= F.col("valid_from"))
-        & (night <= F.col("valid_to"))
-    )
-    return calendar.join(periods, covered).drop("__listing", "valid_from", "valid_to")
+    return as_of_join(calendar, periods, "listing_id", night)
 
 
 def calendar_enriched(

@@ -6,11 +6,11 @@ import random
 from pyspark.sql import functions as F
 
 from roostline.operators import (
+    as_of_join,
     continuous_periods,
     dense_rank_by_value,
     islands,
     left_join_hot_right,
-    point_in_time_join,
     scd2_intervals,
 )
 
@@ -40,7 +40,7 @@ def test_point_in_time_lookup_is_inclusive_on_both_ends(spark, rows):
         [(1, d(t)) for t in ("2021-12-31", "2022-01-01", "2022-03-14", "2022-03-15")],
         "id long, day date",
     )
-    assert [r[2] for r in rows(point_in_time_join(facts, history, "id", "day"))] == [
+    assert [r[2] for r in rows(as_of_join(facts, history, "id", "day", "left"))] == [
         None,
         "a",
         "a",
@@ -177,3 +177,71 @@ def test_hot_rows_spread_over_many_buckets(spark):
     assert joined.count() == 10_000
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "SPARK_PARTITION_ID" in plan.upper()
+
+
+def test_as_of_join_equals_a_range_join(spark, rows):
+    """Many versions, versions of one day, undated facts, months without starts, open ends."""
+    rng = random.Random(11)
+    start = d("2021-11-15")
+    changes = spark.createDataFrame(
+        [(i, start + datetime.timedelta(days=rng.randrange(500)), f"v{n}") for i in range(6) for n in range(i * 30)],
+        "id long, change_at date, state string",
+    )
+    history = scd2_intervals(changes, "id", "change_at")
+    facts = spark.createDataFrame(
+        [(rng.randrange(8), start + datetime.timedelta(days=rng.randrange(-40, 600)), n) for n in range(800)]
+        + [(1, None, 9000), (None, start, 9001)],
+        "id long, day date, n long",
+    )
+    ranged = history.withColumnRenamed("id", "of")
+    for how in ("inner", "left"):
+        want = facts.join(
+            ranged, F.expr("id = of AND day >= valid_from AND day <= valid_to"), how
+        ).select("id", "day", "n", "state")
+        # Several changes of one date end on the day before: only one of them covers a day.
+        assert rows(as_of_join(facts, history, "id", "day", how)) == rows(want)
+
+
+def test_compared_rows_do_not_grow_with_versions(spark):
+    """Rows that the join condition sees: pairs of the same listing and month."""
+    facts = spark.sql("SELECT 1 AS id, explode(sequence(DATE'2022-01-01', DATE'2022-12-31')) AS day")
+    pairs = {}
+    for versions in (10, 3000):
+        changes = spark.range(versions).select(
+            F.lit(1).alias("id"),
+            F.date_sub(F.lit(d("2022-06-30")), F.col("id").cast("int")).alias("change_at"),
+            F.col("id").alias("state"),
+        )
+        joined = as_of_join(facts, scd2_intervals(changes, "id", "change_at"), "id", "day")
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "__month" in plan
+        months = joined.groupBy(F.trunc("day", "month")).agg(F.countDistinct("state").alias("n")).collect()
+        pairs[versions] = max(r["n"] for r in months)
+        assert joined.count() == (366 if versions > 1000 else 194) - (1 if versions > 1000 else 0)
+    assert max(pairs.values()) <= 31
+
+
+def test_many_copies_of_one_day(spark):
+    """Ten million copies of a day: as many spans, from pieces that all tasks write out."""
+    days = spark.range(10_000_000).select(
+        F.lit(1).alias("id"), F.lit(d("2022-01-01")).alias("day"), F.lit(1).alias("low"), F.lit(9).alias("high")
+    )
+    got = spans(days)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    assert got.agg(F.count("*"), F.sum("consecutive_available_days")).first()[:] == (10_000_000, 10_000_000)
+
+
+def test_dense_rank_of_many_values_in_many_tasks(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(1_000_000).select((F.col("id") * 7 % 1_000_003).alias("v"), (F.col("id") % 3).alias("g"))
+    got = dense_rank_by_value(df, "v", "nr", ("g", "nr_in_g"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__range" in plan
+    want = df.select(
+        "v",
+        F.dense_rank().over(Window.orderBy(F.desc("v"))).alias("nr"),
+        F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))).alias("nr_in_g"),
+    )
+    assert got.select(want.columns).exceptAll(want.withColumns({c: F.col(c).cast("long") for c in want.columns})).count() == 0

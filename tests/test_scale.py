@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -76,9 +77,21 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_hot_listing_is_split_in_the_listing_join(spark, hot):
+def test_a_hot_listing_is_spread_over_its_months(spark, hot):
     with settings(spark, SMALL_SIZES):
         plan = final_plan(hot.fct_daily("aggregate").select("listing_id", "listing_name"))
+    assert re.search(r"hashpartitioning\(listing_id#\d+L, __month#", plan)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_hot_listing_of_one_month_is_split_in_the_listing_join(spark, hot):
+    january = Lineage(hot.sources.replacing(calendar=hot.sources.calendar.filter("date < '2022-02-01'")))
+    smaller = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    with settings(spark, SMALL_SIZES | smaller):
+        plan = final_plan(january.fct_daily("aggregate").select("listing_id", "listing_name"))
     assert "skewed" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
