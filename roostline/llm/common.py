@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.session import CLEANUP, staged
+from roostline.session import remove_scratch, staged
 
 # Words are runs of anything but the six ASCII white-space characters, for which
 # ``bytes.split()`` is the same rule.
@@ -41,6 +41,39 @@ def texts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     )
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+class Rounds:
+    """Tables of a loop: a new one takes the place of the one before, whose files go."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, None
+
+    def next(self, df: DataFrame, label: str) -> DataFrame:
+        table, folder = staged(df, label)
+        if self.folder:
+            remove_scratch(self.spark, self.folder)
+        self.folder = folder
+        return table
+
+
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps for an operator between its tasks. A worker serves many
+    operators in turn: what it kept for another one is let go."""
+    for other in [o for o in _KEPT if o != owner]:
+        del _KEPT[other]
+    return _KEPT.setdefault(owner, {})
+
+
 def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roostline.llm.common import written
+from roostline.llm.common import Rounds
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     number of rounds grows with the logarithm of the longest path. Each round is a table, so
     neither lineage nor lost executors repeat earlier rounds.
     """
-    now = written(
+    rounds = Rounds(edges.sparkSession)
+    now = rounds.next(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         label,
     )
@@ -41,7 +42,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         small = starred.select(F.col("v").alias("u"), F.col("least").alias("v")).union(
             starred.select("u", F.col("least").alias("v"))
         )
-        now = written(small.filter("u <> v").distinct(), label)
+        now = rounds.next(small.filter("u <> v").distinct(), label)
         # Sums of whole rows' hashes: equal in two rounds when nothing changed.
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

@@ -23,8 +23,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roostline.llm.common import Rounds
 from roostline.operators.running import running
-from roostline.session import remove_scratch, staged
+from roostline.session import staged
 
 # Nodes of a component that one task decomposes at a time.
 LIMIT = 16_384
@@ -129,27 +130,13 @@ def _in_tasks(forest: DataFrame, names: Sequence[str], limit: int) -> DataFrame:
     return rows.repartition("top").sortWithinPartitions("top").mapInArrow(solve, schema)
 
 
-class _Rounds:
-    """Tables of a loop: a new one takes the place of the one before, whose files go."""
-
-    def __init__(self, spark):
-        self.spark, self.folder = spark, None
-
-    def next(self, df: DataFrame, label: str) -> DataFrame:
-        table, folder = staged(df, label)
-        if self.folder:
-            remove_scratch(self.spark, self.folder)
-        self.folder = folder
-        return table
-
-
 def subtree_sizes(edges: DataFrame) -> DataFrame:
     """(node, size) of a table of (node, parent): the number of nodes of each subtree.
 
     A node knows its ancestor 2^k steps up and the nodes less than 2^k steps below. Each round adds
     what the nodes that point to it know and doubles the reach, so the rounds are the logarithm
     of the longest path. Counts are combined before they move."""
-    rounds = _Rounds(edges.sparkSession)
+    rounds = Rounds(edges.sparkSession)
     now = rounds.next(edges.select("node", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size")), "sizes")
     while now.filter("up IS NOT NULL").limit(1).count():
         below = now.filter("up IS NOT NULL").groupBy("up").agg(F.sum("size").alias("below"))
@@ -166,7 +153,7 @@ def subtree_sizes(edges: DataFrame) -> DataFrame:
 def highest_reached(links: DataFrame) -> DataFrame:
     """(node, head, steps) of a table of (node, up): the node without ``up`` that its links lead
     to and the number of links, in as many rounds as the logarithm of the longest path."""
-    rounds = _Rounds(links.sparkSession)
+    rounds = Rounds(links.sparkSession)
     now = rounds.next(
         links.select(
             "node",

@@ -7,10 +7,10 @@ field. The tokens that stay are the line's template. A template found in ``min_d
 documents is boilerplate: its lines stay in the first document (smallest doc_id) that has it
 and go from all others.
 
-With ``own_evidence`` (the pipeline; the query follows its SQL, which does without) a leaf's key
-is no evidence for a template: beyond the leading tokens, a place with more distinct values than
-the square root of its leaf's documents is a field, and ``MIN_BEYOND`` fixed tokens must remain
-there. A variant that itself recurs in ``min_docs`` documents is boilerplate all the same.
+A leaf's key is no evidence for a template: beyond the leading tokens, a place with more distinct
+values than the square root of its leaf's documents is a field, and ``MIN_BEYOND`` fixed tokens
+must remain there. A variant that itself recurs in ``min_docs`` documents is boilerplate all the
+same, and one of ``LONG_LINE`` tokens or more from its second document on.
 
 The online log parsers this follows update templates line by line; here a leaf's fields are
 decided from counts over all lines, so that the result does not depend on the order of rows.
@@ -26,28 +26,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roostline.functions.amenities import quoted
 from roostline.llm.common import table, written
+from roostline.session import scratch_scope
 
 MIN_DOCS = 3
 MIN_TOKENS = 4
 DEPTH = 3
 # A line is an instance of a template when this share of its tokens is fixed.
 FIXED_SHARE = 0.7
-# With own evidence: fixed tokens that a generalised template has beyond its leading ones.
+# Fixed tokens that a generalised template has beyond its leading ones.
 MIN_BEYOND = 2
-SPACE = r"[\x20\x09-\x0D]+"
+# So long a line does not come up twice by chance: two documents are enough.
+LONG_LINE, LONG_DOCS = 24, 2
 ROW = ("_doc", "_text_hash")
 
 
 def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """One row per line with enough tokens, in a table: row key, line number, leaf, and the
-    generalised line with its hash. Regular expressions rewrite only lines that need it."""
-    line = F.when(
-        F.col("line").rlike(r"[\x09-\x0D]|  "), F.regexp_replace("line", SPACE, " ")
-    ).otherwise(F.col("line"))
-    general = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[0-9]+", "0")).otherwise(
-        F.col("line")
-    )
+    """One row per line with enough tokens, in a table: row key, line number, leaf, number of
+    tokens, and the generalised line with its hash. Regular expressions run once over a whole
+    text, before it is cut into lines, and only where it needs them."""
+    spaced = F.when(
+        F.col("text").rlike(r"[\x09\x0B-\x0D]|  "), F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]+", " ")
+    ).otherwise(F.col("text"))
+    plain = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[0-9]+", "0")).otherwise(spaced)
     leading = F.substring_index("general", " ", depth)
     marked = F.when(
         leading.contains("0"),
@@ -62,10 +64,9 @@ def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
         docs.select(
             F.col("doc_id").alias("_doc"),
             F.xxhash64("text").alias("_text_hash"),
-            F.posexplode(F.split("text", "\n", -1)).alias("at", "line"),
+            F.posexplode(F.split(plain, "\n", -1)).alias("at", "line"),
         )
-        .withColumn("line", F.trim(line))
-        .withColumn("general", general)
+        .withColumn("general", F.trim("line"))
         .withColumn("size", F.length("general") - F.length(F.replace("general", F.lit(" "))) + 1)
         .filter(F.col("size") >= min_tokens)
     )
@@ -75,6 +76,7 @@ def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
             "at",
             F.xxhash64("size", marked).alias("leaf"),
             F.xxhash64("general").alias("variant"),
+            "size",
             "general",
         ),
         "lines",
@@ -92,9 +94,7 @@ def _documents_with(lines: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def templates(
-    lines: DataFrame, min_docs: int, fixed_share: float, depth: int = DEPTH, own_evidence: bool = False
-) -> DataFrame:
+def templates(lines: DataFrame, min_docs: int, fixed_share: float, depth: int = DEPTH) -> DataFrame:
     """(leaf, variant) -> template, two hashes, of the leaves found in enough documents.
 
     A leaf with one variant is that template. In others, tokens are counted by position over
@@ -127,23 +127,20 @@ def templates(
         .agg(F.sum("docs").alias("support"))
         .withColumn("fixed", F.col("support") >= min_docs)
     )
-    if own_evidence:
-        usual = written(usual, "token-support")
-        places = (
-            usual.filter(F.col("place") >= depth)
-            .groupBy("leaf", "place")
-            .agg(F.count(F.lit(1)).alias("values"), F.sum("support").alias("of_place"))
-            .filter(F.col("values") * F.col("values") > F.col("of_place"))
-            .select("leaf", "place", F.lit(True).alias("field"))
-        )
-        usual = usual.join(places, ["leaf", "place"], "left").withColumn(
-            "fixed", F.col("fixed") & F.col("field").isNull()
-        )
+    usual = written(usual, "token-support")
+    places = (
+        usual.filter(F.col("place") >= depth)
+        .groupBy("leaf", "place")
+        .agg(F.count(F.lit(1)).alias("values"), F.sum("support").alias("of_place"))
+        .filter(F.col("values") * F.col("values") > F.col("of_place"))
+        .select("leaf", "place", F.lit(True).alias("field"))
+    )
+    usual = usual.join(places, ["leaf", "place"], "left").withColumn(
+        "fixed", F.col("fixed") & F.col("field").isNull()
+    )
     usual = usual.select("leaf", "place", "token", "fixed")
     mark = F.when(F.col("fixed"), F.xxhash64("place", "token"))
-    enough = F.col("kept") >= F.lit(fixed_share) * F.col("size")
-    if own_evidence:
-        enough = enough & (F.col("beyond") >= MIN_BEYOND)
+    enough = (F.col("kept") >= F.lit(fixed_share) * F.col("size")) & (F.col("beyond") >= MIN_BEYOND)
     patterns = (
         tokens.join(usual, ["leaf", "place", "token"])
         .groupBy("leaf", "variant")
@@ -156,17 +153,12 @@ def templates(
             F.bit_xor(mark).alias("t2"),
         )
     )
-    t1 = F.xxhash64("leaf", "kept")
-    if own_evidence:
-        patterns = patterns.filter(enough | (F.col("docs") >= min_docs))
-        general = patterns.select(
-            "leaf",
-            "variant",
-            F.when(enough, t1).otherwise(F.col("leaf")).alias("t1"),
-            F.when(enough, F.col("t2")).otherwise(F.col("variant")).alias("t2"),
-        )
-    else:
-        general = patterns.filter(enough).select("leaf", "variant", t1.alias("t1"), "t2")
+    general = patterns.filter(enough | (F.col("docs") >= min_docs)).select(
+        "leaf",
+        "variant",
+        F.when(enough, F.xxhash64("leaf", "kept")).otherwise(F.col("leaf")).alias("t1"),
+        F.when(enough, F.col("t2")).otherwise(F.col("variant")).alias("t2"),
+    )
     return alone.unionByName(general)
 
 
@@ -176,20 +168,24 @@ def dropped_lines(
     min_tokens: int = MIN_TOKENS,
     depth: int = DEPTH,
     fixed_share: float = FIXED_SHARE,
-    own_evidence: bool = False,
+    long_line: int = LONG_LINE,
 ) -> DataFrame:
     """One row per document row with recurring lines: key and sorted numbers of those lines."""
     lines = _lines(docs, min_tokens, depth)
-    named = written(
+    by_template = (
         lines.select(*ROW, "at", "leaf", "variant")
-        .join(templates(lines, min_docs, fixed_share, depth, own_evidence), ["leaf", "variant"])
-        .select(*ROW, "at", "t1", "t2"),
-        "named-lines",
+        .join(templates(lines, min_docs, fixed_share, depth), ["leaf", "variant"])
+        .select(*ROW, "at", "t1", "t2", F.lit(min_docs).alias("needed"))
     )
+    # A long line is a template of its own, beside the one it may belong to.
+    whole = lines.filter(F.col("size") >= long_line).select(
+        *ROW, "at", F.xxhash64("variant", "size").alias("t1"), F.col("variant").alias("t2"), F.lit(LONG_DOCS).alias("needed")
+    )
+    named = written(by_template.union(whole), "named-lines")
     # A table of its own, so that the join reads exchanges alone and a template of very many
     # lines is split.
     recurring = written(
-        _documents_with(named, ["t1", "t2"]).filter(F.col("docs") >= min_docs), "recurring-templates"
+        _documents_with(named, ["t1", "t2", "needed"]).filter("docs >= needed"), "recurring-templates"
     )
     return (
         named.join(recurring.select("t1", "t2", "first_doc"), ["t1", "t2"])
@@ -199,25 +195,29 @@ def dropped_lines(
     )
 
 
-def line_dedup(docs: DataFrame, **limits) -> DataFrame:
+def line_dedup(docs: DataFrame, n_dropped: str = "_n_dropped", **limits) -> DataFrame:
     """``docs`` with recurring lines removed from ``text``, and the number of removed lines in
-    ``_n_dropped``. The other columns are as they were."""
-    dropped = written(dropped_lines(docs, **limits), "dropped-lines")
-    d = docs.alias("d")
+    the column ``n_dropped``. The other columns are as they were, whatever their names; give
+    another name for the number where ``docs`` has that one."""
+    with scratch_scope(docs.sparkSession) as keep:
+        dropped = keep(written(dropped_lines(docs, **limits), "dropped-lines"))
+    own = docs.select(
+        F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("given"),
+    )
     # The list grows with the documents: one plan at every size.
-    c = dropped.hint("merge").alias("c")
-    joined = d.join(
-        c,
-        F.col("d.doc_id").eqNullSafe(F.col("c._doc"))
-        & (F.xxhash64(F.col("d.text")) == F.col("c._text_hash")),
+    joined = own.join(
+        dropped.hint("merge"),
+        F.col("id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col("given")) == F.col("_text_hash")),
         "left",
     )
-    lines = F.split(F.col("d.text"), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("c._dropped"))
+    lines = F.split("given", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("c._dropped").isNull(), F.col("d.text")).otherwise(cleaned)
-    others = [F.col(f"d.`{n}`") if n != "text" else text.alias("text") for n in docs.columns]
-    return joined.select(*others, F.coalesce(F.size("c._dropped"), F.lit(0)).alias("_n_dropped"))
+    text = F.when(F.col("_dropped").isNull(), F.col("given")).otherwise(cleaned)
+    others = [F.col("row")[n].alias(n) if n != "text" else text.alias("text") for n in docs.columns]
+    return joined.select(*others, F.coalesce(F.size("_dropped"), F.lit(0)).alias(n_dropped))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,19 +255,36 @@ variants AS (
 placed AS (
   SELECT leaf, general, docs, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
   FROM variants),
+supported AS (
+  SELECT leaf, place, token, sum(docs) AS support FROM placed GROUP BY leaf, place, token),
+fields AS (
+  SELECT leaf, place FROM supported WHERE place > 3
+  GROUP BY leaf, place HAVING count(*) * count(*) > sum(support)),
 usual AS (
-  SELECT leaf, place, token FROM placed GROUP BY leaf, place, token HAVING sum(docs) >= 3),
+  SELECT leaf, place, token FROM supported
+  WHERE support >= 3 AND (leaf, place) NOT IN (SELECT (leaf, place) FROM fields)),
 patterns AS (
-  SELECT leaf, general, list({'place': place, 'token': token} ORDER BY place) AS kept
-  FROM placed JOIN usual USING (leaf, place, token) GROUP BY leaf, general),
+  SELECT leaf, general, any_value(docs) AS docs, count(*) AS size,
+         list({'place': place, 'token': token} ORDER BY place) FILTER (u.token IS NOT NULL) AS kept,
+         count(u.token) FILTER (place > 3) AS beyond
+  FROM placed LEFT JOIN usual u USING (leaf, place, token) GROUP BY leaf, general),
+variant_templates AS (
+  SELECT leaf, general,
+         CASE WHEN len(kept) >= 0.7 * size AND beyond >= 2
+              THEN {'whole': NULL::VARCHAR, 'kept': kept} ELSE {'whole': general, 'kept': NULL} END AS template
+  FROM patterns WHERE (len(kept) >= 0.7 * size AND beyond >= 2) OR docs >= 3),
 named AS (
-  SELECT h.doc_id, h.text, h.nr, h.leaf, p.kept FROM hot h JOIN patterns p USING (leaf, general)
-  WHERE len(p.kept) >= 0.7 * len(h.tokens)),
+  SELECT h.doc_id, h.text, h.nr, h.leaf, t.template, 3 AS needed
+  FROM hot h JOIN variant_templates t USING (leaf, general)
+  UNION ALL
+  SELECT doc_id, text, nr, leaf, {'whole': general, 'kept': NULL} AS template, 2 AS needed
+  FROM leaved WHERE len(tokens) >= 24),
 recurring AS (
-  SELECT leaf, kept, min(doc_id) AS first_doc FROM named GROUP BY leaf, kept
-  HAVING count(DISTINCT doc_id) + bool_or(doc_id IS NULL)::int >= 3),
+  SELECT leaf, template, needed, min(doc_id) AS first_doc FROM named GROUP BY leaf, template, needed
+  HAVING count(DISTINCT doc_id) + bool_or(doc_id IS NULL)::int >= needed),
 dropped AS (
-  SELECT DISTINCT n.doc_id, n.text, n.nr FROM named n JOIN recurring r USING (leaf, kept)
+  SELECT DISTINCT n.doc_id, n.text, n.nr FROM named n
+  JOIN recurring r ON n.leaf = r.leaf AND n.template IS NOT DISTINCT FROM r.template AND n.needed = r.needed
   WHERE n.doc_id IS DISTINCT FROM r.first_doc),
 rebuilt AS (
   SELECT d.doc_id, d.text,

@@ -37,9 +37,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roostline.functions.amenities import quoted
 from roostline.llm.common import (
     Memo,
     bounded_batches,
+    fresh_name,
     hash_words,
     mixed,
     table,
@@ -48,6 +50,7 @@ from roostline.llm.common import (
     written,
 )
 from roostline.llm.components import connected_components
+from roostline.session import scratch_scope
 
 SHINGLE = 5
 # Link when PART_OF * intersection >= PARTS * union.
@@ -487,7 +490,14 @@ def grouped_rows(docs: DataFrame, block: int = BLOCK, counted: bool = False) ->
     of its component (root, null for empty sets) and the component's smallest doc_id; when
     ``counted``, with the number of rows it links with (null for empty sets)."""
     bounded_batches(docs.sparkSession)
-    prefixed = prefixes(docs)
+    with scratch_scope(docs.sparkSession) as keep:
+        prefixed = keep(prefixes(docs))
+        named = keep(_named_classes(docs, prefixed, block, counted))
+    return prefixed.select("doc_id", "text_hash", "class", "n").join(named, "class", "left").drop("class")
+
+
+def _named_classes(docs: DataFrame, prefixed: DataFrame, block: int, counted: bool) -> DataFrame:
+    """class, root, component_id and, when ``counted``, n_links of every class with shingles."""
     found = class_links(docs, prefixed, block, counted)
     links = found.filter("b is not null").select("a", "b")
     roots = connected_components(links, "linked-classes")
@@ -508,8 +518,7 @@ def grouped_rows(docs: DataFrame, block: int = BLOCK, counted: bool = False) ->
             "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))
         )
         kept.append("n_links")
-    named = written(named.select(*kept), "class-roots")
-    return prefixed.select("doc_id", "text_hash", "class", "n").join(named, "class", "left").drop("class")
+    return written(named.select(*kept), "class-roots")
 
 
 def similar_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -523,7 +532,26 @@ def similar_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` without words, and one row of each group: of its smallest doc_id."""
+    """The rows of ``docs`` without words, and one row of each group: of its smallest doc_id.
+    Columns of any name may be there."""
+    with scratch_scope(docs.sparkSession) as keep:
+        keys = keep(_group_members(docs, block))
+    doc, text_hash, first, copies, key = (
+        fresh_name(docs, name) for name in ("_doc", "_hash", "_first", "_copies", "_key")
+    )
+    keys = keys.withColumnsRenamed({"_doc": doc, "_hash": text_hash, "_first": first, "_copies": copies})
+    source = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    known = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(text_hash))
+    joined = source.join(keys, known, "left")
+    own = [quoted(c) for c in docs.columns]
+    one = F.col(first) & (F.col(copies) == 1)
+    single = joined.filter(F.col(first).isNull() | one).select(*own)
+    repeated = joined.filter(F.col(first) & (F.col(copies) > 1)).dropDuplicates([doc, text_hash])
+    return single.unionByName(repeated.select(*own))
+
+
+def _group_members(docs: DataFrame, block: int) -> DataFrame:
+    """doc_id, text hash and copies of the rows of groups of several, and which one stays."""
     rows = written(grouped_rows(docs, block).filter("n > 0").drop("n", "component_id"), "grouped-rows")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     several = (
@@ -532,7 +560,7 @@ def one_per_group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         .filter("rows > 1")
     )
     # Rows with equal doc_id and text are one key; `copies` tells how many they are.
-    keys = written(
+    return written(
         rows.groupBy("root", "doc_id", "text_hash")
         .agg(F.count(F.lit(1)).alias("copies"))
         .join(several, "root")
@@ -544,12 +572,6 @@ def one_per_group(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         ),
         "group-members",
     )
-    source = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    known = source["doc_id"].cast("bigint").eqNullSafe(keys["_doc"]) & (source["_key"] == keys["_hash"])
-    joined = source.join(keys, known, "left")
-    single = joined.filter("_first is null or (_first and _copies = 1)").select(*docs.columns)
-    repeated = joined.filter("_first and _copies > 1").dropDuplicates(["_doc", "_hash"])
-    return single.unionByName(repeated.select(*docs.columns))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

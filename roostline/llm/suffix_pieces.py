@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roostline.llm.common import Memo, bounded_batches, table, texts
+from roostline.llm.common import Memo, bounded_batches, table, texts, worker_cache
 
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -218,7 +218,7 @@ class Pieces:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.memo = Memo(self._encode_units, 400_000)
+        self.memo = Memo(self._encode_units, 300_000)
 
     def _single(self, letter: str) -> list[int]:
         known = self.vocabulary.ids.get(letter)
@@ -233,7 +233,7 @@ class Pieces:
         for n, unit in enumerate(units):
             group.append(unit)
             size += len(unit) + 1
-            if size >= 1_200_000 or n == len(units) - 1:
+            if size >= 300_000 or n == len(units) - 1:
                 result += self._encode_group(group)
                 group, size = [], 0
         return result
@@ -287,7 +287,7 @@ class Pieces:
             group.append(UNIT.findall(MARK + text.replace(" ", MARK)) if text else [])
             size += len(group[-1])
             # One search per many texts, and never more units than the memo can hold.
-            if size >= 1_000_000 or n == len(all_texts) - 1:
+            if size >= 200_000 or n == len(all_texts) - 1:
                 known = self.memo.load(u for units in group for u in units)
                 result += [b"".join(map(known.__getitem__, units)) for units in group]
                 group, size = [], 0
@@ -305,14 +305,12 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
     """The worker's coder of a model file, kept between tasks."""
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    kept = worker_cache("pieces")
+    if path not in kept:
+        kept[path] = Pieces(path)
+    return kept[path]
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from itertools import chain
 
 import numpy as np
 
-from roostline.llm.common import Memo
+from roostline.llm.common import Memo, worker_cache
 
 SPACE = rb"\x20\x09-\x0D"
 MARKS = rb".,!?;:*$%&#|"
@@ -93,11 +93,10 @@ class Encoder:
         return result
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, lower: bool = False) -> Encoder:
     """The worker's encoder of a vocabulary file, kept between tasks."""
-    if (path, lower) not in _ENCODERS:
-        _ENCODERS[path, lower] = Encoder(path, lower)
-    return _ENCODERS[path, lower]
+    kept = worker_cache("tokens")
+    if (path, lower) not in kept:
+        kept.clear()
+        kept[path, lower] = Encoder(path, lower)
+    return kept[path, lower]

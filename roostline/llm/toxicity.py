@@ -6,7 +6,9 @@ leave unexplained, then those that do not always stand beside one of these. It l
 as a Levenshtein automaton against the trie, which finds terms within one edit (two for long
 words) without comparing the word to every term. Each hit is then read in its window of words:
 quotation marks or words of reporting around it make it a quotation, otherwise it is abuse.
-A logistic scorer over the counts of both gives the score.
+A logistic scorer over the weights of the hits gives the score. As labelled texts hardly show
+misspellings and quotations, these have no weight of their own that could be learned as nothing: a
+misspelt hit counts as a ``MISSPELT`` part of its term, and a quoted one as a ``QUOTED`` part.
 
 Learning uses at most ``FIT_ROWS`` labelled rows, taken by the hash of their doc_id, never
 those with crc32(doc_id) mod 5 = 0. Inputs of a score are the words of the text alone.
@@ -20,6 +22,7 @@ other than id and text are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roostline.llm.common import Memo, bounded_batches, table, texts, written
+from roostline.llm.common import Memo, bounded_batches, table, texts, worker_cache, written
+from roostline.session import scratch_scope
 
 FIT_ROWS = 40_000
 # A term needs a log-ratio of its shares in toxic and other texts, and this likelihood ratio
@@ -43,7 +47,11 @@ LEAST_NEW_TEXTS = 3
 # A term that explains nothing new joins them unless this share of its texts holds one and the
 # same chosen term, as for the words of a text with many near copies.
 MOST_BESIDE = 0.7
-MOST_CANDIDATES = 20_000
+# What is left of the weight of a term that is misspelt, and of one in a quotation.
+MISSPELT = 0.8
+QUOTED = 0.2
+# Longer words are known by their md5.
+LONG_WORD = 40
 STEM_LENGTHS = (4, 5, 6, 7)
 WINDOW = 6
 HELD_OUT_FOLDS = 5
@@ -133,7 +141,7 @@ class Lexicon:
         return {"words": self.words, "stems": self.stems, "innocent": self.innocent, "_made": {}}
 
     def _prepare(self) -> None:
-        terms = sorted(w for w in self.words if edits(len(w)))
+        terms = sorted(w for w in self.words if edits(len(w)) and not w.startswith("#"))
         pieces = set()
         lengths = set()
         for term in terms:
@@ -149,8 +157,8 @@ class Lexicon:
 
     def kind(self, word: str) -> tuple[int, float] | None:
         """How a word hits the lexicon, and the weight of the term that it hits."""
-        if word in self.words:
-            return EXACT, self.words[word]
+        if named(word) in self.words:
+            return EXACT, self.words[named(word)]
         for n in reversed(STEM_LENGTHS):
             if len(word) >= n and word[:n] in self.stems:
                 return STEM, self.stems[word[:n]]
@@ -165,12 +173,14 @@ class Lexicon:
         return (FUZZY, self.words[near[1]]) if near else None
 
 
-N_FEATURES = 8
+def named(word: str) -> str:
+    """A word as a term: itself, or a hash of a very long one."""
+    return word if len(word) <= LONG_WORD else "#" + hashlib.md5(word.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def features(tokens: list[str], kinds: dict[str, tuple[int, float] | None]) -> list[float]:
-    """Weights of abuse by kind and of quotations, from the hits and their windows. A word
-    counts once however often it is repeated."""
+    """1, the weights of abuse by kind (exact, stem, misspelt), of quotations, and the number of
+    words, from the hits and their windows. A word counts once however often it is repeated."""
     hits = [(i, *kinds[t]) for i, t in enumerate(tokens) if kinds.get(t) is not None]
     abuse = [0.0, 0.0, 0.0]
     quoted = 0.0
@@ -187,17 +197,16 @@ def features(tokens: list[str], kinds: dict[str, tuple[int, float] | None]) -> l
             quoted += weight
         else:
             abuse[kind] += weight
-    total = sum(abuse)
-    return [
-        1.0,
-        float(np.log1p(abuse[EXACT])),
-        float(np.log1p(abuse[STEM])),
-        float(np.log1p(abuse[FUZZY])),
-        float(np.log1p(quoted)),
-        float(abuse[EXACT] > 0),
-        float(abuse[STEM] > 0),
-        float(np.log1p(total) / (np.log1p(len(tokens)) + 1.0)),
-    ]
+    return [1.0, abuse[EXACT], abuse[STEM], abuse[FUZZY], quoted, float(len(tokens))]
+
+
+def design(rows: list[list[float]]) -> np.ndarray:
+    """What the scorer weighs: one abuse of words, however they are spelt, and that of stems."""
+    x = np.asarray(rows, float).reshape(-1, 6)
+    spelt, stem = x[:, 1 + EXACT] + MISSPELT * x[:, 1 + FUZZY], x[:, 1 + STEM]
+    word = spelt + QUOTED * x[:, 4]
+    share = np.log1p(word + stem) / (np.log1p(x[:, 5]) + 1.0)
+    return np.column_stack([x[:, 0], np.log1p(word), np.log1p(stem), spelt > 0, stem > 0, share])
 
 
 def tokens_of(text: str) -> list[str]:
@@ -206,8 +215,8 @@ def tokens_of(text: str) -> list[str]:
 
 def terms_of(tokens: list[str]) -> set[str]:
     """The words of a text and, marked by a star, the stems of its longer words."""
-    found = {t for t in tokens if 3 <= len(t) <= 40}
-    return found | {t[:n] + "*" for t in found for n in STEM_LENGTHS if len(t) > n}
+    found = {t for t in tokens if len(t) >= 3}
+    return {named(t) for t in found} | {t[:n] + "*" for t in found for n in STEM_LENGTHS if len(t) > n}
 
 
 @dataclass
@@ -222,7 +231,7 @@ class Model:
         rows = []
         for tokens in all_tokens:
             rows.append(features(tokens, memo.load(tokens)))
-        logits = np.asarray(rows).reshape(-1, N_FEATURES) @ np.asarray(self.weights)
+        logits = design(rows) @ np.asarray(self.weights)
         return (1.0 / (1.0 + np.exp(-np.clip(logits, -40, 40)))).tolist()
 
 
@@ -267,6 +276,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFra
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, list[int]] = {}
+    worker_cache("toxicity")
 
     def flush():
         rows = pa.RecordBatch.from_pydict(
@@ -339,8 +349,6 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int) -> Lexicon:
     found = (
         counts.filter(telling)
         .select("term", lift.alias("lift"), evidence.alias("evidence"))
-        .orderBy(F.desc("evidence"), "term")
-        .limit(MOST_CANDIDATES)
         .collect()
     )
     # Of a stem and a word that explain the same texts, the word comes first, then long stems.
@@ -399,6 +407,11 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> tuple[flo
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     bounded_batches(docs.sparkSession)
+    with scratch_scope(docs.sparkSession):
+        return _fitted(docs, labels, fit_rows)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, fit_rows: int) -> Model:
     sample = labelled_texts(docs, labels, fit_rows)
     sizes = Counter({r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
     prior = sizes[1] / max(1, sizes[0] + sizes[1])
@@ -418,7 +431,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
             )
 
     rows = sample.mapInArrow(described, "x array<double>, toxic int").collect()
-    x = np.array([r["x"] for r in rows])
+    x = design([r["x"] for r in rows])
     y = np.array([r["toxic"] for r in rows], float)
     order = np.lexsort((*x.T, y))
     return Model(lexicon, fit_weights(x[order], y[order]), prior)
@@ -428,17 +441,23 @@ def score_rows(docs: DataFrame, model: Model, name: str) -> DataFrame:
     """``docs`` with the score in one more column."""
     bounded_batches(docs.sparkSession)
 
+    at = docs.columns.index("text")
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         memo = kind_memo(model.lexicon)
         for batch in batches:
             values = []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column(at).to_pylist():
                 values += model.scores([tokens_of(text or "")], memo)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, name]
+                [*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, "score"]
             )
 
-    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    # Plain names on the way: Python functions over rows do not take names with back-ticks.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = T.StructType([*numbered.schema.fields, T.StructField("score", T.DoubleType())])
+    return numbered.mapInArrow(scored, schema).toDF(*docs.columns, name)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

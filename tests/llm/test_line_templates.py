@@ -30,17 +30,28 @@ def plain(rows, min_docs=3, min_tokens=4, depth=3, share=0.7):
     for (leaf, tokens), docs in variants.items():
         for place, token in enumerate(tokens):
             support[leaf, place, token] += len(docs)
+    values, of_place = Counter(), Counter()
+    for (leaf, place, _), n in support.items():
+        values[leaf, place] += 1
+        of_place[leaf, place] += n
     named, template_docs = [], defaultdict(set)
     for row, doc, at, leaf, tokens in hot:
-        kept = tuple((p, t) for p, t in enumerate(tokens) if support[leaf, p, t] >= min_docs)
-        if len(kept) >= share * len(tokens):
-            named.append((row, doc, at, (leaf, kept)))
-            template_docs[leaf, kept].add(doc)
+        kept = tuple(
+            (p, t)
+            for p, t in enumerate(tokens)
+            if support[leaf, p, t] >= min_docs and (p < depth or values[leaf, p] ** 2 <= of_place[leaf, p])
+        )
+        enough = len(kept) >= share * len(tokens) and sum(p >= depth for p, _ in kept) >= 2
+        if enough or len(variants[leaf, tokens]) >= min_docs:
+            named.append((row, doc, at, (leaf, kept if enough else tokens, min_docs)))
+    named += [(row, doc, at, (leaf, tokens, 2)) for row, doc, at, leaf, tokens in lines if len(tokens) >= 24]
+    for _, doc, _, template in named:
+        template_docs[template].add(doc)
     gone = defaultdict(set)
     for row, doc, at, template in named:
         docs = template_docs[template]
         known = [d for d in docs if d is not None]
-        if len(docs) >= min_docs and (doc is None or doc != min(known)):
+        if len(docs) >= template[2] and (doc is None or doc != min(known)):
             gone[row].add(at)
     result = []
     for row, (doc, text) in enumerate(rows):
@@ -65,6 +76,10 @@ ROWS = [
     (11, "x" * 100_000),
     (4, "Copyright 2022 by the authors"),
     (12, "a b c d e f g h\n" * 3000),
+    (13, " ".join(f"long{i}" for i in range(24)) + "\nshort and only in two texts"),
+    (14, "before\n" + " ".join(f"long{i}" for i in range(24)) + "\nshort and only in two texts"),
+    (15, " ".join(f"other{i}" for i in range(23))),
+    (16, " ".join(f"other{i}" for i in range(23)) + "\r\n\x0b\x0clogin\tby  user eve from home"),
 ]
 
 
@@ -86,6 +101,21 @@ def test_first_document_keeps_the_line_and_fields_are_generalised(documents):
     assert by_doc[6] == "The.\n\n"
 
 
+def test_long_lines_go_from_their_second_document_on(documents):
+    by_doc = {r["doc_id"]: r["text"] for r in line_dedup(documents(ROWS)).collect()}
+    assert by_doc[13] == ROWS[-4][1] and by_doc[14] == "before\nshort and only in two texts"
+    assert by_doc[15] == ROWS[-2][1] and by_doc[16].startswith("other0")
+
+
+def test_columns_of_any_name(documents):
+    docs = documents(ROWS).selectExpr("*", "1 AS _n_dropped", "2 AS `a``b`", "3 AS at", "4 AS row", "5 AS _dropped", "6 AS given")
+    cleaned = line_dedup(docs, "n")
+    assert cleaned.columns == [*docs.columns, "n"]
+    assert {tuple(r[c] for c in ("_n_dropped", "a`b", "at", "row", "_dropped", "given")) for r in cleaned.collect()} == {
+        (1, 2, 3, 4, 5, 6)
+    }
+
+
 def test_other_columns_pass_and_empty_tables_work(documents):
     docs = documents(ROWS)
     assert line_dedup(docs).columns == [*docs.columns, "_n_dropped"]

@@ -88,3 +88,13 @@ def test_lines_that_share_only_their_leading_words_stay(spark, documents):
     kept = dict(pairs(stages.remove_recurring_lines(spark, documents(rows), SF)))
     assert {k: kept.get(k) for k in range(10)} == dict(rows[:10])
     assert [k for k in range(20, 40) if k in kept] == [20, 30]
+
+
+def test_stages_take_columns_of_any_name(spark, documents):
+    rows = [*corpus(5, 20), (1, "password=abcdefghijklmnop"), (2, "an idiot wrote this"), *LINE_ROWS[:5]]
+    names = "_score _n_dropped _blob _blob_of _key _hash _first _copies _doc blob class n `x``y` root"
+    docs = documents(rows).drop("blob").selectExpr("*", *[f"{i} AS {n}" for i, n in enumerate(names.split())])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns, name
+        assert {tuple(r)[5:] for r in kept.collect()} == {tuple(range(14))}, name

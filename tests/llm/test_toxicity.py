@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roostline.llm.toxicity import (
     EXACT,
@@ -12,13 +16,17 @@ from roostline.llm.toxicity import (
     Lexicon,
     Trie,
     choose_terms,
+    design,
     edits,
     features,
     fit,
+    fit_weights,
+    fold,
     kind_memo,
     labelled_texts,
     op9_toxicity,
     score,
+    terms_of,
     tokens_of,
 )
 
@@ -151,3 +159,89 @@ def test_repeated_rows_are_one_and_the_sample_is_bounded(spark, documents):
     assert sorted((r["text"], r["toxic"]) for r in sample) == sorted((f"text {i}", i % 2) for i in learned)
     rows += [(learned[1], f"other text {k}") for k in range(300)]
     assert labelled_texts(documents(rows), labels, 50).count() == 50
+
+
+def test_very_long_words_count_as_terms():
+    word = "ab" * 40
+    lexicon = Lexicon(dict.fromkeys([*terms_of([word])], 2.0))
+    assert lexicon.kind(word)[0] == EXACT and lexicon.kind("ab" * 41) is None
+
+
+def test_misspelt_toxic_texts_are_found_like_those_spelt_right(spark):
+    """An edit in every term of the held-out toxic texts that are found by their words."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = fit(docs, labels)
+    held = labels.filter("toxic = 1").filter(fold(F.col("doc_id")) == 0).select("doc_id")
+    texts = [r["text"] for r in docs.join(held, "doc_id").select("text").collect()]
+    memo = kind_memo(model.lexicon)
+    found = planted = 0
+    for text in texts:
+        tokens = tokens_of(text)
+        terms = {t for t in tokens if t in model.lexicon.words and edits(len(t)) and "#" not in t}
+        rest = [t for t in tokens if t not in terms]
+        alone = " ".join([*rest[:50], *terms])
+        if not terms or model.scores([tokens_of(alone)], memo)[0] < 0.5:
+            continue
+        if model.scores([rest[:50]], memo)[0] >= 0.5:
+            continue
+        found += 1
+        wrong = " ".join([*rest[:50], *(t[: len(t) // 2] + t[len(t) // 2] * 2 + t[len(t) // 2 + 1 :] for t in terms)])
+        planted += model.scores([tokens_of(wrong)], memo)[0] >= 0.5
+    assert found >= 40 and planted >= 0.9 * found, (planted, found)
+
+
+def test_the_whole_result_equals_a_plain_one(spark, documents):
+    """Fit and score in one process: terms by their counts, misspellings by comparing all terms."""
+    docs, labels = labelled(spark, documents)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    learned = [(terms_of(tokens_of(t)), tokens_of(t), toxic[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    n = Counter(y for _, _, y in learned)
+    counts = {y: Counter(t for terms, _, own in learned if own == y for t in terms) for y in (0, 1)}
+    lifts = {}
+    for term, with_term in counts[1].items():
+        other = counts[0][term]
+        lift = math.log((with_term + 0.5) / (n[1] + 1)) - math.log((other + 0.5) / (n[0] + 1))
+        parts = [(with_term, n[1]), (other, n[0])]
+        chance = (with_term + other) / (n[0] + n[1])
+        if lift >= 1.5 and 2 * sum(k * math.log(k / (chance * size)) for k, size in parts if k) >= 30:
+            lifts[term] = lift
+    order = sorted(lifts, key=lambda t: (t.endswith("*"), -len(t), t))
+    held = [[order.index(t) for t in sorted(terms & set(order), key=order.index)] for terms, _, y in learned if y]
+    chosen = [order[t] for t in choose_terms(held, [lifts[t] for t in order])]
+    words = {t: lifts[t] for t in chosen if not t.endswith("*")}
+    stems = {t[:-1]: lifts[t] for t in chosen if t.endswith("*")}
+    common = {
+        t for t, k in counts[0].items()
+        if k >= 2 and not t.endswith("*")
+        and math.log((counts[1][t] + 0.5) / (n[1] + 1)) - math.log((k + 0.5) / (n[0] + 1)) < 1.5
+    }
+
+    def kind(word):
+        if word in words:
+            return EXACT, words[word]
+        for k in (7, 6, 5, 4):
+            if len(word) >= k and word[:k] in stems:
+                return STEM, stems[word[:k]]
+        near = [(distance(word, t), t) for t in words if 0 < edits(len(t)) and distance(word, t) <= edits(len(t))]
+        if word in common or not near:
+            return None
+        return FUZZY, words[min(near)[1]]
+
+    def described(tokens):
+        return features(tokens, {t: kind(t) for t in tokens})
+
+    x = design([described(tokens) for _, tokens, _ in learned])
+    y = np.array([y for _, _, y in learned], float)
+    by_row = np.lexsort((*x.T, y))
+    weights = np.asarray(fit_weights(x[by_row], y[by_row]))
+    more = rows + [(900, "an idiott and a morron"), (901, 'he said "idiot" twice'), (902, ""), (903, None)]
+    want = {}
+    for i, text in more:
+        z = design([described(tokens_of(text or ""))]) @ weights
+        want[i] = 1 / (1 + math.exp(-z[0]))
+    got = {r["doc_id"]: r["score"] for r in score(documents(more), fit(docs, labels)).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
