@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +59,41 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="roostline-")
-    return f"{shared.rstrip('/')}/roostline-{label}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/roostline-{label}-{uuid.uuid4().hex}"
+    for scope in _scopes()[-1:]:
+        scope.add(folder)
+    return folder
+
+
+_OPEN = threading.local()
+
+
+def _scopes() -> list[set[str]]:
+    if not hasattr(_OPEN, "scopes"):
+        _OPEN.scopes = []
+    return _OPEN.scopes
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Scratch folders made inside the block go at its end. The block gets a function that keeps
+    a table of :func:`staged`, for results that still read it; an enclosing block decides on it."""
+    made: set[str] = set()
+    kept: set[str] = set()
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.add(table._scratch)
+        return table
+
+    _scopes().append(made)
+    try:
+        yield keep
+    finally:
+        _scopes().pop()
+        for folder in made - kept:
+            remove_scratch(spark, folder)
+        for scope in _scopes()[-1:]:
+            scope |= made & kept
 
 
 def staged(df: DataFrame, label: str, codec: str = "zstd") -> tuple[DataFrame, str]:
@@ -70,7 +107,9 @@ def staged(df: DataFrame, label: str, codec: str = "zstd") -> tuple[DataFrame, s
         df.write.option("compression", codec).parquet(folder)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(folder), folder
+    table = spark.read.schema(df.schema).parquet(folder)
+    table._scratch = folder
+    return table, folder
 
 
 def remove_scratch(spark: SparkSession, folder: str) -> None:
