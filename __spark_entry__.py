@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,9 +24,10 @@ from roostline.functions import surrogate_key, vocabulary_frame, widen
 from roostline.functions.amenities import quoted
 from roostline.plans import analyses, dimensions, facts, intermediate
 from roostline.plans.pipeline import DAILY, LISTING_MONTHS, NEIGHBORHOOD_MONTHS, Lineage, load_daily
-from roostline.quality import refresh_decision, run_checks, schema_drift, source_freshness
+from roostline.plans.views import create_views, register_sources
+from roostline.quality import refresh_decision, run_checks, schema_drift, source_freshness, verdict
 from roostline.session import scratch_dir, tune
-from roostline.sinks import Warehouse
+from roostline.sinks import NAMESPACES, Warehouse
 from roostline.sinks.tables import AUDIT_COLUMN
 from roostline.sources.derived import AS_OF, derived_sources
 from roostline.streaming import check_late_arrivals
@@ -289,6 +291,41 @@ def decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh_decision(drift(spark, sf_dir), late_arrivals(spark, sf_dir))
 
 
+def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched calendar and the spans of a fresh session, read through catalog views."""
+    run = _lineage(spark, sf_dir)
+    root = scratch_dir(spark, "sources")
+    for name, df in run.sources.items():
+        df.write.parquet(f"{root}/{name}")
+    mark = uuid.uuid4().hex[:8]
+    routes = {layer: f"{name}_{mark}" for layer, name in NAMESPACES.items()}
+    register_sources(spark, root, f"raw_{mark}")
+    create_views(spark, f"raw_{mark}", run.amenity_names(), run.listing_amenity_names(), routes)
+    fresh = tune(spark.newSession())
+    nights = fresh.table(f"{routes['intermediate']}.int_calendar_enriched")
+    spans = fresh.table(f"{routes['intermediate']}.int_availability_spans")
+    longest = spans.groupBy("listing_id").agg(F.max("effective_max_stay_nights").alias("longest_stay"))
+    return (
+        nights.groupBy("listing_id", "listing_name", "calendar_month")
+        .agg(
+            F.count(F.lit(1)).alias("nights"),
+            F.sum("daily_revenue").alias("revenue"),
+            F.count_if("Wifi").alias("wifi_nights"),
+        )
+        .join(longest, "listing_id", "left")
+    )
+
+
+def gate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gates say: to the age of the sources, to the checks of the sources, to all checks."""
+    checks = dq_results(spark, sf_dir)
+    return (
+        verdict(freshness(spark, sf_dir), "freshness", "error")
+        .unionByName(verdict(checks.filter(F.col("table").startswith("raw.")), "source_checks", "fail"))
+        .unionByName(verdict(checks, "checks", "fail"))
+    )
+
+
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
     hosts = intermediate.hosts_history(run.listings)
@@ -362,6 +399,8 @@ QUERIES: dict[str, Query] = {
     "source_freshness": freshness,
     "refresh_decision": decision,
     "dq_results": dq_results,
+    "gate_verdicts": gate_verdicts,
+    "catalog_views": catalog_views,
     "surrogate_keys": surrogate_keys,
 }
 

@@ -418,6 +418,22 @@ STATEMENTS["dq_results"] = """
     for table, checks in (line.split(" | ") for line in CHECK_LIST.strip().splitlines())
     for check in checks.split()
 ) + ")"
+STATEMENTS["gate_verdicts"] = f"""
+    SELECT gate, CASE WHEN bool_or(status IN ('error', 'fail')) THEN 'failed'
+                      WHEN bool_or(status = 'warn') THEN 'warning' ELSE 'passed' END AS verdict,
+        CAST(count(*) FILTER (status <> 'pass') AS BIGINT) AS findings
+    FROM (SELECT 'freshness' AS gate, status FROM ({STATEMENTS["source_freshness"]})
+          UNION ALL SELECT 'checks', status FROM ({STATEMENTS["dq_results"]})
+          UNION ALL SELECT 'source_checks', status FROM ({STATEMENTS["dq_results"]})
+              WHERE "table" LIKE 'raw.%')
+    GROUP BY gate"""
+STATEMENTS["catalog_views"] = f"""
+    SELECT n.listing_id, listing_name, calendar_month, count(*) AS nights, sum(daily_revenue) AS revenue,
+        CAST(count(*) FILTER ("Wifi") AS BIGINT) AS wifi_nights, longest_stay
+    FROM ({STATEMENTS["calendar_enriched"]}) n
+    LEFT JOIN (SELECT listing_id, max(effective_max_stay_nights) AS longest_stay
+               FROM ({STATEMENTS["availability_spans"]}) GROUP BY 1) USING (listing_id)
+    GROUP BY ALL"""
 STATEMENTS["surrogate_keys"] = """
     SELECT listing_id, CAST(calendar_date AS VARCHAR) AS calendar_date,
         md5(listing_id || '|' || CAST(calendar_date AS VARCHAR)) AS night_sk,

@@ -15,6 +15,7 @@ from roostline.quality.gates import (
     refresh_decision,
     schema_drift,
     source_freshness,
+    verdict,
 )
 
 __all__ = [
@@ -31,5 +32,6 @@ __all__ = [
     "run_checks",
     "schema_drift",
     "source_freshness",
+    "verdict",
     "unique",
 ]

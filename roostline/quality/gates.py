@@ -72,6 +72,17 @@ def freshness_gate(freshness: DataFrame) -> str:
     return "warning" if any(r.status == "warn" for r in rows) else "passed"
 
 
+def verdict(results: DataFrame, gate: str, failing: str) -> DataFrame:
+    """One row: what a gate says to results with a ``status``, as :func:`freshness_gate` (failing
+    status ``error``) and ``checks_gate`` (``fail``) say it: failed, warning or passed. Without
+    results there is nothing to object to."""
+    failed, warned = F.bool_or(F.col("status") == failing), F.bool_or(F.col("status") == "warn")
+    return results.agg(
+        F.when(failed, "failed").when(warned, "warning").otherwise("passed").alias("verdict"),
+        F.count_if(F.col("status") != "pass").alias("findings"),
+    ).select(F.lit(gate).alias("gate"), "verdict", "findings")
+
+
 def schema_drift(
     names: DataFrame, target_columns: Iterable[str], known_columns: Iterable[str] = ()
 ) -> DataFrame:
