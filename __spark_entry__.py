@@ -25,6 +25,7 @@ from roostline.functions.amenities import quoted
 from roostline.plans import analyses, dimensions, facts, intermediate
 from roostline.plans.pipeline import DAILY, LISTING_MONTHS, NEIGHBORHOOD_MONTHS, Lineage, load_daily
 from roostline.plans.views import create_views, register_sources
+from roostline.plans.vocabulary import refresh_vocabulary
 from roostline.quality import refresh_decision, run_checks, schema_drift, source_freshness, verdict
 from roostline.session import scratch_dir, tune
 from roostline.sinks import NAMESPACES, Warehouse
@@ -99,6 +100,19 @@ def amenity_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary_frame(_lineage(spark, sf_dir).events())
 
 
+def kept_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the log after three loads into a kept table, each reading new events only."""
+    log = _lineage(spark, sf_dir).sources.amenities_changelog
+    # The derived log carries one load time; here an event is loaded when it happens.
+    dated = log.withColumn("_loaded_at", F.col("change_at"))
+    first, last = dated.agg(F.min("change_at"), F.max("change_at")).first()
+    warehouse = Warehouse(spark, scratch_dir(spark, "vocabulary"))
+    for part in (1, 2, 3):
+        seen = dated.filter(F.col("change_at") <= F.lit(first + (last - first) * part / 3))
+        refresh_vocabulary(warehouse, seen, AS_OF)
+    return warehouse.read("intermediate", "amenity_vocabulary").select("amenity_name")
+
+
 def listing_amenity_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary_frame(_lineage(spark, sf_dir).listings)
 
@@ -369,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "stg_reviews": stg_reviews,
     "stg_amenities_changelog": stg_amenities_changelog,
     "amenity_vocabulary": amenity_vocabulary,
+    "kept_vocabulary": kept_vocabulary,
     "listing_amenity_vocabulary": listing_amenity_vocabulary,
     "listing_amenities_scd": listing_amenities_scd,
     "availability_spans": availability_spans,

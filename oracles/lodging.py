@@ -441,4 +441,6 @@ STATEMENTS["surrogate_keys"] = """
             AS reservation_sk
     FROM calendar"""
 
+STATEMENTS["kept_vocabulary"] = STATEMENTS["amenity_vocabulary"]
+
 ORACLES = {name: statement(sql) for name, sql in STATEMENTS.items()}

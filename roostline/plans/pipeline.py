@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from roostline.functions import known_names, vocabulary, vocabulary_frame, widen
 from roostline.plans import analyses, dimensions, facts, intermediate, staging
+from roostline.plans.vocabulary import refresh_vocabulary
 from roostline.quality import (
     checks_gate,
     freshness_gate,
+    measures,
     refresh_decision,
     run_checks,
     schema_drift,
@@ -103,6 +105,10 @@ class Lineage:
         )
 
 
+def _listed(spark: SparkSession, names: list[str]) -> DataFrame:
+    return spark.createDataFrame([(n,) for n in names], "amenity_name string")
+
+
 @dataclass
 class RunResult:
     freshness: str
@@ -142,9 +148,11 @@ def prepare_daily(
         raise ValueError("an upsert needs one row per listing and night: reviews='aggregate'")
     rows = lineage.fct_daily(reviews, names, since=bound)
     if bound is None:
-        return warehouse.prepare(rows, "marts", DAILY, run_ts, by_month=True, begun=begun)
+        return warehouse.prepare(
+            rows, "marts", DAILY, run_ts, by_month=True, begun=begun, measures=measures(DAILY)
+        )
     return warehouse.prepare_upsert(
-        rows, "marts", DAILY, facts.FACT_KEY, since=bound, run_ts=run_ts, begun=begun
+        rows, "marts", DAILY, facts.FACT_KEY, since=bound, run_ts=run_ts, begun=begun, measures=measures(DAILY)
     )
 
 
@@ -174,6 +182,7 @@ def run_pipeline(
     publish: bool = False,
     gate: bool = True,
     wide: bool = True,
+    keep_vocabulary: bool = False,
 ) -> RunResult:
     """One daily run. ``as_of`` is the run time: gates, tenure, ages and audit use it.
 
@@ -183,14 +192,19 @@ def run_pipeline(
     checks; the other layers are views. With ``gate`` a check of error severity that finds rows
     stops the run: of a source before anything is loaded, of another table before any mart is
     committed, and the candidates go. ``wide=False`` keeps amenities as array columns in all
-    tables and needs no vocabulary.
+    tables and needs no vocabulary. ``keep_vocabulary`` reads only new events of the amenity log
+    for its names, see ``vocabulary.py``; the log must then only grow.
     """
     freshness = freshness_gate(source_freshness(sources.items(), as_of))
     lineage = Lineage(sources, json_mode)
     tables: dict[str, DataFrame] = {f"raw.{name}": df for name, df in sources.items()}
     if gate:
         checks_gate(run_checks(tables))
-    names = lineage.amenity_names() if wide else None
+    names = None
+    if wide and keep_vocabulary:
+        names = refresh_vocabulary(warehouse, sources.amenities_changelog, as_of, json_mode)
+    elif wide:
+        names = lineage.amenity_names()
     listing_names = lineage.listing_amenity_names() if wide else None
 
     def widened(df: DataFrame, columns: list[str] | None) -> DataFrame:
@@ -217,7 +231,7 @@ def run_pipeline(
     if warehouse.exists("marts", DAILY):
         target = warehouse.read("marts", DAILY)
         known = (*facts.FACT_COLUMNS, *facts.NIGHT_COLUMNS, "amenities", AUDIT_COLUMN)
-        found = vocabulary_frame(lineage.events())
+        found = _listed(spark, names) if names is not None else vocabulary_frame(lineage.events())
         # An array column takes any name.
         drift = schema_drift(found if wide else found.limit(0), target.columns, known)
         late = check_late_arrivals(sources.calendar, target, as_of)
@@ -230,7 +244,7 @@ def run_pipeline(
         tables[name] = candidate.df
 
     def prepared(df: DataFrame, name: str) -> None:
-        mart(name, warehouse.prepare(df, "marts", name, as_of))
+        mart(name, warehouse.prepare(df, "marts", name, as_of, measures=measures(name)))
 
     try:
         prepared(dimensions.dim_date(spark, as_of.date()), "dim_date")
@@ -239,7 +253,8 @@ def run_pipeline(
         mart(DAILY, prepare_daily(spark, lineage, warehouse, as_of, strategy, names, reviews, wide))
         prepared(facts.fct_monthly_listing(tables[DAILY]), LISTING_MONTHS)
         prepared(facts.fct_monthly_neighborhood(tables[DAILY]), NEIGHBORHOOD_MONTHS)
-        checks = run_checks(tables)
+        # Marts were measured while they were written: only uniqueness reads them again.
+        checks = run_checks(tables, measured={n: c.manifest.measured for n, c in candidates.items()})
         if gate:
             checks_gate(checks)
     except BaseException:

@@ -4,6 +4,7 @@ from roostline.quality.checks import (
     FailedChecksError,
     accepted,
     checks_gate,
+    measures,
     not_null,
     run_checks,
     unique,
@@ -27,11 +28,12 @@ __all__ = [
     "accepted",
     "checks_gate",
     "freshness_gate",
+    "measures",
     "not_null",
     "refresh_decision",
     "run_checks",
     "schema_drift",
     "source_freshness",
-    "verdict",
     "unique",
+    "verdict",
 ]

@@ -97,7 +97,19 @@ def _failures(check: Check) -> Column:
     return F.count_if(~column.isin(*check.values))
 
 
-def _check_table(name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def _measure(check: Check) -> str:
+    return f"{check.test} {check.column}"
+
+
+def measures(table: str, specs: Mapping[str, Sequence[Check]] = SPECS) -> dict[str, Column]:
+    """The failing rows of a table's checks that one pass can count, to be counted while the
+    table is written."""
+    return {_measure(c): _failures(c) for c in specs.get(table, ()) if c.test != "unique"}
+
+
+def _check_table(
+    name: str, df: DataFrame, checks: Sequence[Check], measured: Mapping[str, int]
+) -> DataFrame:
     def result(check: Check, failures: Column) -> Column:
         return F.struct(
             F.lit(name).alias("table"),
@@ -108,7 +120,11 @@ def _check_table(name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame
         )
 
     parts = []
-    single_pass = [c for c in checks if c.test != "unique"]
+    known = [c for c in checks if _measure(c) in measured]
+    if known:
+        rows = F.array(*[result(c, F.lit(measured[_measure(c)])) for c in known])
+        parts.append(df.sparkSession.range(1).select(F.inline(rows)))
+    single_pass = [c for c in checks if c.test != "unique" and c not in known]
     if single_pass:
         counts = df.agg(*[_failures(c).alias(f"c{i}") for i, c in enumerate(single_pass)])
         rows = F.array(*[result(c, F.col(f"c{i}")) for i, c in enumerate(single_pass)])
@@ -141,13 +157,22 @@ def checks_gate(results: DataFrame) -> str:
 
 
 def run_checks(
-    tables: Mapping[str, DataFrame], specs: Mapping[str, Sequence[Check]] = SPECS
+    tables: Mapping[str, DataFrame],
+    specs: Mapping[str, Sequence[Check]] = SPECS,
+    measured: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """One row per check: failures, severity and status pass, warn or fail.
 
-    All not-null and accepted-value checks of a table share one pass over it.
+    All not-null and accepted-value checks of a table share one pass over it. ``measured`` has
+    the counts of tables that were measured when they were written (:func:`measures`); these
+    are not read again but for uniqueness.
     """
-    results = [_check_table(name, tables[name], specs[name]) for name in specs if name in tables]
+    counts = measured or {}
+    results = [
+        _check_table(name, tables[name], specs[name], counts.get(name, {}))
+        for name in specs
+        if name in tables
+    ]
     status = (
         F.when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")

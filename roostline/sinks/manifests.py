@@ -18,9 +18,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roostline.functions.amenities import quoted
@@ -46,15 +48,23 @@ class Manifest:
     schema: T.StructType
     parts: dict[str, str]
     by_month: bool
+    # Counts of the whole version by name, taken while it was written.
+    measured: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
-        content = {"schema": self.schema.jsonValue(), "parts": self.parts, "by_month": self.by_month}
+        content = {
+            "schema": self.schema.jsonValue(),
+            "parts": self.parts,
+            "by_month": self.by_month,
+            "measured": self.measured,
+        }
         return json.dumps(content, sort_keys=True)
 
     @classmethod
     def from_json(cls, number: int, text: str) -> Manifest:
         content = json.loads(text)
-        return cls(number, T.StructType.fromJson(content["schema"]), content["parts"], content["by_month"])
+        schema = T.StructType.fromJson(content["schema"])
+        return cls(number, schema, content["parts"], content["by_month"], content["measured"])
 
 
 class Files:
@@ -165,22 +175,29 @@ class VersionedTable:
         newest = next((m for m in map(self.manifest, reversed(numbers)) if m is not None), None)
         return newest, (numbers[-1] if numbers else 0) + 1
 
-    def write(self, df: DataFrame, by_month: bool) -> tuple[str, T.StructType, dict[str, str]]:
-        """Write the rows as a new load: its id, its columns and its parts. Nobody sees them yet."""
+    def write(
+        self, df: DataFrame, by_month: bool, measures: Mapping[str, Column] | None = None
+    ) -> tuple[str, T.StructType, dict[str, str], dict[str, int]]:
+        """Write the rows as a new load: its id, its columns, its parts and its measures, which
+        are taken as the rows pass. Nobody sees them yet."""
         load = uuid.uuid4().hex
         target = self.load_folder(load)
+        watch = Observation(load) if measures else None
+        if watch is not None:
+            df = df.observe(watch, *[F.coalesce(m, F.lit(0)).alias(name) for name, m in measures.items()])
         writer = df.write.partitionBy(MONTH) if by_month else df.write
         try:
             writer.parquet(target)
         except BaseException:
             self.files.delete(target)
             raise
+        measured = {} if watch is None else {name: int(n) for name, n in watch.get.items()}
         fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
         if not by_month:
-            return load, T.StructType(fields), {WHOLE: load}
+            return load, T.StructType(fields), {WHOLE: load}, measured
         ordered = [f for f in fields if f.name != MONTH] + [f for f in fields if f.name == MONTH]
         months = [n for n in self.files.names(target) if n.startswith(f"{MONTH}=")]
-        return load, T.StructType(ordered), {m: load for m in months}
+        return load, T.StructType(ordered), {m: load for m in months}, measured
 
     def commit(self, manifest: Manifest) -> None:
         """Make a version the table, or raise when its number is taken."""

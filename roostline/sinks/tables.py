@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.sinks.manifests import MONTH, Manifest, VersionedTable
@@ -104,12 +104,14 @@ class Warehouse:
         run_ts: datetime.datetime | str,
         by_month: bool = False,
         begun: tuple[Manifest | None, int] | None = None,
+        measures: Mapping[str, Column] | None = None,
     ) -> Candidate:
-        """Write the whole table anew, stamped with the run time, without showing it yet."""
+        """Write the whole table anew, stamped with the run time, without showing it yet.
+        ``measures`` are counted while the rows are written."""
         table = self.versions(layer, name)
         _, number = begun or table.begin()
-        load, schema, parts = table.write(stamped(df, run_ts), by_month)
-        return Candidate(table, Manifest(number, schema, parts, by_month), load)
+        load, schema, parts, measured = table.write(stamped(df, run_ts), by_month, measures)
+        return Candidate(table, Manifest(number, schema, parts, by_month, measured), load)
 
     def prepare_upsert(
         self,
@@ -120,6 +122,7 @@ class Warehouse:
         since: datetime.date,
         run_ts: datetime.datetime | str,
         begun: tuple[Manifest | None, int] | None = None,
+        measures: Mapping[str, Column] | None = None,
     ) -> Candidate:
         """Update rows with a known key, insert the others, delete nothing; not shown yet.
 
@@ -128,6 +131,10 @@ class Warehouse:
         version names the new folders for these months and the old ones for all others, which
         keep their files and their audit time. The table has the columns of ``rows`` then: a
         new column is NULL in kept rows, a column that ``rows`` no longer have is gone.
+
+        ``measures`` count failures while months are written. They hold for the whole table
+        where the version before counted none: then the months that stay have none either.
+        Others are left out.
         """
         table = self.versions(layer, name)
         base, number = begun or table.begin()
@@ -138,9 +145,10 @@ class Warehouse:
             old = {part for part in base.parts if part_month(part) is None or part_month(part) >= first}
             current = Manifest(base.number, base.schema, {p: base.parts[p] for p in old}, True)
             merged = with_kept_rows(table.frame(current), fresh, list(keys))
-            load, schema, written = table.write(merged, by_month=True)
+            load, schema, written, counted = table.write(merged, True, measures)
         parts = {p: origin for p, origin in base.parts.items() if p not in old} | written
-        return Candidate(table, Manifest(number, schema, parts, True), load)
+        measured = {m: n for m, n in counted.items() if base.measured.get(m) == 0}
+        return Candidate(table, Manifest(number, schema, parts, True, measured), load)
 
     def commit(self, candidate: Candidate) -> DataFrame:
         """Make a candidate the table and read it. Raises, and leaves the table, when another
