@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roostline.functions import known_names, widen
-from roostline.operators import continuous_periods, point_in_time_join, scd2_intervals
+from roostline.operators import as_of_join, continuous_periods, scd2_intervals
 from roostline.plans import analyses, facts
 from roostline.plans.pipeline import DAILY, Lineage, load_daily, run_pipeline
 from roostline.quality import FailedChecksError, checks_gate, run_checks
@@ -44,7 +44,7 @@ def test_an_undated_change_doubles_no_night(spark):
         (d("2021-05-01"), ["Pool"]),
         (d("2022-01-15"), ["Wifi"]),
     ]
-    found = point_in_time_join(days, periods, "id", "day").collect()
+    found = as_of_join(days, periods, "id", "day", "left").collect()
     assert sorted((r["day"], r["amenities"]) for r in found) == [
         (d("2021-05-01"), None),
         (d("2022-01-15"), ["Wifi"]),
