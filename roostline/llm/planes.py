@@ -14,7 +14,8 @@ A task writes under a name of its own and only files that the finished job lists
 repeated task leaves at most a file that nobody reads.
 
 Defined cases: a null or empty text has only the end id; repeated rows are written as often as
-they occur, one after the other; rows without a doc_id come first; an empty table gives no
+they occur, one after the other; rows of one doc_id with different texts are ordered by the
+hashes of those; a doc_id of very many rows is spread over files; rows without a doc_id come first; an empty table gives no
 rows; a long text spans chunks; columns other than id and text are ignored.
 """
 
@@ -38,6 +39,7 @@ from roostline.session import scratch_dir
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 END_ID = 2
+RESULT_ROWS = 1 << 14
 FOOTER = struct.Struct("<QIIIB7x8s")  # document table, its bytes, chunks, documents, planes
 NULL_ID = -(1 << 63)
 
@@ -208,7 +210,11 @@ def write_planes(
 
     source = texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = source.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id")
+    # Rows of one doc_id are ordered by their texts' hashes. Those of one text are alike, so
+    # where each stands does not matter: numbering them lets a range end between them.
+    order = ["doc_id", "hash", "number"]
+    numbered = source.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("number"))
+    ordered = numbered.repartitionByRange(count, *order).sortWithinPartitions(*order).select("doc_id", "text")
     schema = "shard int, path string, size bigint, n_docs bigint, n_ids bigint"
     return written(ordered.mapInArrow(write, schema), "plane-files")
 
@@ -224,6 +230,11 @@ def read_planes(files: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
 
+        def result(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"]
+            )
+
         source, _ = FileSystem.from_uri(folder)
         for batch in batches:
             for row in batch.to_pylist():
@@ -236,10 +247,11 @@ def read_planes(files: DataFrame, folder: str) -> DataFrame:
                             crc = zlib.crc32(part.tobytes(), crc)
                         rows.append((doc_id, start, n, crc))
                         start += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                        if len(rows) == RESULT_ROWS:
+                            yield result(rows)
+                            rows = []
+                if rows:
+                    yield result(rows)
 
     count = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = placed.select("path", "size", "first", "shard").repartition(count, "shard")

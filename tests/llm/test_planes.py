@@ -74,6 +74,27 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, documents):
     assert read_planes(write_planes(empty, folder, PATH, True, 2), folder).collect() == []
 
 
+def test_rows_of_one_doc_id_have_an_order_and_are_spread(spark, documents):
+    hashed = [(i, f"text number {i % 50}") for i in range(400)]
+    rows = [(7, text) for _, text in hashed] + [(8, "after"), (6, "before")]
+    docs = documents(rows)
+    order = {
+        r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) AS h").distinct().collect()
+    }
+    placed = sorted(rows, key=lambda r: (r[0], order[r[1]]))
+    for given in (docs, documents(rows[::-1]).repartition(3)):
+        folder = scratch_dir(spark, "planes")
+        files = write_planes(given, folder, PATH, True, 2)
+        assert files.count() > 1 and max(r["n_docs"] for r in files.collect()) < 300
+        got = sorted((tuple(r) for r in read_planes(files, folder).collect()), key=lambda r: r[1])
+        assert got == expected(placed)
+    # All rows alike: still more than one file.
+    folder = scratch_dir(spark, "planes")
+    files = write_planes(documents([(7, "same")] * 400), folder, PATH, True, 2)
+    assert max(r["n_docs"] for r in files.collect()) < 300
+    assert sorted(tuple(r) for r in read_planes(files, folder).collect()) == expected([(7, "same")] * 400)
+
+
 def test_registered_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
