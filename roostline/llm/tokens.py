@@ -3,6 +3,8 @@
 A pre-tokeniser never lets a token run from a character into white space that follows it, nor
 from a letter into one of the marks in ``MARKS``. Texts are cut at such places only, so the
 ids of a text are the ids of its chunks in a row, and each frequent chunk is encoded once.
+A text that holds the string of an added token, such as ``<|endoftext|>``, is encoded whole,
+so that the library finds that token as it does in any text.
 """
 
 from __future__ import annotations
@@ -17,8 +19,9 @@ from roostline.llm.common import Memo, worker_cache
 
 SPACE = rb"\x20\x09-\x0D"
 MARKS = rb".,!?;:*$%&#|"
+# Possessive: giving characters back could never lead to a match.
 CHUNK = re.compile(
-    rb"[%s]*[A-Za-z]+(?=[%s])|[%s]*[^%s]+|[%s]+" % (SPACE, re.escape(MARKS), SPACE, SPACE, SPACE)
+    rb"[%s]*+[A-Za-z]++(?=[%s])|[%s]*+[^%s]++|[%s]++" % (SPACE, re.escape(MARKS), SPACE, SPACE, SPACE)
 )
 # White space beyond ASCII: chunk borders are not certain there.
 WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
@@ -33,8 +36,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token's string in a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = sorted({a.lower() if lower else a for a in added})
         self.lower = lower
         self.memo = Memo(self._encode_chunks, CHUNKS_KEPT)
         # Between two chunks of a joined text stands a text of one known id, which no
@@ -51,29 +54,30 @@ class Encoder:
     def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         easy = [c for c in chunks if self.joinable.fullmatch(c)]
         found: dict[bytes, bytes] = {}
-        for at in range(0, len(easy), 4096):
-            part = easy[at : at + 4096]
-            joined = self.between.join(c.decode("utf-8", "surrogatepass") for c in part)
+        for at in range(0, len(easy), 512):
+            part = easy[at : at + 512]
+            joined = self.between.encode().join(part).decode("utf-8", "surrogatepass")
             ids = np.array(self._ids([joined])[0], "<u4")
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(self.mark) == 1 and len(cuts) == len(part) - 1:
-                starts = [0, *(cuts + 1).tolist()]
-                stops = [*cuts.tolist(), len(ids)]
-                found.update((c, ids[a:b].tobytes()) for c, a, b in zip(part, starts, stops))
+                raw = ids.tobytes()
+                starts = [0, *(4 * cuts + 4).tolist()]
+                stops = [*(4 * cuts).tolist(), len(raw)]
+                found.update(zip(part, map(raw.__getitem__, map(slice, starts, stops))))
         rest = [c for c in chunks if c not in found]
         if rest:
             single = self._ids([c.decode("utf-8", "surrogatepass") for c in rest])
             found.update((c, np.array(ids, "<u4").tobytes()) for c, ids in zip(rest, single))
-        return [found[c] for c in chunks]
+        return list(map(found.__getitem__, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunked = []
         for text in texts:
-            if not self.lower and not text.isascii() and WIDE_SPACE.search(text):
-                chunked.append(None)
-                continue
             raw = text.encode("utf-8", "surrogatepass")
-            chunked.append(CHUNK.findall(raw.lower() if self.lower else raw))
+            raw = raw.lower() if self.lower else raw
+            wide = not self.lower and not text.isascii() and WIDE_SPACE.search(text)
+            whole = wide or any(a in raw for a in self.added)
+            chunked.append(None if whole else CHUNK.findall(raw))
         # A part of the texts at a time, so that the memo never has to hold all chunks.
         result: list[bytes] = []
         group: list[int] = []

@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def reference(lower=False):
     name = "word_bpe_49k.json" if lower else "byte_bpe_50k.json"
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -36,6 +35,8 @@ TEXTS = [
     " lead",
     "trail \n",
     "a|b | c |d| <|startoftext|>",
+    "in capitals <|ENDOFTEXT|> and cut <|endof text|>",
+    "<|endoftext|>",
 ]
 
 
