@@ -60,6 +60,8 @@ RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 def _shape_bucket(shape: bytes) -> int:
+    if len(shape) > 40:
+        return _bucket(b"s" + shape)
     if shape not in SHAPES:
         if len(SHAPES) > 100_000:
             SHAPES.clear()
@@ -76,7 +78,7 @@ def _described(word: bytes) -> tuple[int, int, int, bytes]:
     flags |= PLAIN_WORD * (PLAIN.fullmatch(word) is not None)
     flags |= ENDS * word.endswith((b".", b"?", b".\""))
     shape = RUN.sub(rb"\1", word.translate(CLASSES))
-    return flags, sum(map(str.isalpha, text)), sum(map(str.isupper, text)), shape[:12]
+    return flags, sum(map(str.isalpha, text)), sum(map(str.isupper, text)), shape
 
 
 def word_records(fresh: list[bytes]) -> list[bytes]:
@@ -263,13 +265,17 @@ def estimate(
     return model
 
 
-def vector(view: View) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text with their values: those of its words, of length one
-    together, and one for the share of distinct pairs of neighbouring words."""
+def counted(view: View) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashed features of a text: the buckets of its words, how often each occurs, and the
+    bucket for the share of distinct pairs of neighbouring words."""
     packed = view.records[:, FEATURES]
     at, counts = np.unique(np.concatenate([packed & 0xFFFFFFFF, packed >> 32]), return_counts=True)
+    return at, counts, _bucket(b"pairs%d" % (10 * view.distinct_pairs))
+
+
+def vector(at: np.ndarray, counts: np.ndarray, variety: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features with their values: those of the words, of length one together, and the variety."""
     values = counts / np.sqrt((counts.astype(float) ** 2).sum())
-    variety = _bucket(b"pairs%d" % (10 * view.distinct_pairs))
     return np.append(at, variety), np.append(values, 1.0)
 
 
@@ -294,82 +300,97 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.n
     return w
 
 
-def vote_patterns(docs: DataFrame) -> DataFrame:
-    """(pattern, text hash, documents): counted in the tasks before the shuffle."""
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def described(docs: DataFrame) -> DataFrame:
+    """What one reading of the texts gives, as a table: doc_id, ``key`` (the text's hash), the
+    pattern of votes (null without words), and the counted features ``at``, ``counts`` (arrays
+    of little-endian integers of two and four bytes) and ``variety``."""
+    bounded_batches(docs.sparkSession)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [votes_of(v) for v in View.of(batch.column("text").to_pylist())]
+            rows = []
+            for view in View.of(batch.column("text").to_pylist()):
+                if view.n:
+                    at, counts, variety = counted(view)
+                    rows.append((votes_of(view), at.astype("<u2").tobytes(), counts.astype("<i4").tobytes(), variety))
+                else:
+                    rows.append((None, b"", b"", None))
+            columns = list(zip(*rows)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int8())), batch.column("key")], ["pattern", "key"]
+                [batch.column("doc_id"), batch.column("key"), *map(pa.array, columns, KINDS)], NAMES
             )
 
-    keyed = texts(docs).select("text", F.xxhash64("text").alias("key"))
-    return keyed.mapInArrow(vote, "pattern array<tinyint>, key bigint").filter("pattern is not null")
+    KINDS = [pa.list_(pa.int8()), pa.binary(), pa.binary(), pa.int32()]
+    NAMES = ["doc_id", "key", "pattern", "at", "counts", "variety"]
+    source = texts(docs).select("doc_id", F.xxhash64("text").alias("key"), "text")
+    kind = source.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, key bigint, pattern array<tinyint>, at binary, counts binary, variety int"
+    return written(source.mapInArrow(describe, schema), "described-texts")
 
 
-def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarray] | None:
+def fit_described(seen: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarray] | None:
     """The label model over all documents and the scorer from at most ``fit_rows`` of them.
-    The driver gets one row per vote pattern (at most 3 to the number of labellers), the
-    smallest ``fit_rows`` text hashes and the features of those texts."""
-    bounded_batches(docs.sparkSession)
-    cast = written(vote_patterns(docs), "votes")
+    The driver gets one row per vote pattern (at most 3 to the number of labellers), and the
+    features of the texts with the smallest ``fit_rows`` hashes."""
+    worded = seen.filter("pattern is not null")
     patterns = {
-        tuple(r["pattern"]): r["n"] for r in cast.groupBy("pattern").agg(F.count("*").alias("n")).collect()
+        tuple(r["pattern"]): r["n"] for r in worded.groupBy("pattern").agg(F.count("*").alias("n")).collect()
     }
     if not patterns:
         return None
     model = estimate(patterns, belief=BELIEF)
-    chosen = cast.groupBy("key").agg(F.first("pattern").alias("pattern")).orderBy("key").limit(fit_rows)
-
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [vector(v) for v in View.of(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
-                    pa.array([v.astype("<f4").tobytes() for _, v in rows], pa.binary()),
-                    batch.column("pattern"),
-                    batch.column("key"),
-                ],
-                ["at", "value", "pattern", "key"],
-            )
-
-    picked = (
-        texts(docs)
-        .select("text", F.xxhash64("text").alias("key"))
-        .join(F.broadcast(chosen), "key")
-        .dropDuplicates(["key"])
-        .select("text", "pattern", "key")
-    )
-    schema = "at binary, value binary, pattern array<tinyint>, key bigint"
-    rows = sorted(picked.mapInArrow(described, schema).collect(), key=lambda r: r["key"])
+    smallest = worded.select("key").distinct().orderBy("key").limit(fit_rows)
+    last = smallest.agg(F.max("key")).first()[0]
+    picked = worded.filter(F.col("key") <= last).drop("doc_id").dropDuplicates(["key"])
+    rows = sorted(picked.collect(), key=lambda r: r["key"])
     labels = np.array([model.posterior(tuple(r["pattern"])) for r in rows])
-    return model, train([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4")) for r in rows], labels)
+    features = [
+        vector(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["counts"], "<i4"), r["variety"])
+        for r in rows
+    ]
+    return model, train(features, labels)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
-    bounded_batches(docs.sparkSession)
+def score_described(seen: DataFrame, weights: np.ndarray | None) -> DataFrame:
+    """doc_id, score and kept of every described text."""
+    bounded_batches(seen.sparkSession)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = []
-            for view in View.of(batch.column("text").to_pylist()):
-                if not view.n or weights is None:
-                    values.append(0.0)
-                    continue
-                at, value = vector(view)
-                values.append(float(1 / (1 + np.exp(-np.clip(weights[at] @ value + weights[-1], -30, 30)))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"]
-            )
-
-    source = texts(docs)
+            n = batch.num_rows
+            values = np.zeros(n)
+            found = batch.column("at").to_pylist()
+            sizes = np.array([len(x) // 2 for x in found], np.int64)
+            if weights is not None and sizes.any():
+                at = np.frombuffer(b"".join(found), "<u2")
+                counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<i4").astype(float)
+                row = np.repeat(np.arange(n), sizes)
+                length = np.sqrt(np.bincount(row, counts * counts, n))
+                variety = batch.column("variety").fill_null(0).to_numpy(zero_copy_only=False)
+                worded = sizes > 0
+                logit = np.bincount(row, weights[at] * counts, n)[worded] / length[worded]
+                logit += weights[variety[worded]] + weights[-1]
+                values[worded] = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "score"])
+
+    source = seen.select("doc_id", "at", "counts", "variety")
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(scored, f"doc_id {kind}, score double").withColumn("kept", F.col("score") >= 0.5)
 
 
+def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.ndarray] | None:
+    """:func:`fit_described` of documents."""
+    return fit_described(described(docs), fit_rows)
+
+
+def score(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
+    """:func:`score_described` of documents, which need not be those of the fit."""
+    return score_described(described(docs), weights)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, score (0 to 1, higher is better) and kept of every document."""
-    docs = table(spark, sf_dir, "documents")
-    fitted = fit(docs)
-    return score(docs, fitted[1] if fitted else None)
+    """doc_id, score (0 to 1, higher is better) and kept of every document. Texts are read
+    once; the fit and the scores use what that reading wrote."""
+    seen = described(table(spark, sf_dir, "documents"))
+    fitted = fit_described(seen)
+    return score_described(seen, fitted[1] if fitted else None)

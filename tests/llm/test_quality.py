@@ -77,6 +77,48 @@ def test_agreement_with_labels_that_were_never_read(spark):
     assert sum(bad) / len(bad) < 0.05, sum(bad) / len(bad)
 
 
+def test_scores_equal_those_of_one_process(spark, documents):
+    """All of the operator again over a list: votes, fit and the score of every text."""
+    from collections import Counter
+
+    import numpy as np
+
+    from roostline.llm.quality import BELIEF, BUCKETS, View, counted, train, vector
+
+    words = ["the", "Garden", "of", "rivers,", "and", "stones.", "WIN!!", "$$$", "###", "|", "x9" * 30]
+    rng = random.Random(8)
+    rows = [
+        (i, " ".join(rng.choice(words[:6] if i % 3 else words) for _ in range(rng.randint(0, 90))))
+        for i in range(150)
+    ]
+    docs = documents(rows + rows[:10] + [(999, None)])
+    hashes = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "xxhash64(text) AS h").collect()}
+    views = {i: view for (i, _), view in zip(rows, View.of([t for _, t in rows])) if view.n}
+    patterns = Counter(votes(t) for _, t in rows + rows[:10] if t)
+    model = estimate(patterns, belief=BELIEF)
+    first = dict(sorted({hashes[i]: i for i in views}.items())[:100])
+    features = {i: vector(*counted(v)) for i, v in views.items()}
+    labels = np.array([model.posterior(votes(dict(rows)[i])) for i in first.values()])
+    weights = train([features[i] for i in first.values()], labels)
+    fitted = fit(docs, 100)
+    assert abs(fitted[0].good - model.good) < 1e-12 and np.allclose(fitted[1], weights)
+    assert len(weights) == BUCKETS + 1
+    for r in score(docs, fitted[1]).collect():
+        if r["doc_id"] in features:
+            at, values = features[r["doc_id"]]
+            plain = 1 / (1 + np.exp(-np.clip(weights[at] @ values + weights[-1], -30, 30)))
+        else:
+            plain = 0.0
+        assert abs(r["score"] - plain) < 1e-9 and r["kept"] == (plain >= 0.5)
+
+
+def test_a_long_shape_counts_to_its_end():
+    from roostline.llm.quality import word_records
+
+    one, other = word_records([b"a1" * 20 + b"-", b"a1" * 20 + b"+"])
+    assert one[-8:] != other[-8:]
+
+
 def test_votes_outweigh_the_belief(monkeypatch, spark, documents):
     """As the operator estimates: from many votes the accuracies are the true ones."""
     from roostline.llm import quality
