@@ -35,6 +35,8 @@ UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 SHORT_UNIT = 64
 # Between units in the joined text: no character.
 BORDER = 0x110000
+# Leading characters that are compared as one number, of so many bits each.
+LEAD, CODE_BITS = 3, 21
 
 
 class Vocabulary:
@@ -51,8 +53,12 @@ class Vocabulary:
         ]
         self.ids = {self.pieces[i]: i for i in normal}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
         self.control = {i for i in range(n) if model.is_control(i) or model.is_unknown(i)}
+        # What each id stands for in a decoded text.
+        self.spelled = [
+            b"" if i in self.control else bytes((int(p[3:5], 16),)) if model.is_byte(i) else p.encode()
+            for i, p in enumerate(self.pieces)
+        ]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses words")
         # Rank of a piece: the better its score, the smaller.
@@ -81,31 +87,47 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
 
 
 def occurrences(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray, lengths: np.ndarray):
-    """Per piece the range of the suffix array whose suffixes begin with it."""
+    """Per piece the range of the suffix array whose suffixes begin with it. A first binary
+    search compares up to three leading characters, as one number; a second one goes on with
+    the others, inside the range of the first."""
     depth = pieces.shape[1]
     padded = np.concatenate([codes, np.full(depth, -1, np.int64)])
-    columns = np.arange(depth)
-    inside = columns < lengths[:, None]
-
-    def first(after_equal: bool) -> np.ndarray:
-        low = np.zeros(len(pieces), np.int64)
-        high = np.full(len(pieces), len(order), np.int64)
+    lead = min(LEAD, depth)
+    keys = np.zeros(len(order), np.int64)
+    wanted_keys = np.zeros(len(pieces), np.int64)
+    for k in range(lead):
+        keys = keys << CODE_BITS | (padded[order + k] + 1)
+        wanted_keys = wanted_keys << CODE_BITS | np.where(k < lengths, pieces[:, k] + 1, 0)
+    # So many keys begin with a piece that is shorter than the key.
+    alike = np.int64(1) << CODE_BITS * (lead - np.minimum(lengths, lead))
+    low = np.searchsorted(keys, wanted_keys)
+    high = np.searchsorted(keys, wanted_keys + alike)
+    columns = np.arange(lead, depth)
+    longer = np.flatnonzero((lengths > lead) & (low < high))
+
+    def first(low: np.ndarray, high: np.ndarray, after_equal: bool) -> np.ndarray:
+        """The first suffix not below its piece, or above all that begin with it."""
+        low, high = low.copy(), high.copy()
         while True:
             open_rows = np.flatnonzero(low < high)
             if not len(open_rows):
                 return low
             middle = (low[open_rows] + high[open_rows]) // 2
             window = padded[order[middle][:, None] + columns]
-            wanted = pieces[open_rows]
-            differs = (window != wanted) & inside[open_rows]
+            wanted = pieces[longer[open_rows], lead:]
+            differs = (window != wanted) & (columns < lengths[longer[open_rows], None])
             at = differs.argmax(axis=1)
-            some = differs[np.arange(len(at)), at]
             row = np.arange(len(at))
+            some = differs[row, at]
             below = np.where(some, window[row, at] < wanted[row, at], after_equal)
             low[open_rows[below]] = middle[below] + 1
             high[open_rows[~below]] = middle[~below]
 
-    return first(False), first(True)
+    if len(longer):
+        begin = first(low[longer], high[longer], False)
+        high[longer] = first(begin, high[longer], True)
+        low[longer] = begin
+    return low, high
 
 
 def edges(codes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -294,13 +316,7 @@ class Pieces:
         return result
 
     def decode(self, ids: bytes) -> str:
-        v = self.vocabulary
-        parts = []
-        for i in np.frombuffer(ids, "<u4").tolist():
-            if i in v.byte_of:
-                parts.append(bytes((v.byte_of[i],)))
-            elif i not in v.control:
-                parts.append(v.pieces[i].encode())
+        parts = map(self.vocabulary.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist())
         text = b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 

@@ -93,3 +93,24 @@ def test_registered_query(spark, library):
         ids = np.array(library.encode(text or ""), "<u4")
         r = rows[doc_id]
         assert (r["n_tokens"], r["ids_crc32"], r["round_trip"]) == (len(ids), zlib.crc32(ids.tobytes()), True)
+
+
+def test_ranges_hold_every_occurrence():
+    """Each piece's range against a look at every position, past the ends and at the limits."""
+    import numpy as np
+
+    from roostline.llm.suffix_pieces import BORDER, occurrences, suffix_array
+
+    rng = random.Random(1)
+    letters = [97, 98, 99, 0x10FFFF, 0]
+    for _ in range(200):
+        codes = np.array([rng.choice([*letters, BORDER]) for _ in range(rng.randint(1, 60))], np.int64)
+        pieces = [[rng.choice(letters) for _ in range(rng.randint(2, 7))] for _ in range(rng.randint(1, 30))]
+        lengths = np.array([len(p) for p in pieces])
+        table = np.zeros((len(pieces), lengths.max()), np.int64)
+        for row, p in enumerate(pieces):
+            table[row, : len(p)] = p
+        order = suffix_array(codes, int(lengths.max()))
+        for p, low, high in zip(pieces, *occurrences(codes, order, table, lengths)):
+            places = [i for i in range(len(codes)) if codes[i : i + len(p)].tolist() == p]
+            assert sorted(order[low:high].tolist()) == places
