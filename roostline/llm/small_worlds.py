@@ -7,8 +7,8 @@ each level a point is linked to near points that are not nearer to one already l
 back. The links are flat arrays, one row of neighbour numbers per point and level, stored in a
 table with the vectors. As a shard is small, the candidates of its links are found by distance
 blocks instead of searches in the growing graph, so a graph does not depend on the order of
-insertion. Queries go to all shards in blocks: each shard is searched from its top level down,
-and the shards' results are merged.
+insertion. Queries go in bounded rounds to the stored graphs, which do not move: each shard is
+searched from its top level down, a task merges the results of its shards, and those are merged.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without an id; a repeated id counts once, with its smallest vector; only
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roostline.llm.common import bounded_batches, mixed, table, written
+from roostline.session import remove_scratch, scratch_dir
 
 K = 10
 SHARD = 4096
@@ -33,7 +34,9 @@ LINKS = 16
 CANDIDATES = 64
 BREADTH = 96
 UPPER_BREADTH = 8
-QUERY_BLOCK = 1024
+# Queries of one round, and the most bytes of their vectors, which are sent to all tasks.
+QUERIES_AT_ONCE = 4096
+QUERY_BYTES = 32 << 20
 
 
 def levels_of(ids: np.ndarray) -> np.ndarray:
@@ -209,42 +212,78 @@ def build_index(points: DataFrame, shard_size: int) -> DataFrame:
         )
 
     schema = "dim int, shard int, ids binary, vectors binary, sizes binary, members binary, links binary"
-    return written(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "graphs"), shards
+    return written(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "graphs")
 
 
-def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int, breadth: int) -> DataFrame:
-    """(query_id, point, score): the nearest points of each shard for each query. Queries are
-    dealt to blocks; a task searches one shard for one block."""
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    asked = (
-        queries.withColumn("dim", F.size("vector"))
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    )
-    graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+class Nearest:
+    """The k nearest points of each query of a round so far, ties to the smaller point."""
 
-    def search(graph_rows, asked_rows):
-        import pandas as pd
+    def __init__(self, queries: int, k: int):
+        self.scores = np.full((queries, k), np.inf)
+        self.points = np.full((queries, k), np.iinfo(np.int64).max)
 
-        found = []
-        if len(graph_rows) and len(asked_rows):
-            row = graph_rows.iloc[0]
-            graph = Graph.unpack(row, int(row["dim"]))
-            ids = np.frombuffer(row["ids"], "<i8")
-            for query_id, vector in zip(asked_rows["query_id"], asked_rows["vector"]):
-                query = np.asarray(vector, float)
-                near = graph.search(query, k, breadth)
-                score = np.sqrt(((graph.vectors[near] - query) ** 2).sum(axis=1))
-                order = np.lexsort((ids[near], score))[:k]
-                found += [(query_id, int(ids[near[o]]), float(score[o])) for o in order]
-        return pd.DataFrame(found, columns=["query_id", "point", "score"])
-
-    keys = ["dim", "shard", "block"]
-    return (
-        graphs.groupBy(*keys)
-        .cogroup(asked.groupBy(*keys))
-        .applyInPandas(search, "query_id bigint, point bigint, score double")
-    )
+    def add(self, query: int, scores: np.ndarray, points: np.ndarray) -> None:
+        scores = np.concatenate([self.scores[query], scores])
+        points = np.concatenate([self.points[query], points])
+        best = np.lexsort((points, scores))[: self.scores.shape[1]]
+        self.scores[query], self.points[query] = scores[best], points[best]
+
+
+def searched(sent, k: int, breadth: int):
+    """Rows of graphs to (query_id, point, score) of the queries sent, merged per task."""
+
+    def search(batches):
+        import pyarrow as pa
+
+        best: dict[int, Nearest] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                dim = row["dim"]
+                if dim not in sent.value:
+                    continue
+                names, vectors = sent.value[dim]
+                own = best.setdefault(dim, Nearest(len(names), k))
+                graph, ids = Graph.unpack(row, dim), np.frombuffer(row["ids"], "<i8")
+                for number, query in enumerate(vectors):
+                    near = graph.search(query, k, breadth)
+                    own.add(number, np.sqrt(((graph.vectors[near] - query) ** 2).sum(axis=1)), ids[near])
+        for dim, own in best.items():
+            which, place = np.nonzero(np.isfinite(own.scores))
+            columns = [sent.value[dim][0][which], own.points[which, place], own.scores[which, place]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "point", "score"])
+
+    return search
+
+
+def search_index(index: DataFrame, queries: DataFrame, k: int, breadth: int, at_once: int) -> DataFrame:
+    """(query_id, point, score): for each query the nearest points of the shards of each task.
+    A round's results are written, so a lost executor costs its tasks of one round at most."""
+    spark = index.sparkSession
+    count, parts = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
+    rounds = max(1, -(-count // at_once), -(-parts * 8 // QUERY_BYTES))
+    # A fixed hash deals the queries to rounds of about equal size.
+    dealt = queries.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(rounds)).cast("int"))
+    dealt_folder, found_folder = (scratch_dir(spark, f"neighbours-{n}") for n in ("queries", "found"))
+    dealt.write.partitionBy("turn").parquet(dealt_folder)
+    schema = "query_id bigint, point bigint, score double"
+    for number in range(rounds if count else 0):
+        part = spark.read.schema(dealt.schema).parquet(dealt_folder).filter(F.col("turn") == number).toArrow()
+        sides: dict[int, tuple] = {}
+        for name, vector in zip(part["query_id"].to_pylist(), part["vector"].to_pylist()):
+            names, vectors = sides.setdefault(len(vector), ([], []))
+            names.append(name)
+            vectors.append(vector)
+        sides = {dim: (np.array(n, np.int64), np.array(v, float)) for dim, (n, v) in sides.items()}
+        if not sides:
+            continue
+        sent = spark.sparkContext.broadcast(sides)
+        found = index.mapInArrow(searched(sent, k, breadth), schema)
+        found.write.parquet(f"{found_folder}/round={number}")
+        sent.destroy()
+    remove_scratch(spark, dealt_folder)
+    if not count:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(found_folder).drop("round")
 
 
 def nearest(
@@ -255,6 +294,7 @@ def nearest(
     vector_column: str = "embedding",
     shard_size: int = SHARD,
     breadth: int = BREADTH,
+    at_once: int = QUERIES_AT_ONCE,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest other rows of every row that satisfies
     ``queries_where`` (over vec_id), ties to the smaller vec_id."""
@@ -269,9 +309,9 @@ def nearest(
         "points",
     )
     points = members.filter("nth = 1").select("point", "vector")
-    index, shards = build_index(points, shard_size)
+    index = build_index(points, shard_size)
     queries = rows.filter(queries_where).select(F.col("vec_id").alias("query_id"), "vector")
-    found = written(search_index(index, shards, queries, k + 1, breadth), "shard-results")
+    found = search_index(index, queries, k + 1, breadth, at_once)
     best = Window.partitionBy("query_id")
     merged = found.withColumn("nth", F.row_number().over(best.orderBy("score", "point"))).filter(
         F.col("nth") <= k + 1

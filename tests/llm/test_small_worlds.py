@@ -80,6 +80,16 @@ def test_small_tables_are_answered_exactly_with_edge_rows(spark):
     assert answers_of(nearest(df.filter("vec_id < 0"), "vec_id % 100 = 0")) == {}
 
 
+def test_rounds_of_queries_change_nothing(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)] + [(300 + i, [1.0] * 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = answers_of(nearest(df, "vec_id % 20 = 0", shard_size=60, breadth=100, at_once=4))
+    exact = brute(rows, where=lambda i: i % 20 == 0)
+    assert set(found) == set(exact)
+    assert all([i for _, i in found[q]] == [i for _, i in exact[q]] for q in exact)
+
+
 def test_recall_and_scores_of_the_registered_query(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
