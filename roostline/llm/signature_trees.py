@@ -7,11 +7,12 @@ more. Equal sets are one class. Classes that can have a partner are found by cou
    (three tenths of the set) a known number must occur in another class. Few classes pass.
 2. Of those the whole sets are taken, and each keeps, rarest first, the shingles that a
    partner cannot all miss. Classes that share one of these are in one candidate group.
-3. Groups are cut into blocks. A task takes two blocks (or a block with itself, or many small
-   groups) and builds a signature tree of each: a node holds the OR and the AND of its
-   members' token bitmaps and their range of sizes. A traversal of both trees at once drops
-   pairs of nodes whose greatest possible overlap is too small; pairs of sets that remain are
-   compared exactly.
+3. Groups are cut into blocks of sets alike in size and least hash. Of each block the OR and
+   the AND of its members' token bitmaps and their range of sizes are kept, and pairs of blocks
+   whose greatest possible overlap is too small are dropped before any set moves.
+4. A task takes two blocks (or a block with itself, or many small groups) and builds a signature
+   tree of each, whose nodes hold the same of their members. A traversal of both trees at once
+   drops pairs of nodes by the same bound; pairs of sets that remain are compared exactly.
 
 All pairs that could link meet in one task, so the components are exact, up to equal 64-bit
 hashes of different shingles or sets. The query compares every pair that the traversal keeps and
@@ -29,12 +30,13 @@ an empty table gives no rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roostline.functions.amenities import quoted
@@ -50,6 +52,7 @@ from roostline.llm.common import (
     written,
 )
 from roostline.llm.components import connected_components
+from roostline.operators import running
 from roostline.session import scratch_scope
 
 SHINGLE = 5
@@ -60,6 +63,11 @@ SLACK = 10
 # some tens of millions of classes it lets more texts through, which the join after it removes.
 FILTER_BITS = 26
 BLOCK = 512
+# Bits of the bitmaps of blocks.
+BLOCK_BITS = 4096
+# Sizes of sets that link differ by a factor of 1.25 at most, so they lie in one band of this
+# width or in neighbouring ones.
+BAND = 1.3
 # Shingles compared with one set at a time.
 COMPARED = 1 << 20
 FANOUT = 8
@@ -402,32 +410,123 @@ def counted_links(
     return links, counts, opposite
 
 
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """class, n, the least hash and the token bitmap of every set."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("tokens")
+            flat = tokens.flatten().to_numpy().view(np.uint64)
+            ends = tokens.offsets.to_numpy().astype(np.int64)
+            ends -= ends[0]
+            maps = np.zeros((len(batch), BLOCK_BITS // 8), np.uint8)
+            at = (flat % np.uint64(BLOCK_BITS)).astype(np.int64)
+            rows = np.repeat(np.arange(len(batch)), np.diff(ends))
+            np.bitwise_or.at(maps, (rows, at >> 3), (1 << (at & 7)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("class"),
+                    batch.column("n"),
+                    pa.array(flat[ends[:-1]].view(np.int64)),
+                    pa.array([m.tobytes() for m in maps], pa.binary()),
+                ],
+                ["class", "n", "least", "bits"],
+            )
+
+    return sets.select("class", "n", "tokens").mapInArrow(mapped, "class bigint, n bigint, least bigint, bits binary")
+
+
+def band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(BAND))
+
+
+def paired_blocks(sets: DataFrame, members: DataFrame, block: int) -> DataFrame:
+    """Units of the groups of several blocks: every set by class with each pair of blocks
+    (first, second) that its block (side) takes part in and that may hold a link."""
+    mapped = members.join(bitmaps(sets), "class").withColumn("band", band(F.col("n")))
+    order = [F.col(c) for c in ("band", "least", "n", "class")]
+    placed = written(
+        running(mapped, order, ["group"], "place").withColumn(
+            "own", F.floor((F.col("place") - 1) / block).cast("bigint")
+        ),
+        "placed-sets",
+    )
+
+    def summed(frame):
+        import pandas as pd
+
+        maps = np.frombuffer(b"".join(frame["bits"]), "<i8").reshape(len(frame), -1)
+        row = {
+            "group": frame["group"].iloc[0],
+            "own": frame["own"].iloc[0],
+            "low": frame["n"].min(),
+            "high": frame["n"].max(),
+            "some": np.bitwise_or.reduce(maps, axis=0),
+            "every": np.bitwise_and.reduce(maps, axis=0),
+        }
+        return pd.DataFrame([row])
+
+    schema = "group bigint, own bigint, low bigint, high bigint, some array<bigint>, every array<bigint>"
+    blocks = written(placed.groupBy("group", "own").applyInPandas(summed, schema), "block-signatures")
+    pairs = written(possible_pairs(blocks), "block-pairs")
+    sides = pairs.select("group", F.col("first").alias("own"), "first", "second").unionByName(
+        pairs.filter("first <> second").select("group", F.col("second").alias("own"), "first", "second")
+    )
+    return placed.select("class", "group", "own").join(sides, ["group", "own"]).select(
+        "class", "group", F.col("own").alias("side"), F.col("group").alias("unit"), "first", "second"
+    )
+
+
+def possible_pairs(blocks: DataFrame) -> DataFrame:
+    """(group, first, second) of the blocks that can hold a link, by the bound of the trees.
+    Blocks meet in the bands of their sizes, so those of distant sizes are never paired."""
+    low, high = band(F.col("low")), band(F.col("high"))
+    left = blocks.withColumn("band", F.explode(F.sequence(low, high)))
+    right = blocks.select(
+        "group",
+        F.explode(F.sequence(low - 1, high + 1)).alias("band"),
+        *[F.col(c).alias(f"{c}_2") for c in ("own", "low", "high", "some", "every")],
+    )
+
+    def missed(every: str, some: str) -> Column:
+        lacking = F.zip_with(every, some, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))).cast("bigint"))
+        return F.aggregate(lacking, F.lit(0).cast("bigint"), lambda total, x: total + x)
+
+    overlap = F.least(F.col("high") - missed("every", "some_2"), F.col("high_2") - missed("every_2", "some"))
+    return (
+        left.join(right, ["group", "band"])
+        .filter(F.col("own") <= F.col("own_2"))
+        .filter(F.least("high", "high_2") * (PARTS + PART_OF) >= (F.col("low") + F.col("low_2")) * PARTS)
+        .filter(overlap * (PARTS + PART_OF) >= (F.col("low") + F.col("low_2")) * PARTS)
+        .select("group", F.col("own").alias("first"), F.col("own_2").alias("second"))
+        .distinct()
+    )
+
+
 def block_links(sets: DataFrame, groups: DataFrame, block: int = BLOCK, counted: bool = False) -> DataFrame:
     """Links (a, b) between classes of one candidate group. ``groups`` holds (class, group).
     When ``counted``, ``sets`` has the number of ``copies`` of each class, and rows without b
     tell how many rows a class links with in a task (links; null in the rows of links).
 
-    A group of several blocks has one task per pair of blocks; a set goes to the pairs of its
-    block. Small groups share tasks.
+    A group of several blocks has one task per pair of blocks that may hold a link; a set goes to
+    the pairs of its block. Small groups share tasks.
     """
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    n_small = sizes.filter(F.col("size") <= block).agg(F.sum("size")).first()[0] or 0
-    shared_units = max(1, n_small // block)
-    dealt = (
-        groups.join(sizes, "group")
-        .withColumn("blocks", F.ceil(F.col("size") / block))
-        .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
-        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    )
-    single = F.col("blocks") == 1
-    units = dealt.select(
+    small = F.col("size") <= block
+    n_small, n_large = sizes.agg(F.sum(F.when(small, F.col("size"))), F.count(F.when(~small, 1))).first()
+    shared_units = max(1, (n_small or 0) // block)
+    sized = groups.join(sizes, "group")
+    alone = F.lit(-1).cast("bigint")
+    units = sized.filter(small).select(
         "class",
         "group",
-        F.col("own").alias("side"),
-        F.when(single, F.pmod(F.xxhash64("group"), F.lit(shared_units))).otherwise(F.col("group")).alias("unit"),
-        F.when(single, F.lit(-1)).otherwise(F.least("own", "with")).cast("bigint").alias("first"),
-        F.when(single, F.lit(-1)).otherwise(F.greatest("own", "with")).cast("bigint").alias("second"),
+        alone.alias("side"),
+        F.pmod(F.xxhash64("group"), F.lit(shared_units)).alias("unit"),
+        alone.alias("first"),
+        alone.alias("second"),
     )
+    if n_large:
+        units = units.unionByName(paired_blocks(sets, sized.filter(~small).select("class", "group"), block))
     copies = F.col("copies") if counted else F.lit(1).cast("bigint").alias("copies")
     rows = units.join(sets.select("class", "tokens", copies), "class")
 

@@ -11,7 +11,9 @@ from roostline.llm.signature_trees import (
     least_overlap,
     needed_shared,
     op8_ngram_jaccard_join,
+    paired_blocks,
     prefix_size,
+    similar,
     similar_groups,
     tree_links,
 )
@@ -99,6 +101,32 @@ def test_components_equal_a_plain_join(documents, seed, block):
     assert found(similar_groups(documents(rows), block)) == plain(rows)
 
 
+def test_pairs_of_blocks_that_cannot_link_go_before_sets_move(spark):
+    rng = np.random.default_rng(11)
+    sets = []
+    for family in range(12):
+        base = rng.integers(0, 2**63, 20 + 15 * family, np.uint64)
+        for _ in range(8):
+            edited = base.copy()
+            some = rng.integers(0, len(base), rng.integers(0, 4))
+            edited[some] = rng.integers(0, 2**63, len(some), np.uint64)
+            sets.append(np.unique(edited))
+    rows = [(k, len(x), [int(v) for v in x.view(np.int64)]) for k, x in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "class bigint, n bigint, tokens array<bigint>")
+    members = frame.selectExpr("class", "cast(7 as bigint) as group")
+    units = [tuple(r) for r in paired_blocks(frame, members, 8).select("class", "side", "first", "second").collect()]
+    side = {c: s for c, s, _, _ in units}
+    pairs = {(a, b) for _, _, a, b in units}
+    assert set(side) == set(range(len(sets)))
+    assert all(side[c] in (a, b) for c, _, a, b in units) and len(units) == len(set(units))
+    for i in range(len(sets)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                assert tuple(sorted((side[i], side[j]))) in pairs
+    every = len(set(side.values()))
+    assert len(pairs) < every * (every + 1) // 4
+
+
 def test_empty_table(documents):
     assert similar_groups(documents([(1, "x")]).filter("doc_id = 2")).collect() == []
 
