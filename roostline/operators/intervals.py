@@ -43,7 +43,7 @@ def as_of_join(
     months of an entity, and the periods that start inside it. The join is an equality on entity
     and month, so a fact is compared with the periods of its month, at most one per day and
     one more, however many versions the entity has; and an entity that holds most of the facts
-    is spread over its months.
+    is spread over its months. Facts are never broadcast, however small Spark takes them to be.
     """
     date = facts[at] if isinstance(at, str) else at
     dated = facts.withColumn("__at", date).withColumn("__month", F.trunc("__at", "month"))
@@ -79,7 +79,8 @@ def as_of_join(
         & (dated["__at"] >= dealt["valid_from"])
         & (dated["__at"] <= dealt["valid_to"])
     )
-    return dated.join(dealt, covered, how).drop(
+    # Spark takes written out rows for as few as they were before, and would broadcast the facts.
+    return dated.hint("merge").join(dealt, covered, how).drop(
         "__key", "__of", "__at", "__month", "valid_from", "valid_to"
     )
 

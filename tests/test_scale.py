@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from roostline.operators import as_of_join
 from roostline.plans import facts, intermediate
 from roostline.plans.pipeline import Lineage
 from tests.lodging import changes, listings, small_sources
@@ -140,3 +141,18 @@ def test_a_night_with_most_reviews_is_spread(spark, hot, monkeypatch):
     fact = run.fct_daily("fanout").filter("listing_id = 7")
     assert fact.count() == 119 + 3000
     assert fact.filter("daily_review_score = 4").count() == 3000
+
+
+def test_facts_that_spark_takes_for_few_are_not_broadcast(spark):
+    # One row by its estimate, ten thousand when written out.
+    nights = spark.range(1).select(
+        F.lit(1).alias("listing_id"),
+        F.explode(F.expr("sequence(DATE'1990-01-01', DATE'2017-05-18')")).alias("date"),
+    )
+    period = spark.createDataFrame(
+        [(1, "a")], "listing_id int, name string"
+    ).selectExpr("*", "DATE'0001-01-01' AS valid_from", "DATE'9999-12-31' AS valid_to")
+    joined = as_of_join(nights, period, "listing_id", "date")
+    assert joined.count() == 10_000
+    plan = final_plan(joined)
+    assert "SortMergeJoin" in plan and not re.search("BroadcastHashJoin.*BuildLeft", plan)
