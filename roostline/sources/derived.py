@@ -80,17 +80,33 @@ def listings(tables: Tables) -> DataFrame:
 def calendar(tables: Tables) -> DataFrame:
     reserved = (
         tables("lineitem")
-        .filter("l_returnflag <> 'R'")
+        .filter("l_returnflag <> 'R' AND l_shipdate IS NOT NULL")
         .selectExpr("l_suppkey AS k", f"{SHIP_DAY} AS day", "l_orderkey")
         .groupBy("k", "day")
         .agg(F.min("l_orderkey").alias("reservation_id"))
     )
+    # Nights meet their reservations as whole months, at most 31 to a row, and are written out
+    # after that: neither one task nor an exchange has a row per night.
+    taken = reserved.groupBy("k", F.trunc("day", "month").alias("month")).agg(
+        F.map_from_entries(F.collect_list(F.struct("day", "reservation_id"))).alias("taken")
+    )
     days = tables("lineitem").selectExpr(f"{SHIP_DAY} AS day")
     first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
-    nights = tables("supplier").select(
-        F.col("s_suppkey").alias("k"), F.explode(F.sequence(first, last)).alias("day")
+    # A given number of tasks: by their bytes, the suppliers would be put together in one.
+    tasks = int(reserved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    month = F.make_ym_interval(months=F.lit(1))
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), month)
+    listed = (
+        tables("supplier")
+        .select(F.col("s_suppkey").alias("k"))
+        .repartition(tasks)
+        .select("k", F.explode(months).alias("month"))
+    )
+    in_month = F.sequence(F.greatest("month", first), F.least(F.last_day("month"), last))
+    nights = listed.join(taken, ["k", "month"], "left").select(
+        "k", "taken", F.explode(in_month).alias("day")
     )
-    return nights.join(reserved, ["k", "day"], "left").selectExpr(
+    return nights.withColumn("reservation_id", F.col("taken")[F.col("day")]).selectExpr(
         "k AS listing_id",
         "day AS date",
         "if(reservation_id IS NULL AND (k * 7 + dayofyear(day)) % 11 <> 0, 't', 'f')"

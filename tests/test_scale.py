@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roostline.operators import as_of_join
 from roostline.plans import facts, intermediate
 from roostline.plans.pipeline import Lineage
+from roostline.sources.derived import derived_sources
 from tests.lodging import changes, listings, small_sources
 
 # Sizes at which the tiny tables of this test count as large and skewed.
@@ -156,3 +157,12 @@ def test_facts_that_spark_takes_for_few_are_not_broadcast(spark):
     assert joined.count() == 10_000
     plan = final_plan(joined)
     assert "SortMergeJoin" in plan and not re.search("BroadcastHashJoin.*BuildLeft", plan)
+
+
+def test_derived_nights_are_written_out_after_their_reservations_are_found(spark):
+    nights = derived_sources(spark, "/root/testdata/sf0.001").calendar
+    plan = nights._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    days = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    # Neither the join nor the dealing of suppliers has a row per night.
+    assert days < join < next(i for i, line in enumerate(plan) if "Repartition" in line)
