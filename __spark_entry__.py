@@ -27,7 +27,7 @@ from roostline.plans.pipeline import DAILY, LISTING_MONTHS, NEIGHBORHOOD_MONTHS,
 from roostline.plans.views import create_views, register_sources
 from roostline.plans.vocabulary import refresh_vocabulary
 from roostline.quality import refresh_decision, run_checks, schema_drift, source_freshness, verdict
-from roostline.session import scratch_dir, tune
+from roostline.session import scratch_dir, staged, tune
 from roostline.sinks import NAMESPACES, Warehouse
 from roostline.sinks.tables import AUDIT_COLUMN
 from roostline.sources.derived import AS_OF, derived_sources
@@ -78,6 +78,13 @@ def _lineage(spark: SparkSession, sf_dir: str) -> Lineage:
     return Lineage(derived_sources(tune(spark), sf_dir))
 
 
+def _stored_lineage(spark: SparkSession, sf_dir: str) -> Lineage:
+    """The lineage of sources that are written once, as a daily run finds them: for queries that
+    read them in many places, each of which would derive them again, in its plan and its tasks."""
+    sources = _lineage(spark, sf_dir).sources
+    return Lineage(sources.replacing(**{name: staged(df, name)[0] for name, df in sources.items()}))
+
+
 def stg_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _lineage(spark, sf_dir)
     return widen(run.listings, run.listing_amenity_names())
@@ -255,7 +262,7 @@ def _without_amenity(run: Lineage, name: str) -> Lineage:
 
 def fct_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load, then an upsert of the reprocess window: equals the full load."""
-    run = _lineage(spark, sf_dir)
+    run = _stored_lineage(spark, sf_dir)
     warehouse = Warehouse(spark, scratch_dir(spark, "incremental"))
     load_daily(spark, _first_load(run), warehouse, AS_OF, "full_refresh")
     return load_daily(spark, run, warehouse, AS_OF, "incremental")
@@ -263,7 +270,7 @@ def fct_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fct_daily_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An amenity that appears after the first load: NULL in rows that load left alone."""
-    run = _lineage(spark, sf_dir)
+    run = _stored_lineage(spark, sf_dir)
     warehouse = Warehouse(spark, scratch_dir(spark, "growth"))
     first = _without_amenity(_first_load(run), LATER_AMENITY)
     load_daily(spark, first, warehouse, AS_OF, "full_refresh")
@@ -272,7 +279,7 @@ def fct_daily_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nights of a published fact by the time of the load that wrote them."""
-    run = _lineage(spark, sf_dir)
+    run = _stored_lineage(spark, sf_dir)
     warehouse = Warehouse(spark, scratch_dir(spark, "audit"))
     load_daily(spark, _first_load(run), warehouse, "2022-07-01 06:00:00", "full_refresh")
     loaded = load_daily(spark, run, warehouse, AS_OF, "incremental")
@@ -341,7 +348,7 @@ def gate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _stored_lineage(spark, sf_dir)
     hosts = intermediate.hosts_history(run.listings)
     daily = run.fct_daily("fanout")
     tables = {

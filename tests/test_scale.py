@@ -166,3 +166,11 @@ def test_derived_nights_are_written_out_after_their_reservations_are_found(spark
     join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
     # Neither the join nor the dealing of suppliers has a row per night.
     assert days < join < next(i for i, line in enumerate(plan) if "Repartition" in line)
+
+
+def test_a_query_of_many_passes_derives_its_sources_once(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.dq_results(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    # Each place where a source is read would hold the order lines it is derived from.
+    assert "l_suppkey" not in plan.optimizedPlan().toString()
