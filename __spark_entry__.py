@@ -75,7 +75,9 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _lineage(spark: SparkSession, sf_dir: str) -> Lineage:
-    return Lineage(derived_sources(tune(spark), sf_dir))
+    """The lineage of the derived sources. Their calendar has a night of a listing once, so spans
+    need no count of copies; were there copies, the plain row number would still place them."""
+    return Lineage(derived_sources(tune(spark), sf_dir), unique_days=True)
 
 
 def _stored_lineage(spark: SparkSession, sf_dir: str) -> Lineage:

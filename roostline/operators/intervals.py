@@ -34,7 +34,12 @@ def scd2_intervals(changes: DataFrame, key: str, changed_on: str) -> DataFrame:
 
 
 def as_of_join(
-    facts: DataFrame, periods: DataFrame, key: str, at: str | Column, how: str = "inner"
+    facts: DataFrame,
+    periods: DataFrame,
+    key: str,
+    at: str | Column,
+    how: str = "inner",
+    month: Column | None = None,
 ) -> DataFrame:
     """Join each fact row to the period of its entity that covers the date ``at``.
 
@@ -44,9 +49,12 @@ def as_of_join(
     and month, so a fact is compared with the periods of its month, at most one per day and
     one more, however many versions the entity has; and an entity that holds most of the facts
     is spread over its months. Facts are never broadcast, however small Spark takes them to be.
+    Facts that have the first day of the month of ``at`` in a column give it as ``month``: those
+    that are dealt by entity and month already stay where they are.
     """
     date = facts[at] if isinstance(at, str) else at
-    dated = facts.withColumn("__at", date).withColumn("__month", F.trunc("__at", "month"))
+    of = F.trunc("__at", "month") if month is None else month
+    dated = facts.withColumn("__at", date).withColumn("__month", of)
     others = [c for c in periods.columns if c != key]
     known = periods.filter(F.col("valid_to") >= F.col("valid_from")).select(
         F.col(key).alias("__key"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("__period")
@@ -139,6 +147,8 @@ def islands(
     carried: Sequence[str],
     measures: Sequence[Column],
     unique_days: bool = False,
+    month: str | None = None,
+    merged: Sequence[Column] = (),
 ) -> DataFrame:
     """Group consecutive days of an entity into spans.
 
@@ -148,8 +158,39 @@ def islands(
     Copies of a day are counted before the window, so an entity with many copies shuffles
     as few rows as any other, and written out in bounded pieces after it. Pass ``unique_days=True`` when (key, day) is known to be
     unique: it saves that exchange.
+
+    Unique days may name the column that holds the first day of their ``month``. They are then
+    numbered within their month, and only the runs of a month meet those of other months: their
+    group moves by the days of the months before. ``merged`` makes the measures of a span from
+    those of its runs. Neither a task nor a window holds all days of an entity, and days that are
+    dealt by entity and month already stay where they are.
     """
     order = [F.col(day), *[F.col(c) for c in carried]]
+    if unique_days and month is not None:
+        position = F.row_number().over(Window.partitionBy(key, month).orderBy(*order))
+        runs = (
+            days.select(key, month, day, *carried, position.alias("__position"))
+            .withColumn("__group", F.date_sub(day, F.col("__position")))
+            .groupBy(key, month, "__group")
+            .agg(
+                F.min(day).alias("__start"),
+                F.max(day).alias("__end"),
+                F.count(F.lit(1)).alias("__days"),
+                *measures,
+            )
+        )
+        upto = F.sum("__days").over(Window.partitionBy(key).orderBy(month))
+        before = upto - F.sum("__days").over(Window.partitionBy(key, month))
+        return (
+            runs.withColumn("span_group", F.date_sub("__group", before.cast("int")))
+            .groupBy(key, "span_group")
+            .agg(
+                F.min("__start").alias("span_start_date"),
+                F.max("__end").alias("span_end_date"),
+                F.sum("__days").alias("consecutive_available_days"),
+                *merged,
+            )
+        )
     if unique_days:
         position = F.row_number().over(Window.partitionBy(key).orderBy(*order))
         placed = days.select(key, day, *carried, position.alias("__position"))

@@ -128,17 +128,31 @@ def listing_price_changes(
             & (F.col("adjusted_price") > 0)
         )
 
-    def mean_price(anchor: datetime.date) -> Column:
-        price = F.when(in_window(anchor), F.col("adjusted_price"))
-        return (F.sum(price) / F.nullif(F.count(price), F.lit(0))).cast("decimal(18,8)")
+    def price(anchor: datetime.date) -> Column:
+        return F.when(in_window(anchor), F.col("adjusted_price"))
 
-    prices = fact.groupBy("listing_id").agg(
-        mean_price(earlier).alias("price_before"), mean_price(later).alias("price_after")
+    # One pass over the nights: a listing and neighborhood each, few rows for the window.
+    places = fact.groupBy("listing_id", "neighborhood").agg(
+        F.sum(price(earlier)).alias("sum_before"),
+        F.count(price(earlier)).alias("nights_before"),
+        F.sum(price(later)).alias("sum_after"),
+        F.count(price(later)).alias("nights_after"),
     )
-    places = fact.filter(F.col("neighborhood").isNotNull()).select("listing_id", "neighborhood")
+    listing = Window.partitionBy("listing_id")
+
+    def mean_price(total: str, nights: str) -> Column:
+        # The type of a single sum: the quotient keeps its digits.
+        whole = F.sum(total).over(listing).cast(places.schema[total].dataType)
+        return (whole / F.nullif(F.sum(nights).over(listing), F.lit(0))).cast("decimal(18,8)")
+
     return (
-        places.distinct()
-        .join(prices, "listing_id")
+        places.select(
+            "listing_id",
+            "neighborhood",
+            mean_price("sum_before", "nights_before").alias("price_before"),
+            mean_price("sum_after", "nights_after").alias("price_after"),
+        )
+        .filter(F.col("neighborhood").isNotNull())
         .withColumn("difference", F.col("price_after") - F.col("price_before"))
     )
 

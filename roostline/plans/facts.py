@@ -67,9 +67,15 @@ ROOM_TYPES = {
 
 
 def _with_reviews(calendar: DataFrame, reviews: DataFrame, mode: str) -> DataFrame:
-    keys = ["listing_id", "calendar_date"]
+    # The month follows from the date; with it among the keys, nights that are dealt by listing
+    # and month stay where they are, in this join and in that of the listing periods.
+    keys = ["listing_id", "calendar_month", "calendar_date"]
     dated = reviews.select(
-        "listing_id", F.col("review_date").alias("calendar_date"), "review_score", "review_id"
+        "listing_id",
+        F.trunc("review_date", "month").alias("calendar_month"),
+        F.col("review_date").alias("calendar_date"),
+        "review_score",
+        "review_id",
     )
     if mode == "fanout":
         joined = left_join_hot_right(calendar, dated, keys)

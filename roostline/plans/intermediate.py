@@ -61,6 +61,11 @@ def availability_spans(
             F.min(F.nullif(F.col("maximum_nights"), F.lit(0))).alias("max_nights_allowed"),
         ],
         unique_days=unique_days,
+        month="calendar_month",
+        merged=[
+            F.max("min_nights_required").alias("min_nights_required"),
+            F.min("max_nights_allowed").alias("max_nights_allowed"),
+        ],
     ).drop("span_group")
     length = F.col("consecutive_available_days")
     bookable = F.coalesce(length >= F.col("min_nights_required"), F.lit(True))
@@ -95,8 +100,9 @@ def with_listing_periods(
     if vocabulary is not None:
         periods = widen(periods, vocabulary)
     # A night without a date is in no known period: it takes the listing's own amenities.
-    night = F.coalesce("calendar_date", F.lit("0001-01-01").cast("date"))
-    return as_of_join(calendar, periods, "listing_id", night)
+    beginning = F.lit("0001-01-01").cast("date")
+    night, month = F.coalesce("calendar_date", beginning), F.coalesce("calendar_month", beginning)
+    return as_of_join(calendar, periods, "listing_id", night, month=month)
 
 
 def calendar_enriched(

@@ -63,7 +63,10 @@ def stg_listings(
 
 
 def stg_calendar(calendar: DataFrame) -> DataFrame:
-    """One row per listing and date with flags and date parts."""
+    """One row per listing and date with flags and date parts. A calendar that is stored or dealt
+    by month has its ``calendar_month`` already."""
+    known = "calendar_month" in calendar.columns
+    month = F.col("calendar_month") if known else F.trunc("date", "month")
     return calendar.select(
         "listing_id",
         F.col("date").alias("calendar_date"),
@@ -75,7 +78,7 @@ def stg_calendar(calendar: DataFrame) -> DataFrame:
         F.col("price").alias("daily_price"),
         "minimum_nights",
         "maximum_nights",
-        F.trunc("date", "month").alias("calendar_month"),
+        month.alias("calendar_month"),
         F.trunc("date", "year").alias("calendar_year"),
         weekday("date").alias("day_of_week"),
         is_weekend("date").alias("is_weekend"),

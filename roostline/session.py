@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot listing even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that are dealt by listing and month already also meet by listing, month and date.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

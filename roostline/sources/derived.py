@@ -92,7 +92,9 @@ def calendar(tables: Tables) -> DataFrame:
     )
     days = tables("lineitem").selectExpr(f"{SHIP_DAY} AS day")
     first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
-    # A given number of tasks: by their bytes, the suppliers would be put together in one.
+    # A given number of tasks, before and after their months are written out: by their bytes, the
+    # suppliers would be put together in one, and the months in few. Nights keep that dealing, by
+    # listing and month, for all joins on both.
     tasks = int(reserved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     month = F.make_ym_interval(months=F.lit(1))
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), month)
@@ -101,10 +103,11 @@ def calendar(tables: Tables) -> DataFrame:
         .select(F.col("s_suppkey").alias("k"))
         .repartition(tasks)
         .select("k", F.explode(months).alias("month"))
+        .repartition(tasks, "k", "month")
     )
     in_month = F.sequence(F.greatest("month", first), F.least(F.last_day("month"), last))
     nights = listed.join(taken, ["k", "month"], "left").select(
-        "k", "taken", F.explode(in_month).alias("day")
+        "k", "month", "taken", F.explode(in_month).alias("day")
     )
     return nights.withColumn("reservation_id", F.col("taken")[F.col("day")]).selectExpr(
         "k AS listing_id",
@@ -118,6 +121,7 @@ def calendar(tables: Tables) -> DataFrame:
         # Some nights were loaded again shortly before the sources are looked at.
         f"if((k * 31 + dayofyear(day)) % 97 = 0, TIMESTAMP '{AS_OF}' - INTERVAL 5 HOURS,"
         " CAST(day AS TIMESTAMP) + INTERVAL 25 HOURS) AS _loaded_at",
+        "month AS calendar_month",
     )
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -245,3 +246,26 @@ def test_dense_rank_of_many_values_in_many_tasks(spark):
         F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))).alias("nr_in_g"),
     )
     assert got.select(want.columns).exceptAll(want.withColumns({c: F.col(c).cast("long") for c in want.columns})).count() == 0
+
+
+def test_runs_of_months_make_the_spans_of_whole_listings(spark, rows):
+    # Few days, repeated ones, days without a date, runs across months and years.
+    days = spark.range(6000).select(
+        (F.col("id") % 7).alias("id"),
+        F.expr("if(id % 211 = 0, NULL, date_add(DATE'2021-11-01', int(hash(id) % 200)))").alias("day"),
+        (F.col("id") % 3).cast("int").alias("low"),
+        (F.col("id") % 5).cast("int").alias("high"),
+    )
+    days = days.filter("id = 3 OR hash(day, id) % 4 <> 0").withColumn("month", F.trunc("day", "month"))
+    measures = [F.max("low").alias("m"), F.min("high").alias("h")]
+    carried = ["low", "high"]
+    plain = islands(days, "id", "day", carried, measures, True)
+    merged = [F.max("m").alias("m"), F.min("h").alias("h")]
+    got = islands(days, "id", "day", carried, measures, True, "month", merged)
+    assert rows(got) == rows(plain) == rows(islands(days, "id", "day", carried, measures))
+    assert got.columns == plain.columns
+    distinct = days.dropDuplicates(["id", "day"])
+    found = rows(islands(distinct, "id", "day", carried, measures, True, "month", merged))
+    assert found == rows(islands(distinct, "id", "day", carried, measures)) and len(found) > 100
+    windows = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number()" in windows and re.search(r"row_number\(\).*\[id#\d+L, month#\d+\]", windows)

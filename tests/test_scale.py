@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from roostline.operators import as_of_join
-from roostline.plans import facts, intermediate
+from roostline.plans import analyses, facts, intermediate
 from roostline.plans.pipeline import Lineage
+from roostline.session import tune
 from roostline.sources.derived import derived_sources
 from tests.lodging import changes, listings, small_sources
 
@@ -174,3 +175,31 @@ def test_a_query_of_many_passes_derives_its_sources_once(spark):
     plan = entry.dq_results(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     # Each place where a source is read would hold the order lines it is derived from.
     assert "l_suppkey" not in plan.optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("reviews", ["fanout", "aggregate"])
+def test_nights_dealt_by_month_stay_where_they_are(spark, reviews):
+    tune(spark)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        fact = Lineage(derived_sources(spark, "/root/testdata/sf0.001")).fct_daily(reviews)
+        plan = fact.select("listing_id", "review_id", "listing_name")._jdf.queryExecution()
+        lines = plan.executedPlan().toString().splitlines()
+    days = next(i for i, line in enumerate(lines) if "Generate explode(sequence(greatest" in line)
+    # Outside the plan of the nights no exchange deals a row per night: those above them would be
+    # ancestors, with less indentation.
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    above, least = [], depth[days]
+    for i in range(days, -1, -1):
+        if depth[i] < least:
+            above.append(lines[i])
+            least = depth[i]
+    assert above and not any("Exchange" in line for line in above)
+
+
+def test_price_changes_take_one_pass(spark):
+    fact = spark.range(100).selectExpr(
+        "id % 9 AS listing_id", "if(id % 4 = 0, NULL, string(id % 2)) AS neighborhood",
+        "date_add(DATE'2021-07-12', int(id % 3)) AS calendar_date", "decimal(id) AS adjusted_price",
+    )
+    plan = analyses.listing_price_changes(fact)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
