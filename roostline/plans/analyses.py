@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from roostline.functions import amenity_flag, ratio, resolve_alias, round_half_up, sample_stddev
 from roostline.operators import dense_rank_by_value
+from roostline.session import staged
 
 # Accepted spellings of the amenities, in order of preference.
 AIR_CONDITIONING = ("Air conditioning", "AC", "A/C", "Air Conditioning")
@@ -290,12 +291,19 @@ def _with_dimensions(
 
 
 def max_stay(spans: DataFrame, dim_listings: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """The longest bookable stay of each listing, ranked overall and per neighborhood."""
-    stays = _with_dimensions(
-        _longest_stays(spans),
-        dim_listings,
-        dim_date,
-        {"season": "best_span_season", "is_peak_season": "best_span_in_peak_season"},
+    """The longest bookable stay of each listing, ranked overall and per neighborhood.
+
+    The stays, one row per listing, are written once: the ranks read them three times, and each
+    would run over all nights again.
+    """
+    stays, _ = staged(
+        _with_dimensions(
+            _longest_stays(spans),
+            dim_listings,
+            dim_date,
+            {"season": "best_span_season", "is_peak_season": "best_span_in_peak_season"},
+        ),
+        "stays",
     )
     ranked = dense_rank_by_value(
         stays,
@@ -344,11 +352,16 @@ def max_stay_with_amenities(
     qualified = F.lit(True)
     for name in names:
         qualified = qualified & (F.lit(False) if name is None else amenity_flag(spans, name))
-    # One aggregate per listing serves both: the overall maximum and the qualified listings.
-    longest_of_all = _longest_stays(spans.withColumn("__qualified", qualified), "__qualified")
+    # One aggregate per listing, written once, serves the overall maximum, the qualified listings
+    # and their ranks.
+    longest_of_all, _ = staged(
+        _longest_stays(spans.withColumn("__qualified", qualified), "__qualified"), "stays"
+    )
     overall = longest_of_all.agg(F.max("max_possible_stay_nights"))
+    qualified_stays = longest_of_all.filter("__qualified").drop("__qualified")
+    # The ranks need no dimension: it joins last, once.
     stays = _with_dimensions(
-        longest_of_all.filter("__qualified").drop("__qualified"),
+        dense_rank_by_value(qualified_stays, "max_possible_stay_nights", "stay_rank"),
         dim_listings,
         dim_date,
         {"season": "best_span_season", "month_name": "best_span_month"},
@@ -365,8 +378,7 @@ def max_stay_with_amenities(
         F.lit(" nights"),
     )
     return (
-        dense_rank_by_value(stays, "max_possible_stay_nights", "stay_rank")
-        .withColumn("global_max_stay", overall.scalar())
+        stays.withColumn("global_max_stay", overall.scalar())
         .withColumn("days_shorter_than_max", nights - longest)
         .select(
             "listing_id",

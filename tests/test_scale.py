@@ -177,6 +177,15 @@ def test_a_query_of_many_passes_derives_its_sources_once(spark):
     assert "l_suppkey" not in plan.optimizedPlan().toString()
 
 
+def test_the_stays_are_made_once(spark):
+    import __spark_entry__ as entry
+
+    for query in (entry.max_stay, entry.max_stay_lockbox_firstaid):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        # The ranks and the overall maximum read the written stays, not the nights.
+        assert "Generate explode(sequence(greatest(" not in plan.optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("reviews", ["fanout", "aggregate"])
 def test_nights_dealt_by_month_stay_where_they_are(spark, reviews):
     tune(spark)
