@@ -179,6 +179,10 @@ def islands(
                 *measures,
             )
         )
+        # A given number of tasks: by their bytes, runs would be put together in few tasks, whose
+        # windows and groups need far more memory than that.
+        tasks = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        runs = runs.repartition(tasks, key)
         upto = F.sum("__days").over(Window.partitionBy(key).orderBy(month))
         before = upto - F.sum("__days").over(Window.partitionBy(key, month))
         return (

@@ -268,4 +268,6 @@ def test_runs_of_months_make_the_spans_of_whole_listings(spark, rows):
     found = rows(islands(distinct, "id", "day", carried, measures, True, "month", merged))
     assert found == rows(islands(distinct, "id", "day", carried, measures)) and len(found) > 100
     windows = got._jdf.queryExecution().optimizedPlan().toString()
+    # Runs are dealt to a given number of tasks, which adaptive execution does not put together.
+    assert re.search(r"RepartitionByExpression \[id#\d+L\], 4", windows)
     assert "row_number()" in windows and re.search(r"row_number\(\).*\[id#\d+L, month#\d+\]", windows)
