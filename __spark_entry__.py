@@ -316,10 +316,16 @@ def decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched calendar and the spans of a fresh session, read through catalog views."""
-    run = _lineage(spark, sf_dir)
+    derived = _lineage(spark, sf_dir).sources
     root = scratch_dir(spark, "sources")
-    for name, df in run.sources.items():
+    for name, df in derived.items():
         df.write.parquet(f"{root}/{name}")
+    # Names come from what is written, not from a second derivation.
+    run = Lineage(
+        derived.replacing(
+            **{name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in derived.items()}
+        )
+    )
     mark = uuid.uuid4().hex[:8]
     routes = {layer: f"{name}_{mark}" for layer, name in NAMESPACES.items()}
     register_sources(spark, root, f"raw_{mark}")

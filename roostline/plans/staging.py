@@ -70,9 +70,11 @@ def stg_calendar(calendar: DataFrame) -> DataFrame:
     return calendar.select(
         "listing_id",
         F.col("date").alias("calendar_date"),
-        F.coalesce(F.lower("available").isin(*AVAILABLE_TEXTS), F.lit(False)).alias(
-            "is_available"
-        ),
+        # Most texts are in lower case already.
+        F.coalesce(
+            F.col("available").isin(*AVAILABLE_TEXTS) | F.lower("available").isin(*AVAILABLE_TEXTS),
+            F.lit(False),
+        ).alias("is_available"),
         "reservation_id",
         F.col("reservation_id").isNotNull().alias("is_reserved"),
         F.col("price").alias("daily_price"),

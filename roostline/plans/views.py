@@ -73,7 +73,7 @@ def view_texts(
         f"{staging}.stg_listings": f"SELECT {listing_columns}, {_flags(listing_names)} FROM {listing_sets}",
         calendar: f"""
             SELECT listing_id, date AS calendar_date,
-                coalesce(lower(available) IN ({available}), FALSE) AS is_available,
+                coalesce(available IN ({available}) OR lower(available) IN ({available}), FALSE) AS is_available,
                 reservation_id, reservation_id IS NOT NULL AS is_reserved, price AS daily_price,
                 minimum_nights, maximum_nights, trunc(date, 'month') AS calendar_month,
                 trunc(date, 'year') AS calendar_year, dayofweek(date) - 1 AS day_of_week,

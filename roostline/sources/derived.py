@@ -20,10 +20,16 @@ SHIFT_DAYS = 9131
 # The moment the sources are looked at.
 AS_OF = "2022-08-01 06:00:00"
 
-# One name carries a blank that staging has to trim.
-AMENITY = """CASE p_type WHEN 'ECONOMY' THEN 'Air conditioning' WHEN 'SMALL' THEN 'Lockbox'
-    WHEN 'MEDIUM' THEN 'First aid kit' WHEN 'PROMO' THEN 'Wifi' WHEN 'STANDARD' THEN 'Kitchen'
-    ELSE ' Pool' END"""
+# The amenity of a part by its type, any other type being the first of these, in the order of
+# their names. One name carries a blank that staging has to trim.
+AMENITIES = {
+    None: " Pool",
+    "ECONOMY": "Air conditioning",
+    "MEDIUM": "First aid kit",
+    "STANDARD": "Kitchen",
+    "SMALL": "Lockbox",
+    "PROMO": "Wifi",
+}
 SHIP_DAY = f"date_add(CAST(l_shipdate AS DATE), {SHIFT_DAYS})"
 
 # Opens one of the given tables.
@@ -31,15 +37,33 @@ Tables = Callable[[str], DataFrame]
 
 
 def _amenity_lists(tables: Tables, **keys: str) -> DataFrame:
-    """Per key the JSON list of the names that are kept, from all lines; none gives '[]'."""
-    lines = tables("lineitem")
-    named = lines.join(tables("part"), lines["l_partkey"] == tables("part")["p_partkey"])
-    grouping = [F.expr(value).alias(name) for name, value in keys.items()]
-    counted = named.groupBy(*grouping, F.expr(AMENITY).alias("amenity")).agg(
-        F.sum("l_linenumber").alias("numbers")
+    """Per key the JSON list of the names that are kept, from all lines; none gives '[]'.
+
+    A name is a bit: a key's lines are grouped once, into the names that they have and the names
+    whose line numbers add up to an odd number.
+    """
+    place = F.lit(1)
+    for n, kind in enumerate(AMENITIES):
+        if kind is not None:
+            place = F.when(F.col("p_type") == kind, F.lit(1 << n)).otherwise(place)
+    parts = tables("part").select("p_partkey", place.alias("place"))
+    # A line without a number adds nothing and has no name.
+    number = F.col("l_linenumber")
+    counted = (
+        tables("lineitem")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(*[F.expr(value).alias(name) for name, value in keys.items()])
+        .agg(
+            F.bit_or(F.when(number.isNotNull(), F.col("place")).otherwise(0)).alias("named"),
+            F.bit_xor(F.when(number % 2 != 0, F.col("place")).otherwise(0)).alias("odd"),
+        )
     )
-    kept = F.when(F.col("numbers") % 2 == 0, F.col("amenity"))
-    return counted.groupBy(*keys).agg(F.to_json(F.sort_array(F.collect_set(kept))).alias("amenities"))
+    kept = F.col("named").bitwiseAND(F.bitwise_not("odd"))
+    names = [
+        F.when(kept.bitwiseAND(F.lit(1 << n)) != 0, F.lit(name))
+        for n, name in enumerate(AMENITIES.values())
+    ]
+    return counted.select(*keys, F.to_json(F.array_compact(F.array(*names))).alias("amenities"))
 
 
 def listings(tables: Tables) -> DataFrame:
@@ -78,24 +102,26 @@ def listings(tables: Tables) -> DataFrame:
 
 
 def calendar(tables: Tables) -> DataFrame:
-    reserved = (
-        tables("lineitem")
-        .filter("l_returnflag <> 'R' AND l_shipdate IS NOT NULL")
+    # A given number of tasks, before and after their months are written out: by their bytes, the
+    # suppliers would be put together in one, and the months in few. Nights keep that dealing, by
+    # listing and month, for all joins on both.
+    lines = tables("lineitem")
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Nights meet their reservations as whole months, at most 31 to a row, and are written out
+    # after that: neither one task nor an exchange has a row per night. Reservations are dealt to
+    # their months once, hardly any two share a night.
+    taken = (
+        lines.filter("l_returnflag <> 'R' AND l_shipdate IS NOT NULL")
         .selectExpr("l_suppkey AS k", f"{SHIP_DAY} AS day", "l_orderkey")
-        .groupBy("k", "day")
+        .withColumn("month", F.trunc("day", "month"))
+        .repartition(tasks, "k", "month")
+        .groupBy("k", "month", "day")
         .agg(F.min("l_orderkey").alias("reservation_id"))
-    )
-    # Nights meet their reservations as whole months, at most 31 to a row, and are written out
-    # after that: neither one task nor an exchange has a row per night.
-    taken = reserved.groupBy("k", F.trunc("day", "month").alias("month")).agg(
-        F.map_from_entries(F.collect_list(F.struct("day", "reservation_id"))).alias("taken")
+        .groupBy("k", "month")
+        .agg(F.map_from_entries(F.collect_list(F.struct("day", "reservation_id"))).alias("taken"))
     )
     days = tables("lineitem").selectExpr(f"{SHIP_DAY} AS day")
     first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
-    # A given number of tasks, before and after their months are written out: by their bytes, the
-    # suppliers would be put together in one, and the months in few. Nights keep that dealing, by
-    # listing and month, for all joins on both.
-    tasks = int(reserved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     month = F.make_ym_interval(months=F.lit(1))
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), month)
     listed = (
@@ -120,7 +146,7 @@ def calendar(tables: Tables) -> DataFrame:
         "int(if(k % 9 = 0, 0, k % 30 + 3)) AS maximum_nights",
         # Some nights were loaded again shortly before the sources are looked at.
         f"if((k * 31 + dayofyear(day)) % 97 = 0, TIMESTAMP '{AS_OF}' - INTERVAL 5 HOURS,"
-        " CAST(day AS TIMESTAMP) + INTERVAL 25 HOURS) AS _loaded_at",
+        " timestamp_seconds(unix_date(day) * 86400L + 25 * 3600)) AS _loaded_at",
         "month AS calendar_month",
     )
 
@@ -141,15 +167,12 @@ def generated_reviews(tables: Tables) -> DataFrame:
 
 
 def amenities_changelog(tables: Tables) -> DataFrame:
-    return (
-        _amenity_lists(
-            tables,
-            listing_id="l_suppkey",
-            change_at=f"CAST(trunc({SHIP_DAY}, 'quarter') AS TIMESTAMP)",
-        )
-        .withColumn(
-            "_loaded_at", F.expr(f"least(change_at, TIMESTAMP '{AS_OF}' - INTERVAL 3 DAYS)")
-        )
+    lists = _amenity_lists(tables, listing_id="l_suppkey", quarter=f"trunc({SHIP_DAY}, 'quarter')")
+    return lists.selectExpr(
+        "listing_id",
+        "CAST(quarter AS TIMESTAMP) AS change_at",
+        "amenities",
+        f"least(CAST(quarter AS TIMESTAMP), TIMESTAMP '{AS_OF}' - INTERVAL 3 DAYS) AS _loaded_at",
     )
 
 
