@@ -80,6 +80,14 @@ def _lineage(spark: SparkSession, sf_dir: str) -> Lineage:
     return Lineage(derived_sources(tune(spark), sf_dir), unique_days=True)
 
 
+def _named_lineage(spark: SparkSession, sf_dir: str) -> Lineage:
+    """The lineage with the amenity log written once: for queries that look names up in it before
+    they can be planned, and read it again after that."""
+    run = _lineage(spark, sf_dir)
+    log, _ = staged(run.sources.amenities_changelog, "amenities_changelog")
+    return Lineage(run.sources.replacing(amenities_changelog=log), unique_days=True)
+
+
 def _stored_lineage(spark: SparkSession, sf_dir: str) -> Lineage:
     """The lineage of sources that are written once, as a daily run finds them: for queries that
     read them in many places, each of which would derive them again, in its plan and its tasks."""
@@ -101,7 +109,7 @@ def stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_amenities_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return widen(run.changelog, run.amenity_names())
 
 
@@ -127,7 +135,7 @@ def listing_amenity_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_amenities_scd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return widen(run.scd, run.amenity_names())
 
 
@@ -137,7 +145,7 @@ def availability_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return intermediate.calendar_enriched(
         run.calendar, run.listings, run.scd, run.amenity_names()
     )
@@ -169,18 +177,18 @@ def dim_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return widen(run.dim_listings(), run.amenity_names())
 
 
 def fct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return run.fct_daily("fanout", run.amenity_names())
 
 
 def fct_daily_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as the daily run publishes it: one row per listing and night."""
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     return run.fct_daily("aggregate", run.amenity_names())
 
 
@@ -193,7 +201,7 @@ def fct_monthly_neighborhood_nightly(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def amenity_revenue_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     known = run.known_names(*analyses.AIR_CONDITIONING)
     return analyses.amenity_revenue(
         run.fct_daily("aggregate"), dimensions.dim_date(spark, TODAY), known
@@ -217,7 +225,7 @@ def fct_monthly_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amenity_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _lineage(spark, sf_dir)
+    run = _named_lineage(spark, sf_dir)
     known = run.known_names(*analyses.AIR_CONDITIONING)
     return analyses.amenity_revenue(
         run.fct_daily("fanout"), dimensions.dim_date(spark, TODAY), known

@@ -35,9 +35,13 @@ def amenity_revenue(
     The month total is a window sum over the few segment rows, not a second pass.
     """
     name = resolve_alias(candidates, vocabulary)
+    # Days with the same texts are known by the first of them: nights are summed up by that date
+    # and get the texts after that.
+    texts = ["calendar_year", "month_name", "quarter_name", "fiscal_year", "season"]
     days = dim_date.select(
-        "date_day", "calendar_year", "month_name", "quarter_name", "fiscal_year", "season"
+        "date_day", *texts, F.min("date_day").over(Window.partitionBy(*texts)).alias("first_day")
     )
+    parts = days.filter(F.col("date_day") == F.col("first_day")).select("first_day", *texts).distinct()
     nights = fact.select(
         "calendar_date",
         "calendar_month",
@@ -46,22 +50,19 @@ def amenity_revenue(
         "is_occupied",
         amenity_flag(fact, name).alias("has_air_conditioning"),
     )
+    dated = nights.join(
+        days.select("date_day", "first_day"), nights["calendar_date"] == days["date_day"]
+    )
     segments = (
-        nights.join(days, nights["calendar_date"] == days["date_day"])
-        .groupBy(
-            "calendar_month",
-            "calendar_year",
-            "month_name",
-            "quarter_name",
-            "fiscal_year",
-            "season",
-            "has_air_conditioning",
-        )
+        dated.groupBy("calendar_month", "first_day", "has_air_conditioning", "listing_id")
+        .agg(F.sum("daily_revenue").alias("revenue"), F.sum("is_occupied").alias("occupied"))
+        .groupBy("calendar_month", "first_day", "has_air_conditioning")
         .agg(
-            F.sum("daily_revenue").cast("decimal(38,2)").alias("total_revenue"),
-            F.count_distinct("listing_id").alias("listing_count"),
-            F.sum("is_occupied").alias("occupied_nights"),
+            F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
+            F.count("listing_id").alias("listing_count"),
+            F.sum("occupied").alias("occupied_nights"),
         )
+        .join(parts, "first_day")
     )
     month = Window.partitionBy("calendar_month")
     same_month = Window.partitionBy("has_air_conditioning", F.month("calendar_month")).orderBy(

@@ -45,6 +45,19 @@ def test_reservations_are_dealt_to_their_months_once(spark):
     assert nights.count("Exchange hashpartitioning") == 2
 
 
+def test_the_log_is_derived_once(spark):
+    """Names are looked up in the written log, and the fact reads it too."""
+    for query in (entry.amenity_revenue, entry.amenity_revenue_nightly):
+        files = query(spark, SF_DIR).inputFiles()
+        assert any("roostline-amenities_changelog" in path for path in files)
+
+
+def test_nights_are_summed_up_without_texts(spark):
+    shown = plan(entry.amenity_revenue_nightly(spark, SF_DIR))
+    by_listing = [line for line in shown.splitlines() if "HashAggregate(keys=" in line and "listing_id" in line]
+    assert by_listing and not any("month_name" in line for line in by_listing)
+
+
 def test_view_names_come_from_the_written_sources(spark, monkeypatch):
     read = []
     names = entry.Lineage.amenity_names
