@@ -47,23 +47,39 @@ class Encoder:
         self.joinable = (
             re.compile(rb"[%s]*[^%s|]+" % (SPACE, SPACE)) if lower else re.compile(rb" ?[^%s]+" % SPACE)
         )
+        # Byte-level tokens show a space as this letter: chunks that begin with their only space
+        # can be joined with nothing between them, and begin at such tokens again.
+        vocab = {} if lower else self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values(), default=-1) + 1, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _cut(self, ids: np.ndarray, starts: list[int], stops: list[int]) -> list[bytes]:
+        raw = ids.tobytes()
+        return list(map(raw.__getitem__, map(slice, starts, stops)))
+
     def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        easy = [c for c in chunks if self.joinable.fullmatch(c)]
         found: dict[bytes, bytes] = {}
+        easy = [c for c in chunks if self.joinable.fullmatch(c)]
+        spaced = [c for c in easy if c.startswith(b" ")] if self.spaced.any() else []
+        for at in range(0, len(spaced), 512):
+            part = spaced[at : at + 512]
+            ids = np.array(self._ids([b"".join(part).decode("utf-8", "surrogatepass")])[0], "<u4")
+            starts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            if len(starts) == len(part):
+                found.update(zip(part, self._cut(ids, starts, [*starts[1:], 4 * len(ids)])))
+        easy = [c for c in easy if c not in found] if found else easy
         for at in range(0, len(easy), 512):
             part = easy[at : at + 512]
             joined = self.between.encode().join(part).decode("utf-8", "surrogatepass")
             ids = np.array(self._ids([joined])[0], "<u4")
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(self.mark) == 1 and len(cuts) == len(part) - 1:
-                raw = ids.tobytes()
                 starts = [0, *(4 * cuts + 4).tolist()]
-                stops = [*(4 * cuts).tolist(), len(raw)]
-                found.update(zip(part, map(raw.__getitem__, map(slice, starts, stops))))
+                stops = [*(4 * cuts).tolist(), 4 * len(ids)]
+                found.update(zip(part, self._cut(ids, starts, stops)))
         rest = [c for c in chunks if c not in found]
         if rest:
             single = self._ids([c.decode("utf-8", "surrogatepass") for c in rest])
