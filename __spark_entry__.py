@@ -208,12 +208,22 @@ def amenity_revenue_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _priced(spark: SparkSession, sf_dir: str, reviews: str) -> dict[str, DataFrame]:
+    """What the price analysis needs of the fact: the nights of its two weeks, and every listing
+    that has a night on any date."""
+    run = _lineage(spark, sf_dir)
+    return {
+        "fact": run.nights_within(analyses.anchor_weeks(), reviews),
+        "located": run.located(),
+    }
+
+
 def neighborhood_pricing_nightly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.neighborhood_pricing(_lineage(spark, sf_dir).fct_daily("aggregate"))
+    return analyses.neighborhood_pricing(**_priced(spark, sf_dir, "aggregate"))
 
 
 def listing_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.listing_price_changes(_lineage(spark, sf_dir).fct_daily("aggregate"))
+    return analyses.listing_price_changes(**_priced(spark, sf_dir, "aggregate"))
 
 
 def fct_monthly_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +243,7 @@ def amenity_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighborhood_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.neighborhood_pricing(_lineage(spark, sf_dir).fct_daily("fanout"))
+    return analyses.neighborhood_pricing(**_priced(spark, sf_dir, "fanout"))
 
 
 def max_stay(spark: SparkSession, sf_dir: str) -> DataFrame:

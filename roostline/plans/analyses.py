@@ -109,11 +109,22 @@ def amenity_revenue(
     )
 
 
+def anchor_weeks(
+    earlier: datetime.date = EARLIER_ANCHOR,
+    later: datetime.date = LATER_ANCHOR,
+    radius: int = ANCHOR_RADIUS,
+) -> list[tuple[datetime.date, datetime.date]]:
+    """First and last days of the weeks around the two anchor dates."""
+    span = datetime.timedelta(days=radius)
+    return [(anchor - span, anchor + span) for anchor in (earlier, later)]
+
+
 def listing_price_changes(
     fact: DataFrame,
     earlier: datetime.date = EARLIER_ANCHOR,
     later: datetime.date = LATER_ANCHOR,
     radius: int = ANCHOR_RADIUS,
+    located: DataFrame | None = None,
 ) -> DataFrame:
     """One row per listing and neighborhood it was ever in, with its mean prices in the weeks
     around two anchor dates: the long form of the price analysis, for publishing.
@@ -121,24 +132,28 @@ def listing_price_changes(
     Both weeks come from one pass: each listing keeps its two conditional price sums. Prices
     belong to the listing, so a listing that moved counts in both neighborhoods. A mean price
     has eight decimals, as a decimal average has in the source dialect.
-    """
 
-    def in_window(anchor: datetime.date) -> Column:
-        span = datetime.timedelta(days=radius)
-        return (
-            F.col("calendar_date").between(F.lit(anchor - span), F.lit(anchor + span))
-            & (F.col("adjusted_price") > 0)
-        )
+    A fact that is not stored need not be made whole for that: nights outside these weeks tell
+    only which listings have nights. With those and their neighborhoods in ``located``, ``fact``
+    may be the nights of :func:`anchor_weeks` alone.
+    """
+    before, after = anchor_weeks(earlier, later, radius)
 
-    def price(anchor: datetime.date) -> Column:
-        return F.when(in_window(anchor), F.col("adjusted_price"))
+    def price(week: tuple[datetime.date, datetime.date]) -> Column:
+        first, last = week
+        in_week = F.col("calendar_date").between(F.lit(first), F.lit(last))
+        return F.when(in_week & (F.col("adjusted_price") > 0), F.col("adjusted_price"))
 
+    if located is not None:
+        fact = fact.select(
+            "listing_id", "neighborhood", "calendar_date", "adjusted_price"
+        ).unionByName(located.select("listing_id", "neighborhood"), allowMissingColumns=True)
     # One pass over the nights: a listing and neighborhood each, few rows for the window.
     places = fact.groupBy("listing_id", "neighborhood").agg(
-        F.sum(price(earlier)).alias("sum_before"),
-        F.count(price(earlier)).alias("nights_before"),
-        F.sum(price(later)).alias("sum_after"),
-        F.count(price(later)).alias("nights_after"),
+        F.sum(price(before)).alias("sum_before"),
+        F.count(price(before)).alias("nights_before"),
+        F.sum(price(after)).alias("sum_after"),
+        F.count(price(after)).alias("nights_after"),
     )
     listing = Window.partitionBy("listing_id")
 
@@ -164,9 +179,11 @@ def neighborhood_pricing(
     earlier: datetime.date = EARLIER_ANCHOR,
     later: datetime.date = LATER_ANCHOR,
     radius: int = ANCHOR_RADIUS,
+    located: DataFrame | None = None,
 ) -> DataFrame:
-    """Average price change per neighborhood between the weeks around two anchor dates."""
-    listings = listing_price_changes(fact, earlier, later, radius)
+    """Average price change per neighborhood between the weeks around two anchor dates. For
+    ``located`` see :func:`listing_price_changes`."""
+    listings = listing_price_changes(fact, earlier, later, radius, located)
     both = F.col("difference").isNotNull()
     missing = F.col("price_before").isNotNull() & F.col("price_after").isNull()
     # The difference as a whole number of its last decimal, for an exact sum of squares.

@@ -104,7 +104,7 @@ def _with_reviews(calendar: DataFrame, reviews: DataFrame, mode: str) -> DataFra
 def fct_daily(
     calendar: DataFrame,
     listings: DataFrame,
-    scd: DataFrame,
+    scd: DataFrame | None,
     stg_reviews: DataFrame,
     reviews: str = "fanout",
     vocabulary: list[str] | None = None,
@@ -118,21 +118,25 @@ def fct_daily(
     comes last, so the result is already partitioned by listing for the monthly rollup.
 
     With a vocabulary the amenities become one boolean column per name, otherwise they stay
-    one array column.
+    one array column. Without a history (``scd=None``) the fact has no amenities: its other columns
+    are those of the listing on every date, so the rows are the same and no periods are made.
     """
-    nights = with_listing_periods(
-        _with_reviews(calendar, stg_reviews, reviews),
-        listings,
-        scd,
-        ENRICHED_ATTRIBUTES,
-        vocabulary,
-    )
+    reviewed = _with_reviews(calendar, stg_reviews, reviews)
+    if scd is None:
+        # Spark takes written out nights for as few as their months, and would broadcast them.
+        known = listings.select("listing_id", *ENRICHED_ATTRIBUTES)
+        nights = reviewed.hint("merge").join(known, "listing_id")
+    else:
+        nights = with_listing_periods(reviewed, listings, scd, ENRICHED_ATTRIBUTES, vocabulary)
     reserved, available = F.col("is_reserved"), F.col("is_available")
     price = F.col("daily_price")
     zero = F.lit(0).cast("decimal(10,2)")
-    amenities = (
-        [F.col("amenities")] if vocabulary is None else [quoted(name) for name in vocabulary]
-    )
+    if scd is None:
+        amenities = []
+    elif vocabulary is None:
+        amenities = [F.col("amenities")]
+    else:
+        amenities = [quoted(name) for name in vocabulary]
     computed = {
         "date_key": date_key("calendar_date"),
         "adjusted_price": price,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.functions import known_names, vocabulary, vocabulary_frame, widen
@@ -104,6 +106,34 @@ class Lineage:
             calendar, self.listings, self.scd, self.reviews, reviews=reviews, vocabulary=names
         )
 
+    def nights_within(
+        self, spans: Sequence[tuple[datetime.date, datetime.date]], reviews: str
+    ) -> DataFrame:
+        """The nights of the fact in these spans of days, without amenities. Nights, their
+        reservations and their reviews are bounded before anything is joined or written out."""
+
+        def within(column: str, whole_months: bool = False) -> Column:
+            return reduce(
+                or_,
+                [
+                    F.col(column).between(F.lit(a.replace(day=1) if whole_months else a), F.lit(b))
+                    for a, b in spans
+                ],
+            )
+
+        nights = self.calendar.filter(within("calendar_date") & within("calendar_month", True))
+        return facts.fct_daily(
+            nights, self.listings, None, self.reviews.filter(within("review_date")), reviews=reviews
+        )
+
+    def located(self) -> DataFrame:
+        """The listings of the fact and their neighborhoods: all that have a night, since periods
+        leave no date of a listing out."""
+        nights = self.calendar.select("listing_id").distinct()
+        return self.listings.select("listing_id", "neighborhood").join(
+            nights, "listing_id", "left_semi"
+        )
+
 
 def _listed(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "amenity_name string")

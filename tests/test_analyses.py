@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roostline.plans import analyses, dimensions
 from roostline.plans.pipeline import Lineage
-from tests.lodging import changes, listings, nights, small_sources, span
+from tests.lodging import changes, listings, nights, reviews, small_sources, span
 
 
 def d(text):
@@ -124,6 +124,55 @@ def test_price_anchors_are_parameters(spark):
     assert row["Avg Price Increase ($)"] == 2.0
 
 
+@pytest.mark.parametrize("reviews_mode", ["fanout", "aggregate"])
+def test_prices_of_the_two_weeks_equal_those_of_the_whole_fact(spark, reviews_mode):
+    weeks = [("2021-07-09", "2021-07-15"), ("2022-07-08", "2022-07-14")]
+    run = Lineage(
+        small_sources(spark).replacing(
+            listings=listings(
+                spark,
+                *[{"id": i, "neighborhood": n} for i, n in enumerate(["Fenway", "Fenway", "Fenway", None, "Back Bay", "Back Bay"])],
+            ),
+            calendar=nights(
+                spark,
+                # Days around the weeks cost more; listing 2 has nights outside them alone.
+                *span(0, "2021-07-01", "2021-07-31", price=100),
+                *[{**n, "price": 500} for n in span(0, "2022-07-01", "2022-07-07")],
+                *span(0, weeks[1][0], "2022-07-13", price=130),
+                {"listing_id": 0, "date": "2022-07-14", "price": 900},
+                *span(1, weeks[0][0], weeks[0][1], price=70),
+                *span(2, "2022-01-01", "2022-01-03"),
+                *span(3, weeks[0][0], weeks[1][1]),
+                # Listing 4 has no night, listing 5 one without a date; 99 is unknown.
+                {"listing_id": 5, "date": None},
+                *span(99, weeks[0][0], weeks[1][1]),
+            ),
+            generated_reviews=reviews(
+                spark,
+                # In the fanout the dear night counts three times.
+                *[{"id": i, "listing_id": 0, "review_date": "2022-07-14"} for i in range(3)],
+                {"id": 9, "listing_id": 0, "review_date": "2022-07-20"},
+                {"id": None, "listing_id": 0, "review_date": None},
+            ),
+            # A change on a day without an hour, inside a week, and an undated one.
+            amenities_changelog=changes(
+                spark,
+                {"listing_id": 0, "change_at": "2022-07-10 00:00:00", "amenities": ["Pool"]},
+                {"listing_id": 1, "change_at": None, "amenities": ["Pool"]},
+            ),
+        )
+    )
+    bounded = {"fact": run.nights_within(analyses.anchor_weeks(), reviews_mode), "located": run.located()}
+    whole = run.fct_daily(reviews_mode)
+    found = analyses.neighborhood_pricing(**bounded).collect()
+    assert found == analyses.neighborhood_pricing(whole).collect()
+    assert [(r["Total Listings"], r["Listing IDs"], r["Listings Missing 2022 Data"]) for r in found] == [(3, "0", "1")]
+    assert found[0]["Avg Price (July 2022)"] == (386.67 if reviews_mode == "fanout" else 240.0)
+    changed = sorted(analyses.listing_price_changes(**bounded).collect())
+    assert changed == sorted(analyses.listing_price_changes(whole).collect())
+    assert {(r.listing_id, r.neighborhood) for r in changed} == {(0, "Fenway"), (1, "Fenway"), (2, "Fenway"), (5, "Back Bay")}
+
+
 @pytest.fixture(scope="module")
 def stays(spark):
     sources = small_sources(spark).replacing(

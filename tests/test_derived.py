@@ -58,6 +58,17 @@ def test_nights_are_summed_up_without_texts(spark):
     assert by_listing and not any("month_name" in line for line in by_listing)
 
 
+def test_prices_need_no_amenities_and_two_months(spark):
+    for query in (entry.neighborhood_pricing, entry.neighborhood_pricing_nightly, entry.listing_price_changes):
+        shown = query(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        # Neither amenity lists nor periods, nor reservations dealt to months.
+        assert "p_type" not in shown and "lead(" not in shown and "map_from_entries" not in shown
+        # Months are bounded before their nights are written out.
+        lines = shown.splitlines()
+        months = [i for i, line in enumerate(lines) if "Filter (((month" in line]
+        assert months and all(any("Generate explode(sequence(greatest" in x for x in lines[:i]) for i in months)
+
+
 def test_view_names_come_from_the_written_sources(spark, monkeypatch):
     read = []
     names = entry.Lineage.amenity_names
