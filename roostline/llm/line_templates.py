@@ -23,7 +23,11 @@ other columns pass through untouched, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roostline.functions.amenities import quoted
@@ -40,16 +44,26 @@ MIN_BEYOND = 2
 # So long a line does not come up twice by chance: two documents are enough.
 LONG_LINE, LONG_DOCS = 24, 2
 ROW = ("_doc", "_text_hash")
+# What makes the blanks of a text uneven: other white space than single spaces.
+UNEVEN = ("\t", "\x0b", "\x0c", "\r", "  ")
+
+
+def _has_any(text: str, parts: Iterable[str]) -> Column:
+    """Plain searches over the bytes, which cost far less than a regular expression."""
+    return reduce(or_, [F.contains(F.col(text), F.lit(p)) for p in parts])
 
 
 def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     """One row per line with enough tokens, in a table: row key, line number, leaf, number of
     tokens, and the generalised line with its hash. Regular expressions run once over a whole
-    text, before it is cut into lines, and only where it needs them."""
+    text, before it is cut into lines, and only where it needs them. Every step is a column of its
+    own: an expression below the cut would be evaluated at each place that names it."""
     spaced = F.when(
-        F.col("text").rlike(r"[\x09\x0B-\x0D]|  "), F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]+", " ")
+        _has_any("text", UNEVEN), F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]+", " ")
     ).otherwise(F.col("text"))
-    plain = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[0-9]+", "0")).otherwise(spaced)
+    plain = F.when(
+        _has_any("spaced", "0123456789"), F.regexp_replace("spaced", "[0-9]+", "0")
+    ).otherwise(F.col("spaced"))
     leading = F.substring_index("general", " ", depth)
     marked = F.when(
         leading.contains("0"),
@@ -62,12 +76,14 @@ def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     ).otherwise(leading)
     lines = (
         docs.select(
-            F.col("doc_id").alias("_doc"),
-            F.xxhash64("text").alias("_text_hash"),
-            F.posexplode(F.split(plain, "\n", -1)).alias("at", "line"),
+            F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text_hash"), spaced.alias("spaced")
         )
+        .select(*ROW, plain.alias("plain"))
+        .select(*ROW, F.posexplode(F.split("plain", "\n", -1)).alias("at", "line"))
         .withColumn("general", F.trim("line"))
-        .withColumn("size", F.length("general") - F.length(F.replace("general", F.lit(" "))) + 1)
+        .withColumn(
+            "size", F.octet_length("general") - F.octet_length(F.replace("general", F.lit(" "))) + 1
+        )
         .filter(F.col("size") >= min_tokens)
     )
     return written(
@@ -202,7 +218,7 @@ def line_dedup(docs: DataFrame, n_dropped: str = "_n_dropped", **limits) -> Data
     with scratch_scope(docs.sparkSession) as keep:
         dropped = keep(written(dropped_lines(docs, **limits), "dropped-lines"))
     own = docs.select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
+        F.struct(*[quoted(c) for c in docs.columns if c != "text"]).alias("row"),
         F.col("doc_id").alias("id"),
         F.col("text").alias("given"),
     )
@@ -212,9 +228,11 @@ def line_dedup(docs: DataFrame, n_dropped: str = "_n_dropped", **limits) -> Data
         F.col("id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col("given")) == F.col("_text_hash")),
         "left",
     )
-    lines = F.split("given", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
-    cleaned = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    # The lines are a column of their own: inside the lambda, the text would be cut once per line.
+    cut = F.when(F.col("_dropped").isNotNull(), F.split("given", "\n", -1))
+    joined = joined.select("row", "given", "_dropped", cut.alias("lines"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("_dropped"))
+    cleaned = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     text = F.when(F.col("_dropped").isNull(), F.col("given")).otherwise(cleaned)
     others = [F.col("row")[n].alias(n) if n != "text" else text.alias("text") for n in docs.columns]
     return joined.select(*others, F.coalesce(F.size("_dropped"), F.lit(0)).alias(n_dropped))

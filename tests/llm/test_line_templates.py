@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 
+from roostline.llm import line_templates
 from roostline.llm.line_templates import OP10_SQL, line_dedup, op10_line_dedup
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -131,3 +132,27 @@ def test_sql_agrees_with_both(spark):
     assert sql == plain(rows)
     assert sorted((tuple(r) for r in op10_line_dedup(spark, sf).collect()), key=str) == sql
     assert any(n for _, n, _ in sql)
+
+
+def test_texts_are_normalised_and_cut_once(spark, documents, monkeypatch):
+    """An expression in a lambda or below the cut into lines runs again at each place that names it."""
+    docs = documents([(1, "a b c d\nx"), (2, "a b c d"), (3, "a b c d\ny")])
+    rebuilt = line_dedup(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(lines" in rebuilt and "lambdafunction(split" not in rebuilt
+    # The text is carried once.
+    assert not re.search(r"struct\([^)]*text", rebuilt)
+    monkeypatch.setattr(line_templates, "written", lambda df, label: df)
+    cut = line_templates._lines(docs, 4, 3)._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in cut.splitlines() if "Generate posexplode" in line)
+    assert "regexp_replace" not in generate and "RLIKE" not in cut
+
+
+def test_every_blank_and_digit_is_found_in_a_text(spark, documents):
+    blanks = ["\t", "\x0b", "\x0c", "\r", "  ", "\x20\t", "\r\r"]
+    rows = [(0, "one two three four")]
+    rows += [(i, f"one{b}two three four") for i, b in enumerate(blanks, 1)]
+    rows += [(20 + i, f"blue é {d}{9 - d}x green red") for i, d in enumerate(range(10))]
+    rows += [(40, " one two three four "), (41, "one\u00a0two three four"), (42, "one two three\u2003four")]
+    found = {r.doc_id: r._n_dropped for r in line_dedup(documents(rows)).collect()}
+    assert found == {i: n for i, n, _ in plain(rows)}
+    assert all(found[i] == 1 for i in [*range(1, len(blanks) + 1), *range(21, 30), 40])
