@@ -10,6 +10,7 @@ import datetime
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from roostline.plans.pipeline import DAILY, LISTING_MONTHS, NEIGHBORHOOD_MONTHS,
 from roostline.plans.views import create_views, register_sources
 from roostline.plans.vocabulary import refresh_vocabulary
 from roostline.quality import refresh_decision, run_checks, schema_drift, source_freshness, verdict
-from roostline.session import scratch_dir, staged, tune
+from roostline.session import scratch_dir, staged, staged_dealt, tune
 from roostline.sinks import NAMESPACES, Warehouse
 from roostline.sinks.tables import AUDIT_COLUMN
 from roostline.sources.derived import AS_OF, derived_sources
@@ -91,8 +92,11 @@ def _named_lineage(spark: SparkSession, sf_dir: str) -> Lineage:
 def _stored_lineage(spark: SparkSession, sf_dir: str) -> Lineage:
     """The lineage of sources that are written once, as a daily run finds them: for queries that
     read them in many places, each of which would derive them again, in its plan and its tasks."""
-    sources = _lineage(spark, sf_dir).sources
-    return Lineage(sources.replacing(**{name: staged(df, name)[0] for name, df in sources.items()}))
+    run = _lineage(spark, sf_dir)
+    tables = {name: staged(df, name)[0] for name, df in run.sources.items() if name != "calendar"}
+    # Nights are dealt once, while they are derived, and meet everything else where they lie.
+    tables["calendar"], _ = staged_dealt(run.sources.calendar, "calendar", "calendar_month", "listing_id")
+    return replace(run, sources=run.sources.replacing(**tables), dated=True)
 
 
 def stg_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,7 +389,7 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stg_amenities_changelog": run.changelog,
         "int_listing_amenities_scd": run.scd,
         "int_calendar_enriched": intermediate.calendar_enriched(
-            run.calendar, run.listings, run.scd
+            run.calendar, run.listings, run.scd, dated=run.dated
         ),
         "int_availability_spans": run.spans(),
         "int_hosts_history": hosts,

@@ -82,8 +82,8 @@ def as_of_join(
     )
     dealt = opened.union(inside).select("__key", "__of", "__period.*")
     covered = (
-        (dated[key] == dealt["__key"])
-        & (dated["__month"] == dealt["__of"])
+        (dated["__month"] == dealt["__of"])
+        & (dated[key] == dealt["__key"])
         & (dated["__at"] >= dealt["valid_from"])
         & (dated["__at"] <= dealt["valid_to"])
     )

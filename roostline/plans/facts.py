@@ -69,7 +69,7 @@ ROOM_TYPES = {
 def _with_reviews(calendar: DataFrame, reviews: DataFrame, mode: str) -> DataFrame:
     # The month follows from the date; with it among the keys, nights that are dealt by listing
     # and month stay where they are, in this join and in that of the listing periods.
-    keys = ["listing_id", "calendar_month", "calendar_date"]
+    keys = ["calendar_month", "listing_id", "calendar_date"]
     dated = reviews.select(
         "listing_id",
         F.trunc("review_date", "month").alias("calendar_month"),
@@ -108,6 +108,7 @@ def fct_daily(
     stg_reviews: DataFrame,
     reviews: str = "fanout",
     vocabulary: list[str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Nightly revenue, occupancy, price, reviews and point-in-time amenities.
 
@@ -120,6 +121,7 @@ def fct_daily(
     With a vocabulary the amenities become one boolean column per name, otherwise they stay
     one array column. Without a history (``scd=None``) the fact has no amenities: its other columns
     are those of the listing on every date, so the rows are the same and no periods are made.
+    ``dated`` as in :func:`with_listing_periods`.
     """
     reviewed = _with_reviews(calendar, stg_reviews, reviews)
     if scd is None:
@@ -127,7 +129,9 @@ def fct_daily(
         known = listings.select("listing_id", *ENRICHED_ATTRIBUTES)
         nights = reviewed.hint("merge").join(known, "listing_id")
     else:
-        nights = with_listing_periods(reviewed, listings, scd, ENRICHED_ATTRIBUTES, vocabulary)
+        nights = with_listing_periods(
+            reviewed, listings, scd, ENRICHED_ATTRIBUTES, vocabulary, dated
+        )
     reserved, available = F.col("is_reserved"), F.col("is_available")
     price = F.col("daily_price")
     zero = F.lit(0).cast("decimal(10,2)")

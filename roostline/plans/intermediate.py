@@ -86,6 +86,7 @@ def with_listing_periods(
     scd: DataFrame,
     attributes: tuple[str, ...],
     vocabulary: list[str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Calendar rows with listing attributes and the amenities of their date.
 
@@ -93,12 +94,19 @@ def with_listing_periods(
     the largest input, goes through a single join on listing and month. Nights of unknown
     listings drop out. With a vocabulary the boolean columns are made once per period,
     before the join, and not once per night.
+
+    ``dated`` says that every night has a date and a month. Spark cannot know it of a table in
+    files, whose nights, dealt by month and listing, then stay where they are.
     """
     periods = continuous_periods(
         listings.select("listing_id", *attributes, "amenities"), scd, "listing_id", "amenities"
     )
     if vocabulary is not None:
         periods = widen(periods, vocabulary)
+    if dated:
+        return as_of_join(
+            calendar, periods, "listing_id", "calendar_date", month=F.col("calendar_month")
+        )
     # A night without a date is in no known period: it takes the listing's own amenities.
     beginning = F.lit("0001-01-01").cast("date")
     night, month = F.coalesce("calendar_date", beginning), F.coalesce("calendar_month", beginning)
@@ -110,10 +118,11 @@ def calendar_enriched(
     listings: DataFrame,
     scd: DataFrame,
     vocabulary: list[str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Calendar with listing attributes, point-in-time amenities and nightly revenue."""
     return with_listing_periods(
-        calendar, listings, scd, ENRICHED_ATTRIBUTES, vocabulary
+        calendar, listings, scd, ENRICHED_ATTRIBUTES, vocabulary, dated
     ).withColumns(
         {
             "daily_revenue": F.when(F.col("is_reserved"), F.col("daily_price")).otherwise(0),

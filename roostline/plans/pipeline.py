@@ -40,6 +40,7 @@ class Lineage:
     sources: RawSources
     json_mode: str = "failfast"
     unique_days: bool = False
+    dated: bool = False
 
     @cached_property
     def listings(self) -> DataFrame:
@@ -103,7 +104,7 @@ class Lineage:
                 & (F.col("calendar_month") >= F.lit(since.replace(day=1)))
             )
         return facts.fct_daily(
-            calendar, self.listings, self.scd, self.reviews, reviews=reviews, vocabulary=names
+            calendar, self.listings, self.scd, self.reviews, reviews, names, self.dated
         )
 
     def nights_within(

@@ -6,11 +6,12 @@ import tempfile
 import threading
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 # SQL settings only: cluster sizing (executors, shuffle partitions) stays with the caller.
 RUNTIME_SETTINGS = {
@@ -103,17 +104,59 @@ def staged(df: DataFrame, label: str, codec: str = "zstd") -> tuple[DataFrame, s
     instead of repeating the work; the shuffle files of the write are removed at its end."""
     spark = df.sparkSession
     folder = scratch_dir(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.option("compression", codec).parquet(folder)
-    finally:
-        spark.conf.set(CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(folder)
     table._scratch = folder
     return table, folder
 
 
+def staged_dealt(df: DataFrame, label: str, *keys: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+    """Like :func:`staged`, with the rows dealt by ``keys`` to as many buckets as there are shuffle
+    partitions: joins and groups on these keys, or on more than these, read each bucket in a task
+    and move none of its rows. A bucket is one file, since a task has the rows of one bucket."""
+    spark = df.sparkSession
+    folder = scratch_dir(spark, label)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Buckets are known to the catalog only. What was read from there does without it later.
+    name = f"roostline_{uuid.uuid4().hex}"
+    # A writer that is open beside others takes rows as they come; else a task would sort them.
+    with shuffles_removed(spark), setting(spark, WRITERS, "2"):
+        (
+            df.repartition(buckets, *keys)
+            .write.format("parquet")
+            .option("compression", codec)
+            .option("path", folder)
+            .bucketBy(buckets, *keys)
+            .saveAsTable(name)
+        )
+    try:
+        table = spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    table._scratch = folder
+    return table, folder
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of the steps in the block are removed at the end of each step."""
+    return setting(spark, CLEANUP, "true")
+
+
 def remove_scratch(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by :func:`scratch_dir`, on whatever file system it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

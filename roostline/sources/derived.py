@@ -104,7 +104,7 @@ def listings(tables: Tables) -> DataFrame:
 def calendar(tables: Tables) -> DataFrame:
     # A given number of tasks, before and after their months are written out: by their bytes, the
     # suppliers would be put together in one, and the months in few. Nights keep that dealing, by
-    # listing and month, for all joins on both.
+    # month and listing, for all joins on both, and come to them by month.
     lines = tables("lineitem")
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Nights meet their reservations as whole months, at most 31 to a row, and are written out
@@ -114,7 +114,7 @@ def calendar(tables: Tables) -> DataFrame:
         lines.filter("l_returnflag <> 'R' AND l_shipdate IS NOT NULL")
         .selectExpr("l_suppkey AS k", f"{SHIP_DAY} AS day", "l_orderkey")
         .withColumn("month", F.trunc("day", "month"))
-        .repartition(tasks, "k", "month")
+        .repartition(tasks, "month", "k")
         .groupBy("k", "month", "day")
         .agg(F.min("l_orderkey").alias("reservation_id"))
         .groupBy("k", "month")
@@ -129,10 +129,10 @@ def calendar(tables: Tables) -> DataFrame:
         .select(F.col("s_suppkey").alias("k"))
         .repartition(tasks)
         .select("k", F.explode(months).alias("month"))
-        .repartition(tasks, "k", "month")
+        .repartition(tasks, "month", "k")
     )
     in_month = F.sequence(F.greatest("month", first), F.least(F.last_day("month"), last))
-    nights = listed.join(taken, ["k", "month"], "left").select(
+    nights = listed.join(taken, ["month", "k"], "left").select(
         "k", "month", "taken", F.explode(in_month).alias("day")
     )
     return nights.withColumn("reservation_id", F.col("taken")[F.col("day")]).selectExpr(
