@@ -369,16 +369,22 @@ def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the gates say: to the age of the sources, to the checks of the sources, to all checks."""
-    checks = dq_results(spark, sf_dir)
+    run = _stored_lineage(spark, sf_dir)
+    # Two gates look at the results, which are few rows of much work.
+    checks, _ = staged(_checked(spark, run), "checks")
     return (
-        verdict(freshness(spark, sf_dir), "freshness", "error")
+        verdict(source_freshness(run.sources.items(), AS_OF), "freshness", "error")
         .unionByName(verdict(checks.filter(F.col("table").startswith("raw.")), "source_checks", "fail"))
         .unionByName(verdict(checks, "checks", "fail"))
     )
 
 
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _stored_lineage(spark, sf_dir)
+    return _checked(spark, _stored_lineage(spark, sf_dir))
+
+
+def _checked(spark: SparkSession, run: Lineage) -> DataFrame:
+    """The checks of all tables of a lineage."""
     hosts = intermediate.hosts_history(run.listings)
     daily = run.fct_daily("fanout")
     tables = {
