@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roostline.functions.amenities import quoted
+from roostline.session import shuffles_removed
 
 MONTH = "calendar_month"
 LOAD = "load"
@@ -187,7 +188,8 @@ class VersionedTable:
             df = df.observe(watch, *[F.coalesce(m, F.lit(0)).alias(name) for name, m in measures.items()])
         writer = df.write.partitionBy(MONTH) if by_month else df.write
         try:
-            writer.parquet(target)
+            with shuffles_removed(self.spark):
+                writer.parquet(target)
         except BaseException:
             self.files.delete(target)
             raise
