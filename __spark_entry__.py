@@ -273,7 +273,7 @@ def _first_load(run: Lineage) -> Lineage:
     calendar = run.sources.calendar.filter(F.col("date") <= F.lit(end)).withColumn(
         "reservation_id", F.when(known, F.col("reservation_id"))
     )
-    return Lineage(run.sources.replacing(calendar=calendar))
+    return replace(run, sources=run.sources.replacing(calendar=calendar))
 
 
 def _without_amenity(run: Lineage, name: str) -> Lineage:
