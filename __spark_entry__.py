@@ -281,7 +281,7 @@ def _without_amenity(run: Lineage, name: str) -> Lineage:
     changelog = run.sources.amenities_changelog.withColumn(
         "amenities", F.to_json(F.array_remove(names, name))
     )
-    return Lineage(run.sources.replacing(amenities_changelog=changelog))
+    return replace(run, sources=run.sources.replacing(amenities_changelog=changelog))
 
 
 def fct_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
