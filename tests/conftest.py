@@ -27,6 +27,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def own_views(spark):
+    """Views that one module leaves in the session would show in the catalog of the next ones."""
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
+
+
 @pytest.fixture(scope="session")
 def day():
     return datetime.date.fromisoformat
